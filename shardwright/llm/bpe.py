@@ -1,7 +1,8 @@
 """Byte-level BPE encoding and decoding as a monoid over a tree of halves.
 
 The pattern cuts a text into pre-tokens; merges never cross them, so joining there is concatenation. Within a
-pre-token the bytes are halved down to LEAF bytes, leaves are merged directly, and neighbours are joined by encoding
+pre-token the bytes are halved down to LEAF bytes, leaves are merged by the library's loop
+(the pair of the lowest rank, leftmost first), and neighbours are joined by encoding
 the bytes of a window over the boundary anew. The window grows, twofold on the side that isn't settled, until the
 tokens outside provably stay: a sequence of tokens is the encoding of its bytes if and only if each two neighbours are
 the encoding of their own joint bytes, which holds for rank files in which every token encodes to itself (checked when
@@ -16,17 +17,17 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Iterator
 from itertools import chain, islice
 
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents, rows, sha256, texts
+from .common import documents, rows, texts
 
-LEAF = 24
+LEAF = 16
 #: Pre-tokens of a text that are encoded before their ids are hashed and let go.
 SPAN = 1 << 16
 #: Pre-tokens whose encoding a worker remembers; beyond, it forgets them all and starts anew.
@@ -45,59 +46,20 @@ class Codec:
         self.text_of = {r: str(r) for r in self.bytes_of}
         self.memo: dict[str, tuple[int, ...]] = {}
         self.stands: dict[tuple[int, int], bool] = {}
+        core = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.merge = core._core_bpe.encode_single_piece
 
     def check(self) -> None:
         """The condition under which neighbours decide: every token is the encoding of its own bytes."""
         for b, r in self.ranks.items():
-            if len(b) > 1 and self._merged([b[i : i + 1] for i in range(len(b))]) != [r]:
+            halves = self.join(self.merge(b[: len(b) // 2]), self.merge(b[len(b) // 2 :])) if len(b) > 1 else [r]
+            if self.merge(b) != [r] or halves != [r]:
                 raise ValueError(f"token {r} doesn't encode to itself")
 
     # leaves and windows
 
-    def _merged(self, parts: list[bytes]) -> list[int]:
-        """Merges the pair of the lowest rank, leftmost first, until no pair is a token."""
-        ranks = self.ranks
-        if len(parts) > 2 * LEAF:
-            return self._merged_by_heap(parts)
-        pairs = [ranks.get(a + b) for a, b in zip(parts, parts[1:])]
-        while True:
-            best = at = None
-            for i, r in enumerate(pairs):
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if at is None:
-                return [ranks[p] for p in parts]
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            del pairs[at]
-            if at:
-                pairs[at - 1] = ranks.get(parts[at - 1] + parts[at])
-            if at < len(pairs):
-                pairs[at] = ranks.get(parts[at] + parts[at + 1])
-
-    def _merged_by_heap(self, parts: list[bytes]) -> list[int]:
-        """The same for long windows: neighbours in a linked list, candidates in a heap."""
-        ranks, n = self.ranks, len(parts)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, a + b) for i, (a, b) in enumerate(zip(parts, parts[1:])) if (r := ranks.get(a + b)) is not None]
-        heapq.heapify(heap)
-        live: list[bytes | None] = list(parts)
-        while heap:
-            _, i, joint = heapq.heappop(heap)
-            j = after[i]
-            if live[i] is None or j >= n or live[i] + live[j] != joint:
-                continue
-            live[i], live[j] = joint, None
-            after[i] = k = after[j]
-            if k < n:
-                before[k] = i
-            for left, right in ((before[i], i), (i, k)):
-                if left >= 0 and right < n and (r := ranks.get(live[left] + live[right])) is not None:
-                    heapq.heappush(heap, (r, left, live[left] + live[right]))
-        return [ranks[p] for p in live if p is not None]
-
     def _window(self, ids: list[int]) -> list[int]:
-        data = b"".join(map(self.bytes_of.__getitem__, ids))
-        return self._merged([data[i : i + 1] for i in range(len(data))])
+        return self.merge(b"".join(map(self.bytes_of.__getitem__, ids)))
 
     # the tree
 
@@ -127,7 +89,7 @@ class Codec:
         if whole is not None:
             return [whole]
         if len(data) <= LEAF:
-            return self._merged([data[i : i + 1] for i in range(len(data))])
+            return self.merge(data)
         mid = len(data) // 2
         return self.join(self.encode_piece(data[:mid]), self.encode_piece(data[mid:]))
 
@@ -139,7 +101,7 @@ class Codec:
         while pieces := list(islice(found, SPAN)):
             if len(memo) > MEMO:
                 memo.clear()
-            for p in set(pieces) - memo.keys():
+            for p in {p for p in pieces if p not in memo}:
                 memo[p] = tuple(self.encode_piece(p.encode()))
             yield list(chain.from_iterable(map(memo.__getitem__, pieces)))
 

@@ -1,6 +1,6 @@
 """Language ID by rank-order profiles.
 
-A text's letters, in lower case, form words; each word is framed by marks, and its n-grams of 1 to 4 characters are
+A text's letters, in lower case, form words; each word is framed by marks, and its n-grams of 1 to 3 characters are
 counted. A profile is the TOP most frequent n-grams in order (ties: by hash). A text's distance to a language is the
 sum, over the text's own profile, of how far each n-gram is out of place in the language's profile, at most TOP each.
 The least distance wins (ties: the first language by name); the score is 1 minus that distance over its maximum.
@@ -15,46 +15,69 @@ no training row every text is `und`. Repeated rows train and are predicted each.
 
 from __future__ import annotations
 
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, rows, texts
 
-TOP, LONGEST, SALTS = 300, 4, 64
+TOP, LONGEST, SALTS = 300, 3, 64
 UNKNOWN = "und"
 #: Words whose n-grams a worker remembers before it forgets them all.
 MEMO = 150_000
+#: n-grams that it numbers.
+NUMBERS = 200_000
 #: Letters of one word that count; a longer one is cut into words of this length.
 WORD = 64
-_WORDS = regex.compile(r"\p{L}{1,%d}" % WORD)
-_GRAMS: dict[str, np.ndarray] = {}
-
-
-def grams_of(word: str) -> np.ndarray:
-    found = _GRAMS.get(word)
-    if found is None:
-        if len(_GRAMS) > MEMO:
-            _GRAMS.clear()
-        w, h = f"_{word}_", xxhash.xxh64_intdigest
-        found = _GRAMS[word] = np.array([h(w[i : i + n]) for n in range(1, LONGEST + 1) for i in range(len(w) - n + 1)], np.uint64).view(np.int64)
-    return found
+_WORDS = re.compile(r"[^\W\d_]{1,%d}" % WORD)
+
+
+class Grams:
+    """A worker's numbers for n-grams, by order of meeting; their hashes alone leave the worker."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.words: dict[str, np.ndarray] = {}
+        self.hashes = np.zeros(1 << 12, np.int64)
+
+    def of(self, word: str) -> np.ndarray:
+        found = self.words.get(word)
+        if found is None:
+            w, number = f"_{word}_", self.number
+            grams = [w[i : i + n] for n in range(1, LONGEST + 1) for i in range(len(w) - n + 1)]
+            for g in grams:
+                if g not in number:
+                    k = number[g] = len(number)
+                    if k == len(self.hashes):
+                        self.hashes = np.concatenate([self.hashes, np.zeros(k, np.int64)])
+                    self.hashes[k] = xxhash.xxh64_intdigest(g) - (1 << 63)
+            found = self.words[word] = np.array([number[g] for g in grams], np.int32)
+        return found
+
+    def counted(self, words: Counter) -> tuple[np.ndarray, np.ndarray]:
+        """(n-gram hashes, counts) of words with their counts."""
+        if not words:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if len(self.words) > MEMO or len(self.number) > NUMBERS:
+            self.__init__()
+        parts = [self.of(w) for w in words]
+        weights = np.repeat(np.fromiter(words.values(), np.float64, len(parts)), [len(p) for p in parts])
+        n = np.bincount(np.concatenate(parts), weights)
+        at = np.flatnonzero(n)
+        return self.hashes[at], n[at].astype(np.int64)
+
+
+_GRAMS = Grams()
 
 
 def counted(words: Counter) -> tuple[np.ndarray, np.ndarray]:
-    """(n-gram hashes, counts) of words with their counts."""
-    if not words:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    parts = [grams_of(w) for w in words]
-    weights = np.repeat(np.fromiter(words.values(), np.int64, len(parts)), [len(p) for p in parts])
-    keys, at = np.unique(np.concatenate(parts), return_inverse=True)
-    return keys, np.bincount(at, weights).astype(np.int64)
+    return _GRAMS.counted(words)
 
 
 def top(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -67,7 +90,9 @@ def top(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def words_of(text: str) -> list[str]:
-    return _WORDS.findall(text.lower())
+    """Runs of letters; other alphanumeric signs that aren't digits count if there is any letter at all."""
+    words = _WORDS.findall(text.lower())
+    return words if any(c.isalpha() for w in words for c in w) else []
 
 
 class Profiles:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents, rows, texts
 
 MARK = "▁"
-NODES, LONG = 400_000, 64
+NODES, LONG = 300_000, 64
 #: Pre-tokens whose terminal count is looked up without walking the trie.
 KNOWN = 400_000
 
@@ -43,29 +43,44 @@ def read_scores(path: str) -> dict[str, float]:
 
 
 class UnigramTrie:
+    """A node: [forward score, tokens of the best cut, children or None, open pieces].
+
+    Open pieces are the starts from which the prefix may still grow into a piece: (node of the pieces' own trie, score
+    and tokens before the start). They make a node's score follow from its parent alone.
+    """
+
     def __init__(self, scores: dict[str, float]):
-        self.scores, self.longest = scores, max(map(len, scores), default=1)
+        self.pieces: dict = {}
+        for piece, score in scores.items():
+            node = self.pieces
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[""] = score
         #: A byte costs as much as a piece one rank below the last.
         self.byte = min(scores.values(), default=0.0) - 1.0
         self.clear()
 
     def clear(self) -> None:
-        self.root: list = [0.0, 0, {}]  # forward score, tokens of the best cut, children
+        self.root: list = [0.0, 0, None, ()]
         self.nodes = 1
         self.terminals: dict[str, int] = {}
 
-    def _forward(self, word: str, end: int, before: list) -> tuple[float, int]:
-        """Best (score, tokens) of word[:end]; before: those of all shorter prefixes, by length."""
-        n = len(word[end - 1].encode())
-        score, tokens = before[end - 1][0] + n * self.byte, before[end - 1][1] + n
-        get = self.scores.get
-        for start in range(max(0, end - self.longest), end):
-            s = get(word[start:end])
-            if s is not None:
-                s += before[start][0]
-                if s > score or s == score and before[start][1] + 1 < tokens:
-                    score, tokens = s, before[start][1] + 1
-        return score, tokens
+    def _grown(self, parent: list, c: str) -> list:
+        """The node of the parent's prefix with c behind it."""
+        score, tokens, _, starts = parent
+        opened = []
+        best, fewest = None, 0
+        for inner, s, t in (*starts, (self.pieces, score, tokens)):
+            inner = inner.get(c)
+            if inner is not None:
+                opened.append((inner, s, t))
+                own = inner.get("")
+                if own is not None and (best is None or s + own > best or s + own == best and t + 1 < fewest):
+                    best, fewest = s + own, t + 1
+        n = len(c.encode())
+        if best is None or score + n * self.byte > best:
+            best, fewest = score + n * self.byte, tokens + n
+        return [best, fewest, None, opened]
 
     def count(self, word: str) -> int:
         """Tokens of one pre-token."""
@@ -73,20 +88,22 @@ class UnigramTrie:
         if found is not None:
             return found
         if len(word) > LONG:
-            line = [(0.0, 0)]
-            for end in range(1, len(word) + 1):
-                line.append(self._forward(word, end, line))
-            return line[-1][1]
+            node = self.root
+            for c in word:
+                node = self._grown(node, c)
+            return node[1]
         if self.nodes > NODES or len(self.terminals) > KNOWN:
             self.clear()
-        node, path = self.root, [self.root]
-        for end, c in enumerate(word, 1):
-            kid = node[2].get(c)
+        node = self.root
+        for c in word:
+            kids = node[2]
+            if kids is None:
+                kids = node[2] = {}
+            kid = kids.get(c)
             if kid is None:
-                kid = node[2][c] = [*self._forward(word, end, path), {}]
+                kid = kids[c] = self._grown(node, c)
                 self.nodes += 1
             node = kid
-            path.append(node)
         self.terminals[word] = node[1]
         return node[1]
 
