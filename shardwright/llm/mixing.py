@@ -94,16 +94,16 @@ def source_plan(docs: DataFrame, entropy_share: float = ENTROPY_SHARE, most_pass
     whole = F.lit(float(total)) * F.exp((1 - a) * F.lit(top) + F.lit(log_z)) if budget == "cover" else F.lit(float(total if budget == "total" else budget))
     lp = F.log(F.when(F.col("tokens") > 0, F.col("tokens") / F.lit(float(max(1, total)))))
     weight = F.coalesce(F.exp(lp * a - F.lit(log_z)), F.lit(0.0))
-    planned = by_source.select("source", "tokens", weight.alias("weight"), F.floor(weight * whole + 1e-6).cast("long").alias("budget"))
+    sources = by_source.select("source", "tokens", weight.alias("weight"), F.floor(weight * whole + 1e-6).cast("long").alias("budget"))
     n = F.when(F.col("tokens") > 0, F.expr("budget div greatest(tokens, 1)")).otherwise(F.lit(1))
-    planned = planned.withColumn("passes", n.cast("long"))
+    sources = sources.withColumn("passes", n.cast("long"))
     rest = F.when(F.col("tokens") > 0, F.col("budget") - F.col("passes") * F.col("tokens")).otherwise(F.lit(0))
-    return planned.withColumn("rest", rest.cast("long")).withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("tokens") / block_tokens)).cast("long"))
+    return sources.withColumn("rest", rest.cast("long")).withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("tokens") / block_tokens)).cast("long"))
 
 
-def _place(epoch: Column, seed: int) -> Column:
+def _place(epoch: Column, seed: int, block: Column) -> Column:
     """62 bits of order in a pass: the block's place, then the document's."""
-    block = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("source"), epoch, F.col("block")), 33)
+    block = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("source"), epoch, block), 33)
     doc = F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), epoch, F.col("doc_id")), 33)
     return F.shiftleft(block, 31).bitwiseOR(doc)
 
@@ -124,26 +124,47 @@ def _rest(docs: DataFrame, plan: DataFrame) -> DataFrame:
     return plan.where("rest > 0").select("source").join(out.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").select("source", "stop")
 
 
+def with_copies(df: DataFrame, plan: DataFrame, stops: DataFrame, seed: int = SEED) -> DataFrame:
+    """df (with doc_id and source) and its plan's weight, budget, block, passes, in_rest, copies and place; one row per row.
+
+    plan and stops have one row per source, as tables whose size Spark knows before it chooses a join.
+    """
+    both = plan.join(stops.select(F.col("source").alias("s"), "stop"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+    named = both.select(F.struct(*(c for c in both.columns if c != "source")).alias("plan_"), F.col("source").alias("s_"))
+    out = df.join(named, F.col("source").eqNullSafe(F.col("s_"))).drop("s_")
+    block = F.pmod(F.xxhash64(F.lit(seed + 2), "doc_id"), F.col("plan_.blocks"))
+    place = _place(F.col("plan_.passes"), seed, block)
+    stop = F.col("plan_.stop")
+    inside = F.coalesce((F.col("plan_.rest") > 0) & (stop.isNull() | (place < stop)), F.lit(False))
+    return out.select(
+        *(F.col(c) for c in df.columns),
+        F.struct(
+            F.col("plan_.weight").alias("weight"), F.col("plan_.budget").alias("budget"), block.alias("block"), F.col("plan_.passes").alias("passes"),
+            F.col("plan_.rest").alias("rest"), inside.alias("in_rest"), (F.col("plan_.passes") + inside.cast("long")).alias("copies"), place.alias("place"),
+        ).alias("mix_"),
+    )
+
+
+def planned(docs: DataFrame, entropy_share: float = ENTROPY_SHARE, most_passes: float = MOST_PASSES, budget: str | int = "total", block_tokens: int = BLOCK_TOKENS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """(plan, stops) of sized documents, one row per source each."""
+    plan = written(source_plan(docs, entropy_share, most_passes, budget, block_tokens), "plan")
+    none = plan.select("source", F.lit(None).cast("long").alias("stop")).limit(0)
+    dealt = with_copies(docs, plan, none, seed).select("source", "n_tokens", "mix_.rest", "mix_.place")
+    return plan, written(_rest(dealt, plan), "stops")
+
+
 def mix(df: DataFrame, entropy_share: float = ENTROPY_SHARE, most_passes: float = MOST_PASSES, budget: str | int = "total", block_tokens: int = BLOCK_TOKENS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per input row: doc_id, source, n_tokens, weight, source_budget, block, passes, in_rest, copies, place."""
     docs = written(sized(df, id_col, text_col, source_col), "sized")
-    plan = written(source_plan(docs, entropy_share, most_passes, budget, block_tokens), "plan")
-    named = plan.withColumnRenamed("source", "s")
-    dealt = docs.join(named, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64(F.lit(seed + 2), "doc_id"), F.col("blocks")))
-    dealt = dealt.withColumn("place", _place(F.col("passes"), seed))
-    stops = written(_rest(dealt, plan), "stops").withColumnRenamed("source", "s")
-    out = dealt.join(stops, F.col("source").eqNullSafe(F.col("s")), "left")
-    inside = F.coalesce((F.col("rest") > 0) & (F.col("stop").isNull() | (F.col("place") < F.col("stop"))), F.lit(False))
-    return out.select(
-        "doc_id", "source", "n_tokens", "weight", F.col("budget").alias("source_budget"), "block", "passes", inside.alias("in_rest"), (F.col("passes") + inside.cast("long")).alias("copies"), "place"
-    )
+    plan, stops = planned(docs, entropy_share, most_passes, budget, block_tokens, seed)
+    out = with_copies(docs, plan, stops, seed)
+    return out.select("doc_id", "source", "n_tokens", "mix_.weight", F.col("mix_.budget").alias("source_budget"), *(f"mix_.{c}" for c in ("block", "passes", "in_rest", "copies", "place")))
 
 
 def schedule(mixed: DataFrame, seed: int = SEED) -> DataFrame:
     """mix()'s rows as what a training job reads: doc_id, source, epoch, block, place, one row for each use."""
     each = mixed.where("copies > 0").select("doc_id", "source", "block", F.explode(F.expr("sequence(0L, copies - 1)")).alias("epoch"))
-    return each.withColumn("place", _place(F.col("epoch"), seed))
+    return each.withColumn("place", _place(F.col("epoch"), seed, F.col("block")))
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
