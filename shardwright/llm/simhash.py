@@ -69,7 +69,8 @@ def links(distinct: DataFrame) -> DataFrame:
     """(a, b) with a <> b over different fingerprints `fp`: enough links at MOST_BITS or fewer to connect all of them."""
     bits = [f"shiftleft(1L, {b})" for low, high in SEGMENTS for b in range(low, high)]
     ball = F.expr(f"array(fp, {', '.join(f'fp ^ {b}' for b in bits)})")
-    entries = distinct.select("fp", F.explode(ball).alias("entry"))
+    n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entries = distinct.repartition(n).select("fp", F.explode(ball).alias("entry"))  # 65-fold: many tasks, whatever adaptive execution merged
     met = entries.groupBy("entry").agg(F.collect_list("fp").alias("members")).where("size(members) > 1")
     star = met.select(F.array_min("members").alias("a"), F.explode("members").alias("b")).where("a <> b").distinct()
     return star.where(f"bit_count(a ^ b) <= {MOST_BITS}")
