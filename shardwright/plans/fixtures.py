@@ -43,7 +43,7 @@ STATS_JSON = """SELECT task, shard, CASE WHEN shard % 9 = 4 THEN 'not json' WHEN
 MEMBERS = """SELECT shard, key, suffix, seq, CASE WHEN suffix = '.jpg' THEN text WHEN shard % 7 = 1 THEN 'not json' WHEN shard % 5 = 2 THEN '{{"sha256":"0"}}' WHEN shard % 5 = 3 THEN '{{}}' ELSE concat('{{"sha256":"', {sha}, '"}}') END AS body
  FROM (SELECT conv_id AS shard, CAST(turn {div} 2 AS STRING) AS key, CASE WHEN role = 'user' THEN '.jpg' ELSE '.json' END AS suffix, turn AS seq, text, max(CASE WHEN role = 'user' THEN text END) OVER (PARTITION BY conv_id, turn {div} 2) AS image FROM conversations) c"""
 
-_WORDS = {"spark": {"div": "div", "sha": "sha2(image, 256)"}, "duckdb": {"div": "//", "sha": "sha256(image)"}}
+_WORDS = {"spark": {"div": "div", "sha": "sha2(coalesce(image, ''), 256)"}, "duckdb": {"div": "//", "sha": "sha256(coalesce(image, ''))"}}
 _BASE = {"attempts": ATTEMPTS, "files_rows": FILES_ROWS}
 
 
