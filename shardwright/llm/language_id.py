@@ -18,6 +18,8 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain, islice
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +31,8 @@ from .common import documents, rows, texts
 
 TOP, LONGEST, SALTS = 300, 3, 64
 UNKNOWN = "und"
-#: Words whose n-grams a worker remembers before it forgets them all.
-MEMO = 150_000
+#: Words whose n-grams a worker remembers.
+MEMO = 60_000
 #: n-grams that it numbers.
 NUMBERS = 200_000
 #: Letters of one word that count; a longer one is cut into words of this length.
@@ -38,37 +40,71 @@ WORD = 64
 _WORDS = re.compile(r"[^\W\d_]{1,%d}" % WORD)
 
 
+class _Numbers(dict):
+    """Numbers n-grams by order of meeting."""
+
+    def __missing__(self, gram: str) -> int:
+        self[gram] = n = len(self)
+        return n
+
+
 class Grams:
-    """A worker's numbers for n-grams, by order of meeting; their hashes alone leave the worker."""
+    """A worker's numbers for n-grams; their hashes alone leave the worker.
+
+    The first MEMO words keep their n-grams. All others are strung together, each after a mark, and counted in one go.
+    """
 
     def __init__(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = _Numbers()
         self.words: dict[str, np.ndarray] = {}
-        self.hashes = np.zeros(1 << 12, np.int64)
+        self.hashes = np.zeros(0, np.int64)
 
     def of(self, word: str) -> np.ndarray:
-        found = self.words.get(word)
-        if found is None:
-            w, number = f"_{word}_", self.number
-            grams = [w[i : i + n] for n in range(1, LONGEST + 1) for i in range(len(w) - n + 1)]
-            for g in grams:
-                if g not in number:
-                    k = number[g] = len(number)
-                    if k == len(self.hashes):
-                        self.hashes = np.concatenate([self.hashes, np.zeros(k, np.int64)])
-                    self.hashes[k] = xxhash.xxh64_intdigest(g) - (1 << 63)
-            found = self.words[word] = np.array([number[g] for g in grams], np.int32)
+        w = f"_{word}_"
+        grams = [w[i : i + n] for n in range(1, LONGEST + 1) for i in range(len(w) - n + 1)]
+        found = self.words[word] = np.fromiter(map(self.number.__getitem__, grams), np.int32, len(grams))
         return found
 
+    def strung(self, words: list[str], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and weights of the n-grams of words that lie one after another, each with a mark before it."""
+        s = "_" + "_".join(words) + "_"
+        pairs = list(map(add, s, s[1:]))
+        numbers = np.fromiter(map(self.number.__getitem__, chain(s, pairs, map(add, pairs, s[2:]))), np.int32, 3 * len(s) - 3)
+        size = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        own = np.append(np.repeat(np.array(counts, np.float64), size), 0.0)
+        marks = np.cumsum(size) - size
+        one = own.copy()
+        one[marks] *= 2  # before the word and after it
+        three = own[:-2].copy()
+        three[marks[1:] - 1] = 0  # these would reach over a mark into the next word
+        return numbers, np.concatenate([one, own[:-1], three])
+
     def counted(self, words: Counter) -> tuple[np.ndarray, np.ndarray]:
         """(n-gram hashes, counts) of words with their counts."""
         if not words:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if len(self.words) > MEMO or len(self.number) > NUMBERS:
+        if len(self.number) > NUMBERS:
             self.__init__()
-        parts = [self.of(w) for w in words]
-        weights = np.repeat(np.fromiter(words.values(), np.float64, len(parts)), [len(p) for p in parts])
-        n = np.bincount(np.concatenate(parts), weights)
+        found = list(map(self.words.get, words))
+        parts, weights, new, times = [], [], [], []
+        for (w, c), p in zip(words.items(), found):
+            if p is None:
+                if len(self.words) >= MEMO:
+                    new.append(w)
+                    times.append(c)
+                    continue
+                p = self.of(w)
+            parts.append(p)
+            weights.append(c)
+        weights = [np.repeat(np.array(weights, np.float64), list(map(len, parts)))] if parts else []
+        if new:
+            numbers, own = self.strung(new, times)
+            parts.append(numbers)
+            weights.append(own)
+        n = np.bincount(np.concatenate(parts), np.concatenate(weights))
+        if len(self.number) > len(self.hashes):
+            late = [xxhash.xxh64_intdigest(g) - (1 << 63) for g in islice(self.number, len(self.hashes), None)]
+            self.hashes = np.concatenate([self.hashes, np.array(late, np.int64)])
         at = np.flatnonzero(n)
         return self.hashes[at], n[at].astype(np.int64)
 
