@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain, islice
 
 import pyarrow as pa
@@ -39,12 +39,25 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+class Memo(dict):
+    """Encodings of pre-tokens, each found when first asked for."""
+
+    def __init__(self, encode: Callable[[bytes], list[int]]):
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        if len(self) > MEMO:
+            self.clear()
+        found = self[piece] = tuple(self.encode(piece.encode()))
+        return found
+
+
 class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes_of = {r: b for b, r in ranks.items()}
         self.text_of = {r: str(r) for r in self.bytes_of}
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo = Memo(self.encode_piece)
         self.stands: dict[tuple[int, int], bool] = {}
         core = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.merge = core._core_bpe.encode_single_piece
@@ -95,15 +108,10 @@ class Codec:
 
     def encode_spans(self, text: str) -> Iterator[list[int]]:
         """Ids of SPAN pre-tokens at a time."""
-        memo = self.memo
         found = self.pattern.findall(text) if len(text) <= SPAN else (m[0] for m in self.pattern.finditer(text))
         found = iter(found)
         while pieces := list(islice(found, SPAN)):
-            if len(memo) > MEMO:
-                memo.clear()
-            for p in {p for p in pieces if p not in memo}:
-                memo[p] = tuple(self.encode_piece(p.encode()))
-            yield list(chain.from_iterable(map(memo.__getitem__, pieces)))
+            yield list(chain.from_iterable(map(self.memo.__getitem__, pieces)))
 
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(self.encode_spans(text)))
