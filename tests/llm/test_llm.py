@@ -191,7 +191,8 @@ def best_cut(scores, byte, word):
 
 def test_token_counts(docs, monkeypatch):
     path = vocabularies.path("piece_bpe_32k.model")
-    monkeypatch.setattr(token_counts, "NODES", 50)  # starts anew
+    for name, few in (("WORDS", 7), ("GATHERED", 300), ("KNOWN", 50), ("LONG", 40)):  # tries and terminals start anew
+        monkeypatch.setattr(token_counts, name, few)
     scores = token_counts.read_scores(path)
     byte = min(scores.values()) - 1
     cost = {}
@@ -204,6 +205,13 @@ def test_token_counts(docs, monkeypatch):
     assert sorted((tuple(r) for r in token_counts.token_counts(docs, path).collect()), key=str) == sorted(want, key=str)
 
 
+def test_pretokens_of_long_texts(monkeypatch):
+    monkeypatch.setattr(token_counts, "GATHERED", 16)
+    for _ in range(500):
+        text = "".join(rng.choice("ab é \t\n") for _ in range(rng.randrange(90))) + "c" * rng.choice([0, 0, 40])
+        assert token_counts.pretokens(text) == Counter(text.encode().split())
+
+
 def test_media(docs):
     for r in media.media_digests(docs).collect():
         assert r.payload_bytes % 64 == 0 and r.payload_bytes > 0 and "audio/wav" in r.feature
