@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from . import thresholds as T
 from .errors import EngineError
-from .operators import distributions, outcomes, partition, planning, schema, verdicts
+from .operators import distributions, outcomes, partition, pilot, planning, schema, verdicts
 from .sources import listing, sinks, stats, tar
 
 
@@ -124,28 +124,28 @@ def slow(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def report(spark: SparkSession, a: argparse.Namespace) -> int:
-    done = [t for t in listing.task_dirs(a.source) if (t / "DONE.json").exists()]
+    tasks = listing.task_dirs(a.source)
+    done = [t for t in tasks if (t / "DONE.json").exists()]
+    tars = {t.name: [str(p) for p in listing.tar_files(t)] for t in done}
+    bare = [name for name, found in tars.items() if not found]
+    if bare:
+        print(f"marked as done without a tar: {', '.join(bare)}", file=sys.stderr)
+        return 1
     if not done:
-        return 2
-    tars = [str(p) for t in done for p in listing.tar_files(t)]
-    if not tars:
-        raise EngineError("tasks are marked as done but hold no tar")
+        print("no task is done yet", file=sys.stderr)
+        return 1
     marks = [json.loads((t / "DONE.json").read_text()) for t in done]
+    parquets = [str(p) for t in done for p in listing.shard_parquets(t)]
     each = max(1, a.samples // len(done))
-    failures = decoded = mismatches = 0
-    for t in done:
-        parquets = [str(p) for p in listing.shard_parquets(t)]
-        known = spark.read.parquet(*parquets).select("key", "caption").collect() if parquets else []
-        said = {r.key: r.caption for r in known} if len(known) <= 10 * T.SAMPLES_PER_SHARD else {}
-        for p in listing.tar_files(t)[:2]:
-            for r in tar.samples(tar.read_members(spark, str(p)), each).select("key", "image", "caption").toLocalIterator():
-                ok = tar.decodes(bytes(r.image or b""))
-                decoded, failures = decoded + ok, failures + (not ok)
-                mismatches += r.key in said and said[r.key] != r.caption
-    row = (sum(m["candidates"] for m in marks), sum(m["successes"] for m in marks), decoded, failures, mismatches)
-    got = verdicts.pilot_verdict(spark.createDataFrame([row], "candidates long, successes long, decoded long, decode_failures long, caption_mismatches long")).first().asDict()
-    size = sum(Path(p).stat().st_size for p in tars)
-    _out(got | {"tar_bytes": size, "corpus_tib": planning.pilot_projection(size, row[0]) if row[0] else None}, a.json)
+    samples = tar.samples(tar.read_members(spark, [p for found in tars.values() for p in found[:2]], first=each))
+    known = pilot.records(spark, parquets) if parquets else spark.createDataFrame([], "task string, key string, caption string, exif string, w long, h long")
+    candidates, successes = (sum(m.get(c) or 0 for m in marks) for c in ("candidates", "successes"))
+    got = pilot.report(samples, known, candidates, successes).first().asDict()
+    sides = distributions.percentiles(distributions.side_counts(known), "short_side")
+    size = sum(Path(p).stat().st_size for found in tars.values() for p in found)
+    got |= {"tasks": len(done), "incomplete": len(tasks) - len(done), "tar_bytes": size, "parquet_bytes": sum(Path(p).stat().st_size for p in parquets)}
+    got |= {"percentiles": [r.asDict() for r in sides.collect()], "corpus_tib": planning.pilot_projection(size, candidates) if candidates else None}
+    _out(got, a.json)
     return int(got["stop"])
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import io
+import json
 import os
 import tarfile
 from collections.abc import Iterator
@@ -18,8 +19,9 @@ SCHEMA = "task string, shard string, key string, suffix string, seq long, size l
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
-        path = options["path"]
-        self.paths = [path] if os.path.isfile(path) else sorted(glob.glob(os.path.join(path, "**", "*.tar"), recursive=True))
+        given = json.loads(options["paths"]) if "paths" in options else [options["path"]]
+        self.paths = [f for p in given for f in ([p] if os.path.isfile(p) else sorted(glob.glob(os.path.join(p, "**", "*.tar"), recursive=True)))]
+        self.first = int(options["first"]) if "first" in options else None
         self.payload = str(options.get("payload", "true")).lower() != "false"
 
     def partitions(self) -> list[InputPartition]:
@@ -29,15 +31,24 @@ class _Reader(DataSourceReader):
         path = partition.value
         folder = os.path.dirname(path)
         folder = os.path.dirname(folder) if os.path.basename(folder) == "shards" else folder
+        keys: set[str] = set()
         with tarfile.open(path) as tar:
             for seq, member in enumerate(m for m in tar if m.isfile()):
                 stem, dot, suffix = member.name.partition(".")
+                if self.first is not None and stem not in keys:
+                    if len(keys) == self.first:
+                        continue
+                    keys.add(stem)
                 body = tar.extractfile(member).read() if self.payload else None
                 yield os.path.basename(folder), os.path.basename(path)[:-4], stem, dot + suffix, seq, member.size, body
 
 
 class ShardTar(DataSource):
-    """spark.read.format("shard_tar").load(path): one row per member; option payload=false reads headers only."""
+    """spark.read.format("shard_tar").load(path): one row per member.
+
+    Options: payload=false reads headers only; paths is a JSON list of tars and folders; first reads the members of so many
+    keys of each tar.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -50,9 +61,12 @@ class ShardTar(DataSource):
         return _Reader(self.options)
 
 
-def read_members(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+def read_members(spark: SparkSession, path: str | list[str], payload: bool = True, first: int | None = None) -> DataFrame:
     spark.dataSource.register(ShardTar)
-    return spark.read.format("shard_tar").option("payload", str(payload).lower()).load(path)
+    reader = spark.read.format("shard_tar").option("payload", str(payload).lower())
+    if first is not None:
+        reader = reader.option("first", str(first))
+    return reader.load(path) if isinstance(path, str) else reader.option("paths", json.dumps(path)).load()
 
 
 def samples(members: DataFrame, first: int | None = None) -> DataFrame:

@@ -122,6 +122,28 @@ def test_tars(spark, tmp_path):
     assert tar.read_members(spark, str(tmp_path / "out" / "00007.tar")).first().payload == b"x"
 
 
+def test_report(spark, tmp_path, capsys):
+    image = b"\xff\xd8\xff picture \xff\xd9"
+    assert cli.main(["report", str(tmp_path)], spark) == 1  # nothing is done
+    for n, said in ((0, "one"), (1, "two"), (2, "three")):  # keys repeat across tasks
+        d = tmp_path / f"task-{n:06d}"
+        shard(d / "shards" / "00000.tar", [("a.jpg", image), ("a.txt", said.encode()), ("b.jpg", b"bad" if n else image), ("b.txt", b"other"), ("c.jpg", image)])
+        parquet(d / "shards" / "00000.parquet", key=["a", "b"], caption=[said, "b"], exif=["{}", None], original_width=[30, None], original_height=[40, 9])
+        if n < 2:
+            (d / "DONE.json").write_text(json.dumps({"candidates": 10, "successes": 6}))
+    parquet(tmp_path / "task-000001" / "shards" / "00001.parquet", key=["z"])
+    capsys.readouterr()
+    assert cli.main(["report", str(tmp_path), "--samples", "4"], spark) == 1  # two samples of each tar
+    got = json.loads(capsys.readouterr().out)
+    assert (got["decoded"], got["decode_failures"], got["caption_mismatches"]) == (3, 1, 1) and got["bad_images"] and got["bad_captions"] and not got["low_yield"]
+    assert (got["tasks"], got["incomplete"], got["candidates"], got["exif_bytes"]) == (2, 1, 20, 4)
+    assert {p["short_side"] for p in got["percentiles"]} == {30.0}
+    task(tmp_path, 5, GOOD)
+    (tmp_path / "task-000005" / "DONE.json").write_text("{}")
+    assert cli.main(["report", str(tmp_path)], spark) == 1
+    assert "task-000005" in capsys.readouterr().err
+
+
 def test_cap_and_lock(spark, tmp_path):
     parquet(tmp_path / "u.parquet", url=[str(i) for i in range(20)])
     assert cli.main(["cap", str(tmp_path / "u.parquet"), "--rows", "5"], spark) == 0
