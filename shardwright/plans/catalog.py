@@ -11,6 +11,7 @@ from .. import thresholds as T
 from ..functions.status import bucket
 from ..functions.urls import pool_key
 from ..operators import contract, distributions, outcomes, partition, planning, schema, verdicts
+from ..sources import tar
 from .fixtures import frame, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -372,3 +373,37 @@ def documented_diff(spark: SparkSession, d: str) -> DataFrame:
     said = spark.createDataFrame([("coyo700m", r, c) for r, c in zip(schema.ROLES, schema.DOCUMENTED["coyo700m"])], kind)
     seen = schema.resolve(["url", "text", "uid", "width", "height", "bboxes"]).bound
     return schema.role_table(spark.createDataFrame([("coyo700m", r, c) for r, c in seen.items()], kind), said)
+
+
+@query("SELECT task, shard, bytes, successes, round(CASE WHEN successes > 0 THEN bytes * 1.0::DOUBLE / successes END, 6) AS bytes_per_image FROM [shard_bytes] b")
+def shard_sizes(spark: SparkSession, d: str) -> DataFrame:
+    return distributions.shard_sizes(frame(spark, d, "shard_bytes")).select("task", "shard", "bytes", "successes", r6("bytes_per_image"))
+
+
+@query("""SELECT task, total AS candidates, succeeded AS successes, succeeded * 1.0::DOUBLE / total < 0.30 AS low_yield, coalesce(other * 1.0::DOUBLE / nullif(succeeded + other, 0) > 0.01, false) AS bad_images, transient > 0 AS bad_captions,
+ succeeded * 1.0::DOUBLE / total < 0.30 OR coalesce(other * 1.0::DOUBLE / nullif(succeeded + other, 0) > 0.01, false) OR transient > 0 AS stop FROM [counted] c""")
+def pilot_verdict(spark: SparkSession, d: str) -> DataFrame:
+    """Outcomes other and transient stand for pictures that don't open and captions that differ."""
+    counts = outcomes.failure_counts(_messages(spark, d), "task")
+    report = counts.select("task", F.col("total").alias("candidates"), F.col("succeeded").alias("successes"), F.col("succeeded").alias("decoded"), F.col("other").alias("decode_failures"), F.col("transient").alias("caption_mismatches"))
+    return verdicts.pilot_verdict(report).drop("decoded", "decode_failures", "caption_mismatches")
+
+
+@query("SELECT task, task % 3 AS expected_nodes, task % 2 AS nodes FROM (SELECT DISTINCT task FROM [attempts] a) t WHERE task % 2 >= task % 3")
+def complete_phases(spark: SparkSession, d: str) -> DataFrame:
+    tasks = frame(spark, d, "attempts").select("task").distinct()
+    return verdicts.complete_phases(tasks.select("task", (F.col("task") % 3).alias("expected_nodes"), (F.col("task") % 2).alias("nodes")))
+
+
+@query("""SELECT samples, decode_failures, bytes_read, elapsed_sec, samples + decode_failures AS attempted, round(samples / nullif(elapsed_sec, 0), 6) AS samples_per_sec, round(bytes_read / nullif(elapsed_sec, 0), 6) AS bytes_per_sec, round(decode_failures * 1.0::DOUBLE / (samples + decode_failures), 6) AS failure_rate
+ FROM (SELECT CAST(sum(succeeded) AS BIGINT) AS samples, CAST(sum(other) AS BIGINT) AS decode_failures, CAST(sum(total * 1024) AS BIGINT) AS bytes_read, CAST(sum(wall) AS DOUBLE) AS elapsed_sec FROM [counted] c) t""")
+def bench_total(spark: SparkSession, d: str) -> DataFrame:
+    """Tasks' outcomes as shard timings: counts and seconds summed, then divided."""
+    runs = _runs(spark, d).select(F.col("succeeded").alias("samples"), F.col("other").alias("decode_failures"), (F.col("total") * 1024).alias("bytes_read"), F.col("wall").cast("double").alias("elapsed_sec"))
+    out = tar.bench_total(runs)
+    return out.select("samples", "decode_failures", "bytes_read", "elapsed_sec", "attempted", r6("samples_per_sec"), r6("bytes_per_sec"), r6("failure_rate"))
+
+
+@query("SELECT t::BIGINT AS threads, r::BIGINT AS retries FROM (VALUES (32), (128)) a(t), (VALUES (2), (0)) b(r)")
+def arm_matrix(spark: SparkSession, d: str) -> DataFrame:
+    return planning.arm_matrix(spark)
