@@ -4,11 +4,13 @@ Tokens are lower-cased (A-Z) words between white space, then one end for each te
 summed by token. The HEAD most frequent (at most; the bound is exact, by a count threshold) are broadcast; all other
 tokens meet their counts in a join, so counts are complete whatever the vocabulary.
 
-The model factors P(token | context) = P(class | context) P(token | class, context) over the RARE most frequent
-tokens, in classes of neighbours by frequency, and one token more that stands for all others, alone in its class; a
-rare token's own share is its smoothed count among rare tokens. Class logits add the hashed rows of two features: the
-token before (bigram) and the one before that (skip). Logits within a class add the hashed row of the token before and
-the class. Biases are log frequencies, rows start at zero.
+The model factors P(token | context) = P(class | context) P(token | class, context) over the whole head, in classes of
+neighbours by frequency: of WIDE tokens, and as many of WIDE x WIDE tokens (in two steps) as the head needs. The last
+class holds all rare tokens, in buckets by their bytes' CRC-32; their number grows with the different rare tokens. A rare
+token's share of its bucket is its smoothed count. Class logits add the hashed rows of three features: the token before
+(bigram), the one before that (skip) and both (trigram). Logits within a class add the hashed row of the token before
+and the class. Contexts are hashed from the tokens' bytes, whether in the head or not; feature rows grow with the
+different tokens from LEAST_ROWS to MOST_ROWS. Biases are log frequencies, rows start at zero.
 
 Training: every task goes through its own training texts once in sparse numpy batches with scaled gradients, starting
 from the same weights. Its changes go out as row blocks weighted by how often the task saw a row, are added in two
@@ -24,6 +26,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +38,20 @@ from .common import documents, rows, texts, written
 
 END = b""
 HEAD = 150_000
-CLASSES = WIDE = 32
-#: Number of the rare token, alone in the last class; smaller numbers are the model's own tokens.
-RARE = (CLASSES - 1) * WIDE
-#: Hashed rows of class features, and of features within a class.
-ROWS_C, ROWS_W = 8192, 8192
+CLASSES = WIDE = 64
+#: No token of a head has this number; a model's rare buckets are numbered from its own head's size on.
+RARE = HEAD
+#: Hashed rows of class features, and as many of features within a class: one for ROW_TOKENS different tokens. Every
+#: task sends its rows back, so their number is bounded.
+LEAST_ROWS, MOST_ROWS, ROW_TOKENS = 8192, 32768, 16
+#: Stands before a text's first token; no CRC-32 is as large.
+BOS = 1 << 32
 BATCH, ROUNDS, RATE, EASE = 8192, 1, 0.2, 1.0
 BLOCK, SALTS = 256, 16
+#: A row's steps share one scale: its squared slopes over so many of its weights.
+SHARED = 16
+#: Slopes of a row that are added a row at a time.
+SHORT = 8
 #: Different tokens that a task counts before it passes counts on.
 HELD = 200_000
 
@@ -72,55 +82,80 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Model:
     """Weights and the head of the vocabulary."""
 
-    def __init__(self, head: list[tuple[bytes, int]], n_tokens: int, n_distinct: int):
+    def __init__(self, head: list[tuple[bytes, int]], n_tokens: int, n_distinct: int, rare: list[tuple[int, int]] | None = None):
+        """rare: tokens and different tokens of each bucket of rare ones; one bucket if not given."""
         self.number = {t: k for k, (t, _) in enumerate(head)}
         self.n_tokens, self.n_distinct = n_tokens, n_distinct
         count = np.array([n for _, n in head], np.float64)
         self.log_count = np.log10(count + 0.5)
-        own = count[:RARE]
-        rare_n, rare_v = n_tokens - own.sum(), n_distinct - len(own)
-        self.log_rare = np.log10(rare_n + 0.5 * (rare_v + 1))
+        buckets = np.array(rare or [(n_tokens - count.sum(), n_distinct - len(head))], np.float64)
+        self.buckets = len(buckets)
+        rare_mass = buckets[:, 0] + 0.5 * (buckets[:, 1] + 1)
+        self.log_rare = np.log10(rare_mass)
         self.log_all = np.log10(n_tokens + 0.5 * (n_distinct + 1))
-        mass = np.zeros(CLASSES * WIDE)
-        mass[: len(own)] = own + 0.5
-        mass[RARE] = rare_n + 0.5 * (rare_v + 1)
-        by_class = mass.reshape(CLASSES, WIDE)
+        self._place(len(head))
+        mass = np.append(count + 0.5, rare_mass)
+        within = np.zeros((max(CLASSES, self.node.max() + 1), WIDE))
+        np.add.at(within, (self.cls, self.place), mass)
+        deep = np.flatnonzero(self.node >= 0)
+        np.add.at(within, (self.node[deep], self.last[deep]), mass[deep])
         with np.errstate(divide="ignore", invalid="ignore"):
-            self.bias_c = np.maximum(np.log(by_class.sum(1) / mass.sum()), -60).astype(np.float32)
-            within = np.log(by_class / by_class.sum(1, keepdims=True))
-        self.bias_w = np.maximum(np.nan_to_num(within, nan=-60, neginf=-60), -60).astype(np.float32)
-        self.rows_c = np.zeros((ROWS_C, WIDE), np.float32)
-        self.rows_w = np.zeros((ROWS_W, WIDE), np.float32)
+            self.bias_c = np.maximum(np.log(np.bincount(self.cls, mass, CLASSES) / mass.sum()), -60).astype(np.float32)
+            shares = np.log(within / within.sum(1, keepdims=True))
+        self.bias_w = np.maximum(np.nan_to_num(shares, nan=-60, neginf=-60), -60).astype(np.float32)
+        n_rows = LEAST_ROWS
+        while n_rows < MOST_ROWS and n_rows * ROW_TOKENS < n_distinct:
+            n_rows *= 2
+        self.rows_c = np.zeros((n_rows, WIDE), np.float32)
+        self.rows_w = np.zeros((n_rows, WIDE), np.float32)
+
+    def _place(self, n_head: int) -> None:
+        """Of each number, its class and place there; in classes of two steps also the inner node (else -1) and place."""
+        large = max(0, -(-(n_head - (CLASSES - 1) * WIDE) // (WIDE * WIDE - WIDE)))
+        small = CLASSES - 1 - large
+        k = np.arange(n_head)
+        rest, flat_ = k - small * WIDE, k < small * WIDE
+        b = np.arange(self.buckets)
+        stepped = self.buckets > WIDE
+        self.cls = np.append(np.where(flat_, k // WIDE, small + rest // (WIDE * WIDE)), np.full(len(b), CLASSES - 1))
+        self.place = np.append(np.where(flat_, k % WIDE, rest // WIDE % WIDE), b // WIDE if stepped else b)
+        self.node = np.append(np.where(flat_, -1, CLASSES + rest // WIDE), CLASSES + large * WIDE + b // WIDE if stepped else np.full(len(b), -1))
+        self.last = np.append(rest % WIDE, b % WIDE)
 
     def numbered(self, words: list[bytes]) -> np.ndarray:
         """Places in the head; len(head) for all other tokens."""
         return np.fromiter(map(self.number.get, words, repeat(len(self.number))), np.int64, len(words))
 
-    @staticmethod
-    def features(before: np.ndarray, skip: np.ndarray) -> np.ndarray:
+    def features(self, before: np.ndarray, skip: np.ndarray) -> np.ndarray:
         a, b = before.astype(np.uint64), skip.astype(np.uint64)
         mixed = [(a + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15), (b + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)]
-        return np.stack([(m >> np.uint64(40)) % np.uint64(ROWS_C) for m in mixed]).astype(np.int64)
+        mixed.append((mixed[0] ^ (mixed[1] >> np.uint64(7))) * np.uint64(0xD6E8FEB86659FD93))
+        return np.stack([(m >> np.uint64(40)) % np.uint64(len(self.rows_c)) for m in mixed]).astype(np.int64)
 
-    @staticmethod
-    def inner(before: np.ndarray, cls: np.ndarray) -> np.ndarray:
-        m = (before.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + (cls.astype(np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
-        return (((m ^ (m >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(40)) % np.uint64(ROWS_W)).astype(np.int64)
+    def inner(self, before: np.ndarray, node: np.ndarray) -> np.ndarray:
+        m = (before.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + (node.astype(np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
+        return (((m ^ (m >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(40)) % np.uint64(len(self.rows_w))).astype(np.int64)
 
     def forward(self, own: np.ndarray, before: np.ndarray, skip: np.ndarray):  # noqa: ANN201
-        """Natural log-probabilities of tokens, then rows, shares and hits of classes, and of tokens within a class."""
-        cls = own // WIDE
+        """Natural log-probabilities of tokens, then rows, shares and hits of classes, and of steps within a class."""
+        own = np.minimum(own, len(self.cls) - 1)
+        cls = self.cls.take(own)
         f = self.features(before, skip)
         c = self.rows_c.take(f[0], 0)
         c += self.rows_c.take(f[1], 0)
+        c += self.rows_c.take(f[2], 0)
         c += self.bias_c
         score = _soften(c, cls)
-        at = np.flatnonzero(own < RARE)
-        g = self.inner(before[at], cls[at])
+        node = self.node.take(own)
+        deep = np.flatnonzero(node >= 0)
+        node = np.append(cls, node[deep])
+        place = np.append(self.place.take(own), self.last.take(own[deep]))
+        g = self.inner(np.append(before, before[deep]), node)
         w = self.rows_w.take(g, 0)
-        w += self.bias_w.take(cls[at], 0)
-        place = own[at] % WIDE
-        score[at] += _soften(w, place)
+        w += self.bias_w.take(node, 0)
+        within = _soften(w, place)
+        score += within[: len(own)]
+        score[deep] += within[len(own) :]
         return score, f, c, cls, g, w, place
 
     def scored(self, own: np.ndarray, before: np.ndarray, skip: np.ndarray) -> np.ndarray:
@@ -138,12 +173,24 @@ def _soften(logits: np.ndarray, hit: np.ndarray) -> np.ndarray:
     return chosen - np.log(z[:, 0])
 
 
+def _summed(x: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows: short runs a row of each at a time, long ones a run at a time."""
+    total = x.take(first, 0)
+    at = np.flatnonzero((size > 1) & (size <= SHORT))
+    for k in range(1, SHORT):
+        total[at] += x.take(first[at] + k, 0)
+        at = at[size[at] > k + 1]
+    for k in np.flatnonzero(size > SHORT).tolist():
+        np.add.reduce(x[first[k] : first[k] + size[k]], 0, out=total[k])
+    return total
+
+
 class Trainer:
     def __init__(self, model: Model):
         self.m = model
         self.w = [model.rows_c.copy(), model.rows_w.copy()]
         self.seen = [np.zeros(len(x), np.float64) for x in self.w]
-        self.past = [np.full(x.shape, EASE, np.float32) for x in self.w]
+        self.past = [np.full((len(x), 1), EASE, np.float32) for x in self.w]
         self.work = Model.__new__(Model)
         self.work.__dict__.update(model.__dict__)
         self.work.rows_c, self.work.rows_w = self.w
@@ -154,6 +201,7 @@ class Trainer:
         w[np.arange(len(place)), place] -= 1
         self._move(0, f[0], c)
         self._move(0, f[1], c)
+        self._move(0, f[2], c)
         self._move(1, g, w)
 
     def _move(self, k: int, rows_at: np.ndarray, slope: np.ndarray) -> None:
@@ -162,11 +210,12 @@ class Trainer:
         order = np.argsort(rows_at, kind="stable")
         r = rows_at[order]
         first = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
-        total = np.add.reduceat(slope.take(order, 0), first, axis=0)
+        size = np.diff(np.append(first, len(rows_at)))
+        total = _summed(slope.take(order, 0), first, size)
         r = r[first]
-        self.seen[k][r] += np.diff(np.append(first, len(rows_at)))
+        self.seen[k][r] += size
         past = self.past[k].take(r, 0)
-        past += total * total
+        past += np.einsum("ij,ij->i", total, total)[:, None] / SHARED
         self.past[k][r] = past
         np.sqrt(past, out=past)
         total /= past
@@ -186,13 +235,12 @@ class Trainer:
 
 
 def _stream(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """(token or RARE, token before, token before that) of many texts at a time."""
-    bos = len(model.number) + 1
+    """(token or rare bucket, hash of the token before, hash of the one before that) of many texts at a time."""
     for (part,) in rows(batches, "text"):
-        yield _contexts(model, part, bos)[1:4]
+        yield _contexts(model, part)[1:4]
 
 
-def _contexts(model: Model, part: list[str], bos: int):  # noqa: ANN202
+def _contexts(model: Model, part: list[str]):  # noqa: ANN202
     words, sizes = [], []
     for text in part:
         own = tokens_of(text)
@@ -200,13 +248,14 @@ def _contexts(model: Model, part: list[str], bos: int):  # noqa: ANN202
         words.append(own)
     flat = [w for own in words for w in own]
     number = model.numbered(flat)
+    hashed = np.fromiter(map(crc32, flat), np.int64, len(flat))
     size = np.array(sizes, np.int64)
     start = np.cumsum(size) - size
-    before = np.append(bos, number[:-1])
-    before[start] = bos
-    skip = np.append(bos, before[:-1])
-    skip[start] = bos
-    own = np.where(number < min(RARE, len(model.number)), number, RARE)
+    before = np.append(BOS, hashed[:-1])
+    before[start] = BOS
+    skip = np.append(BOS, before[:-1])
+    skip[start] = BOS
+    own = np.where(number < len(model.number), number, len(model.number) + hashed % model.buckets)
     return number, own, before, skip, start, size, flat
 
 
@@ -253,7 +302,7 @@ def train_round(train: DataFrame, model: Model) -> Model:
     for block, _, body in changes.repartition(n, "block").mapInArrow(_added, kind).collect():
         v = np.frombuffer(bytes(body), np.float32)
         seen, change = v[:BLOCK], v[BLOCK:].reshape(BLOCK, WIDE)
-        rows_, at = (model.rows_c, block * BLOCK) if block < ROWS_C // BLOCK else (model.rows_w, block * BLOCK - ROWS_C)
+        rows_, at = (model.rows_c, block * BLOCK) if block < len(model.rows_c) // BLOCK else (model.rows_w, block * BLOCK - len(model.rows_c))
         rows_[at : at + BLOCK] += change / np.maximum(seen, 1)[:, None]
     return model
 
@@ -276,13 +325,17 @@ def learn(train: DataFrame) -> tuple[Model, DataFrame]:
     """train: (doc_id, text). The model, and the totals of tokens outside its head."""
     totals = token_totals(train)
     head, least, n_tokens, n_distinct = _head(totals, HEAD)
-    model = Model(head, n_tokens, n_distinct)
+    tail = totals.where(F.col("n") < least)
+    rare = [(0, 0)] * max(1, min(WIDE * WIDE, (n_distinct - len(head)) // WIDE))
+    for b, n, v in tail.groupBy((F.crc32("token") % len(rare)).alias("b")).agg(F.sum("n"), F.count("*")).collect():  # at most WIDE x WIDE rows
+        rare[b] = (n, v)
+    model = Model(head, n_tokens, n_distinct, rare)
     for _ in range(ROUNDS if n_tokens else 0):
         model = train_round(train, model)
-    return model, totals.where(F.col("n") < least)
+    return model, tail
 
 
-_SCORED = "row long, doc_id long, n_tokens long, n_known long, n_rare long, own double, head double, head_rare double, tail array<struct<token:binary,n:long>>"
+_SCORED = "row long, doc_id long, n_tokens long, n_known long, own double, head double, rare double, tail array<struct<token:binary,n:long>>"
 
 
 def score(df: DataFrame, model: Model, tail: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -291,13 +344,12 @@ def score(df: DataFrame, model: Model, tail: DataFrame, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
-        bos, pair = len(m.number) + 1, pa.struct([("token", pa.binary()), ("n", pa.int64())])
+        pair = pa.struct([("token", pa.binary()), ("n", pa.int64())])
         key = TaskContext.get().partitionId() << 36
         log_count = np.append(m.log_count, 0.0)
         for ids, part in rows(batches, "doc_id", "text"):
-            number, own, before, skip, start, size, flat = _contexts(m, part, bos)
+            number, own, before, skip, start, size, flat = _contexts(m, part)
             known = number < len(m.number)
-            rare = own == RARE
             logs = log_count[number]
             add = lambda v: np.add.reduceat(v.astype(np.float64), start)
             tails: list[list[tuple[bytes, int]]] = []
@@ -306,12 +358,12 @@ def score(df: DataFrame, model: Model, tail: DataFrame, id_col: str = "doc_id",
             for a, b in zip(of[:-1], of[1:]):
                 tails.append([{"token": t, "n": n} for t, n in Counter(flat[k] for k in off[a:b].tolist()).items()])
             cols = [
-                np.arange(key, key + len(ids)), None, size, add(known).astype(np.int64), add(rare).astype(np.int64),
-                add(m.scored(own, before, skip)) / np.log(10), add(logs), add(np.where(rare, logs, 0.0)),
+                np.arange(key, key + len(ids)), None, size, add(known).astype(np.int64), add(m.scored(own, before, skip)) / np.log(10), add(logs),
+                add(np.where(known, 0.0, m.log_rare.take(np.maximum(own - len(m.number), 0)))),
             ]
             key += len(ids)
             arrays = [pa.array(ids, pa.int64()) if c is None else pa.array(c) for c in cols]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(tails, pa.list_(pair))], names=["row", "doc_id", "n_tokens", "n_known", "n_rare", "own", "head", "head_rare", "tail"])
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(tails, pa.list_(pair))], names=["row", "doc_id", "n_tokens", "n_known", "own", "head", "rare", "tail"])
 
     scored = written(texts(df, id_col, text_col).mapInArrow(run, _SCORED), "scored")
     other = scored.select("row", F.explode("tail").alias("t")).select("row", F.col("t.token").alias("token"), F.col("t.n").alias("tf"))
@@ -324,7 +376,7 @@ def score(df: DataFrame, model: Model, tail: DataFrame, id_col: str = "doc_id",
         (F.col("n_known") + known).cast("long").alias("n_known"),
         F.lit(int(model.n_tokens)).cast("long").alias("train_tokens"),
         (F.col("head") + logs - F.col("n_tokens") * F.lit(float(model.log_all))).alias("base_score"),
-        (F.col("own") + F.col("head_rare") + logs - F.col("n_rare") * F.lit(float(model.log_rare))).alias("score"),
+        (F.col("own") + logs - F.col("rare")).alias("score"),
     )
 
 

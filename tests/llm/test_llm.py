@@ -380,6 +380,31 @@ def test_lm_learns(spark):
     assert abs(total[:90].sum() + total[-1] - 1) < 1e-4
 
 
+@pytest.mark.parametrize("head", [150_000, 100])
+def test_lm_tells_rare_words_apart(spark, monkeypatch, head):
+    """1,200 pairs of equally frequent words, more than 992 tokens: what follows a word is known for each, in and past the head."""
+    monkeypatch.setattr(lm_scoring, "HEAD", head)
+    r = random.Random(3)
+    pairs = [f"l{i} r{i}" for i in range(1200)]
+    train = spark.createDataFrame([(i, " ".join(r.sample(pairs, 1200))) for i in range(40)], "doc_id long, text string").repartition(2)
+    model, tail = lm_scoring.learn(train)
+    assert (len(model.number) == 2401) == (head == 150_000) and model.cls.max() == 63
+    asked = spark.createDataFrame([(2 * i + odd, f"l{i} r{i + 7 * odd}") for i in range(1100) for odd in (0, 1)], "doc_id long, text string")
+    got = {x.doc_id: x for x in lm_scoring.score(asked, model, tail).collect()}
+    assert all(abs(got[2 * i].base_score - got[2 * i + 1].base_score) < 1e-9 for i in range(1100))
+    assert sum(got[2 * i].score > got[2 * i + 1].score for i in range(1100)) > 1000
+
+
+def test_lm_shares_add_up():
+    """Shares of a whole head with classes of two steps, and of all buckets of rare tokens, are one."""
+    m = lm_scoring.Model([(b"%d" % i, 20_000 - i) for i in range(20_000)], 10**9, 10**6, [(1000, 9)] * 4096)
+    m.rows_c += np.random.default_rng(1).normal(size=m.rows_c.shape)
+    m.rows_w += np.random.default_rng(2).normal(size=m.rows_w.shape)
+    own = np.arange(24_096)
+    assert len(set(zip(m.cls, m.place, m.last * (m.node >= 0)))) == len(m.cls) == 24_096
+    assert abs(np.exp(m.scored(own, np.full(24_096, 3), np.full(24_096, 5))).sum() - 1) < 1e-4
+
+
 def test_pipeline(spark, docs):
     clash = docs.drop("score")
     found = stages.identify_language(spark, clash, DATA)
