@@ -1,0 +1,84 @@
+"""Near copies by word shingles: five words, Jaccard similarity of 0.8 or more.
+
+A text's sketch is the least values of 64 hashes over its different shingles, in 16 bands of 4. Texts that share a band
+meet: each is paired with the least and the greatest text of the band, so a group of copies gives two pairs a member,
+whatever its size. A pair links only if the similarity of its complete shingle sets is 0.8 or more. Two texts of
+similarity 0.8 share no band once in 4,600 times; a pair is also lost where it meets only in bands whose least and greatest
+texts are neither of it nor similar to both.
+
+Texts are known by their 64-bit hash, so rows that repeat an id with other texts are apart. Texts without a word are in
+no group. A text of fewer than five words is one shingle.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import rows, texts, written
+from .components import components
+
+WORDS, LEAST, BANDS, DEEP = 5, 0.8, 16, 4
+#: Shingles hashed at a time.
+CHUNK = 1 << 12
+_MIX = np.random.default_rng(42).integers(1, 1 << 63, (BANDS * DEEP, 1), np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingles(text: str) -> np.ndarray:
+    """The different shingles' hashes, in order."""
+    words = text.encode().lower().split()
+    hashed = xxhash.xxh64_intdigest
+    if len(words) < WORDS:
+        return np.array([hashed(b" ".join(words))] if words else [], np.uint64)
+    return np.unique(np.array([hashed(b"%b %b %b %b %b" % t) for t in zip(*(words[k:] for k in range(WORDS)))], np.uint64))
+
+
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for nodes, part in rows(batches, "node", "text"):
+        keys, of = [], []
+        for node, text in zip(nodes, part):
+            h = shingles(text)
+            if len(h):
+                low = np.min([(h[i : i + CHUNK] * _MIX).min(1) for i in range(0, len(h), CHUNK)], 0).reshape(BANDS, DEEP)
+                keys += [xxhash.xxh64_intdigest(low[b].tobytes(), b) for b in range(BANDS)]
+                of += [node] * BANDS
+        yield pa.RecordBatch.from_arrays([pa.array(of, pa.int64()), pa.array(np.array(keys, np.uint64).view(np.int64))], names=["node", "band"])
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for u, v, a, b in rows(batches, "u", "v", "a", "b"):
+        keep = []
+        for x, y in zip(a, b):
+            s, t = shingles(x), shingles(y)
+            both = len(np.intersect1d(s, t, assume_unique=True))
+            keep.append(both >= LEAST * (len(s) + len(t) - both))
+        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+
+def marked(df: DataFrame) -> DataFrame:
+    """(node, doc_id, text) of each row."""
+    return texts(df).withColumn("node", F.xxhash64("text"))
+
+
+def copies(df: DataFrame) -> DataFrame:
+    """(node, component_id) of each text of a group of two or more; component_id is the group's least known id."""
+    docs = marked(df)
+    sketch = written(docs.select("node", "text").mapInArrow(_sketch, "node long, band long"), "sketch")
+    ends = sketch.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
+    met = sketch.join(ends, "band").select("node", F.explode(F.array("low", "high")).alias("end")).where("node <> end")
+    pairs = written(met.select(F.least("node", "end").alias("u"), F.greatest("node", "end").alias("v")).distinct(), "pairs")
+    asked = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    # one row a text, though ids may repeat it
+    known = written(docs.join(asked, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text")), "asked")
+    left = known.select(F.col("node").alias("u"), F.col("text").alias("a"))
+    right = known.select(F.col("node").alias("v"), F.col("text").alias("b"))
+    links = written(pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(_alike, "u long, v long"), "links")
+    of = components(links).withColumnRenamed("u", "node")
+    group = of.union(of.select("component", "component")).distinct()
+    ids = group.join(known.select("node", "doc_id"), "node")
+    return ids.select("node", "component").join(ids.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select("node", "component_id")

@@ -421,3 +421,28 @@ def test_pipeline(spark, docs):
     mixed = stages.mix_sources(spark, near, DATA)
     assert {r.doc_id for r in mixed.collect()} == {r.doc_id for r in near.collect()} and mixed.columns == clash.columns
     assert corpus_pipeline.run(spark, DATA).count() > 0 and 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+def test_pipeline_drops_similar_texts(spark):
+    """Edited copies of similarity 0.8 or more go, less similar ones and rows without an id stay."""
+    stage = next(f for name, f in stages.STAGES if "near" in name)
+    r, texts_ = random.Random(9), []
+    for k in range(30):
+        words = [f"{k}w{i}" for i in range(300)]
+        texts_.append(" ".join(words))
+        for edits in (1, 3, 5, 30):
+            other = list(words)
+            for at in r.sample(range(5, 295), edits):
+                other[at] = "edited%d" % r.randrange(10**9)
+            texts_.append(" ".join(other))
+
+    def cut(t):
+        w = t.split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    alike = lambda a, b: len(cut(a) & cut(b)) >= 0.8 * len(cut(a) | cut(b))
+    want = {i for i, t in enumerate(texts_) if i % 5 == 0 or not any(alike(t, texts_[j]) for j in range(i - i % 5, i))}
+    rows = [(i, t, "x") for i, t in enumerate(texts_)] + [(None, texts_[0] + " more", "x"), (1, "another text of a repeated id", "x")]
+    got = stage(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3), DATA)
+    assert got.columns == ["doc_id", "text", "lang"] and 30 < len(want) < 90
+    assert Counter(str(x.doc_id) for x in got.collect()) == Counter([*map(str, want), "None", "1"])
