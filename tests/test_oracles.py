@@ -32,3 +32,9 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_captions_are_whole_texts(spark):
+    got = {r.key: (r.caption, r.recorded) for r in entry.queries()["caption_mismatch"](spark, DATA).collect()}
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    assert got and got == {k: ("x" + texts[k], texts[k]) for k in got} and max(len(t) for _, t in got.values()) > 40
