@@ -3,21 +3,22 @@
 Sorting all suffixes of a corpus together doesn't distribute, so strings are first sent to where they can meet:
 
 1. Documents are dealt by hash of id into groups of bounded size. In a group, the least hash of the KGRAM-byte grams in
-   each WIDTH-byte window is taken; a run is a stretch of windows with the same least hash, its context the bytes that
+   each WIDTH-byte window is taken; a run is a stretch of windows with the same least hash, its piece the bytes that
    they cover. Equal strings have equal least hashes, so they lie in runs of the same hash.
-2. Each group sends one (hash, context's hash, smallest id) for each different context, packed by hash bucket. A bucket
-   answers only what is shared: contexts that other groups have too, with the smallest id of all, and contexts whose
-   hash has other contexts with other owners.
-3. A run whose context has a smaller owner is removed whole. Only the owner of a context can still hold strings of
-   other contexts, so only owners send the context's bytes. What a group of copies adds is one row for each group of
-   documents, not for each copy.
-4. Buckets build the suffix array of these contexts (suffixes.py: two-stage sorting, adjacent common prefixes). Among
-   neighbours with WIDTH common bytes, suffixes whose document isn't the smallest answer with their places.
-5. Documents with answers pending get the union of both kinds of places; all others are finished in step 3.
+2. Groups send their different hashes, packed by bucket. A bucket answers which of them other groups have too, and which
+   are hot: with over HOT different pieces in all.
+3. Groups send the bytes of each different piece whose hash is shared, by other groups or by several documents or pieces
+   of their own, with its smallest id and the places of its runs. A piece with a hot hash is sent a window at a time, and
+   each window goes by a hash of its own, so no frequent gram gathers in one bucket.
+4. Buckets make equal pieces one and build suffix arrays of a hash's different pieces (suffixes.py: two-stage sorting,
+   adjacent common prefixes), some million bytes at a time, never parting pieces of one hash. Among neighbours with
+   WIDTH common bytes, those whose id isn't the smallest answer with their places. All is decided by bytes; hashes
+   only bring strings together.
+5. Groups cut the places out. All steps read the one exchange of the texts; texts cross the network once.
 
 Strings are judged on the input, not on what is left, and never cross documents. Null text is the empty text. Null ids
 count as larger than all others and equal to each other; documents of equal id don't remove from each other. Texts
-shorter than WIDTH bytes stay whole. An empty table gives an empty result. Hashes of contexts have 96 bits in all.
+shorter than WIDTH bytes stay whole. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,14 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, sha256, texts, written
+from .common import documents, sha256, texts
 from .suffixes import sorted_windows
 
 WIDTH, KGRAM = 50, 20
-#: Bytes of text in a group, and of packed rows in a bucket, on average.
-GROUP_BYTES, BUCKET_BYTES = 8 << 20, 24 << 20
-#: Window starts looked at in one go.
-STRETCH = 1 << 19
+#: Bytes of text in a group, and of text whose pieces meet in a bucket, on average.
+GROUP_BYTES, BUCKET_BYTES = 8 << 20, 8 << 20
+#: Window starts looked at in one go, and bytes of pieces that are sorted together unless one hash has more.
+STRETCH, SORTED_BYTES = 1 << 19, 2 << 20
+#: Different pieces of one hash, in all groups, beyond which its windows are dealt one by one.
+HOT = 20_000
 NO_ID = np.iinfo(np.int64).max
 _LOW48 = np.uint64((1 << 48) - 1)
 
@@ -108,33 +111,41 @@ def all_runs(flat: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _pack(*cols: np.ndarray) -> bytes:
-    """Columns by planes of bytes, so that high bytes that don't vary take no room once compressed; 6 bytes of hashes."""
-    n = len(cols[0])
-    out = [np.array([n], np.int64).tobytes()]
+    """Each column by planes of bytes, of which those that are 0 throughout are left out."""
+    out = []
     for c in cols:
-        planes = np.ascontiguousarray(c).view(np.uint8).reshape(n, 8).T
-        out.append(np.ascontiguousarray(planes[: 6 if c.dtype == np.uint64 else 8]).tobytes())
+        n = len(c)
+        planes = np.ascontiguousarray(c).view(np.uint8).reshape(n, 8)
+        width = next((k for k in range(8, 0, -1) if planes[:, k - 1].any()), 0)
+        out += [np.array([n, width], np.int64).tobytes(), np.ascontiguousarray(planes[:, :width].T).tobytes()]
     return b"".join(out)
 
 
-def _unpack(data: bytes, kinds: str) -> list[np.ndarray]:
-    """kinds: u for hashes, i for numbers."""
-    n, at, out = int(np.frombuffer(data, np.int64, 1)[0]), 8, []
-    for k in kinds:
+def _unpack(data: bytes, n_cols: int) -> tuple[list[np.ndarray], int]:
+    """The first columns, as signed numbers, and where they end."""
+    at, out = 0, []
+    for _ in range(n_cols):
+        n, width = np.frombuffer(data, np.int64, 2, at).tolist()
         planes = np.zeros((n, 8), np.uint8)
-        own = 6 if k == "u" else 8
-        planes[:, :own] = np.frombuffer(data, np.uint8, own * n, at).reshape(own, n).T
-        out.append(planes.reshape(-1).view(np.uint64 if k == "u" else np.int64))
-        at += own * n
-    return out
+        planes[:, :width] = np.frombuffer(data, np.uint8, width * n, at + 16).reshape(width, n).T
+        out.append(planes.reshape(-1).view(np.int64))
+        at += 16 + width * n
+    return out, at
 
 
-def _stacked(column: pa.ChunkedArray, kinds: str) -> tuple[list[np.ndarray], np.ndarray]:
-    """All rows of a packed column, and of which row each came."""
-    parts = [_unpack(x.as_py(), kinds) for x in column]
-    if not parts:
-        return [np.zeros(0, np.uint64 if k == "u" else np.int64) for k in kinds], np.zeros(0, np.int64)
-    return [np.concatenate(p) for p in zip(*parts)], np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
+def _heads(*keys: np.ndarray) -> np.ndarray:
+    """Whether each row differs from the one before."""
+    new = np.zeros(len(keys[0]), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return new
+
+
+def _spread(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For runs of these sizes one after another: of which run each element is, and its place there."""
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    return of, np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 class _Group:
@@ -151,64 +162,157 @@ class _Group:
         self.ends = np.concatenate([[0], np.cumsum([len(b) for b in self.bodies])]).astype(np.int64)
         self.flat = np.frombuffer(b"".join(self.bodies), np.uint8)
 
-    def contexts(self):  # noqa: ANN201
-        """Runs in order of (hash, context, id), and where each different context begins."""
-        h, c, doc, start, end = all_runs(self.flat, self.ends)
-        order = np.lexsort((start, doc, c, h))
-        h, c, doc, start, end = (x[order] for x in (h, c, doc, start, end))
-        new = np.append(True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])) if len(h) else np.zeros(0, bool)
-        return h, c, doc, start, end, np.flatnonzero(new), np.cumsum(new) - 1
+    def runs(self) -> tuple[np.ndarray, ...]:
+        return all_runs(self.flat, self.ends)
+
+    def same(self, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether the bytes from a are those from b."""
+        out, cuts = np.ones(len(a), bool), np.cumsum(size) // STRETCH
+        for k in range(int(cuts[-1]) + 1 if len(a) else 0):
+            own = np.flatnonzero(cuts == k)
+            of, nth = _spread(size[own])
+            out[own[of[self.flat[a[own][of] + nth] != self.flat[b[own][of] + nth]]]] = False
+        return out
 
 
 _SENT = "bucket int, g int, body binary"
 _SENT_ARROW = pa.schema([("bucket", pa.int32()), ("g", pa.int32()), ("body", pa.binary())])
 
 
-def _by_part(part: np.ndarray, cols: tuple[np.ndarray, ...]) -> Iterator[tuple[int, bytes]]:
-    """Packed rows of each part's number."""
+def _sent(found: list[tuple[int, int, bytes]]) -> pa.Table:
+    cols = list(zip(*found)) if found else [[], [], []]
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, _SENT_ARROW.types)], schema=_SENT_ARROW)
+
+
+def _parts(part: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows of each part, in their order."""
     order = np.argsort(part, kind="stable")
-    part = part[order]
-    cuts = np.flatnonzero(np.diff(part)) + 1
-    for own in np.split(order, cuts) if len(order) else []:
-        yield own, _pack(*(c[own] for c in cols))
-
-
-def _send(buckets: int):  # noqa: ANN202
-    def send(key: tuple, table: pa.Table) -> pa.Table:
-        group = _Group(table)
-        h, c, doc, _, _, first, _ = group.contexts()
-        h, c, low = h[first], c[first], group.ids[doc[first]]
-        part = (h % np.uint64(buckets)).astype(np.int64)
-        got = [(int(part[own[0]]), body) for own, body in _by_part(part, (h, c, low))]
-        g = key[0].as_py()
-        return pa.Table.from_arrays([pa.array([x[0] for x in got], pa.int32()), pa.array([g] * len(got), pa.int32()), pa.array([x[1] for x in got], pa.binary())], schema=_SENT_ARROW)
-
-    return send
-
-
-def _answer(key: tuple, table: pa.Table) -> pa.Table:
-    """For each group, the shared ones of its contexts: hash, context, smallest id, and 1 if its owner is to send bytes."""
-    (h, c, low), row = _stacked(table.column("body"), "uui")
-    g = np.array(table.column("g").to_pylist(), np.int64)[row]
-    order = np.lexsort((g, low, c, h))
-    h, c, low, g = h[order], c[order], low[order], g[order]
-    if not len(h):
-        return pa.Table.from_arrays([pa.array([], t) for t in _SENT_ARROW.types], schema=_SENT_ARROW)
-    new_h = np.append(True, h[1:] != h[:-1])
-    new_c = new_h | np.append(True, c[1:] != c[:-1])
-    first = np.flatnonzero(new_c)
-    of = np.cumsum(new_c) - 1
-    owner = low[first]
-    heads = np.flatnonzero(new_h[first])  # contexts that begin a hash
-    several = np.minimum.reduceat(owner, heads) != np.maximum.reduceat(owner, heads)
-    several = several[np.cumsum(new_h[first]) - 1]
-    shared = np.bincount(of) > 1
-    asked = np.zeros(len(h), bool)
-    asked[first] = several
-    keep = np.flatnonzero(shared[of] | asked)
-    cols = (h[keep], c[keep], owner[of[keep]], asked[keep].astype(np.int64))
-    got = [(int(g[keep[own[0]]]), body) for own, body in _by_part(g[keep], cols)]
-    return pa.Table.from_arrays([pa.array([key[0].as_py()] * len(got), pa.int32()), pa.array([x[0] for x in got], pa.int32()), pa.array([x[1] for x in got], pa.binary())], schema=_SENT_ARROW)
+    if len(order):
+        yield from np.split(order, np.flatnonzero(np.diff(part[order])) + 1)
+
+
+def _offered(h: np.ndarray, c: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
+    """Different hashes in order, the pieces of each (told apart by 16 bits), and each bucket's share of them."""
+    keys = np.sort((h << np.uint64(16)) | (c & np.uint64(0xFFFF)))
+    h = keys[_heads(keys)] >> np.uint64(16)
+    first = np.flatnonzero(_heads(h))
+    own = h[first]
+    part = (own % np.uint64(buckets)).astype(np.int64)
+    return own, np.diff(np.append(first, len(h))), [(int(part[x[0]]), x) for x in _parts(part)]
+
+
+def _offer(buckets: int):  # noqa: ANN202
+    def offer(key: tuple, table: pa.Table) -> pa.Table:
+        h, c, *_ = _Group(table).runs()
+        own, n, parts = _offered(h, c, buckets)
+        return _sent([(b, key[0].as_py(), _pack(np.diff(own[x], prepend=np.uint64(0)), n[x])) for b, x in parts])
+
+    return offer
+
+
+def _answer(hot: int):  # noqa: ANN202
+    def answer(key: tuple, table: pa.Table) -> pa.Table:
+        """For each group, of each hash that it offers: 0 if no other group has it, else 1, or 2 if hot."""
+        h, n = [], []
+        for x in table.column("body"):
+            (step, many), _ = _unpack(x.as_py(), 2)
+            h.append(np.cumsum(step))
+            n.append(many)
+        sizes = [len(x) for x in h]
+        h, n = np.concatenate(h), np.concatenate(n)
+        order = np.argsort(h, kind="stable")
+        first = np.flatnonzero(_heads(h[order]))
+        state = np.where(np.diff(np.append(first, len(h))) < 2, 0, np.where(np.add.reduceat(n[order], first) > hot, 2, 1)) if len(h) else h
+        said = np.empty(len(h), np.uint8)
+        said[order] = np.repeat(state, np.diff(np.append(first, len(h))))
+        parts = np.split(said, np.cumsum(sizes)[:-1])
+        return _sent([(key[0].as_py(), g, x.tobytes()) for g, x in zip(table.column("g").to_pylist(), parts)])
+
+    return answer
+
+
+_WINDOW = np.random.default_rng(50).integers(0, 1 << 63, 4096, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _windows(group: _Group, doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of one window each, by the window's own hash."""
+    of, nth = _spread(end - start - WIDTH + 1)
+    doc, start = doc[of], start[of] + nth
+    mixed = np.zeros(len(start), np.uint64)
+    for k in range(WIDTH):
+        mixed += _BYTE[group.flat[start + k]] * _WINDOW[k]
+    mixed = _mixed(mixed)
+    return mixed & _LOW48, mixed >> np.uint64(16), doc, start, start + WIDTH
+
+
+def _pieces(buckets: int):  # noqa: ANN202
+    def pieces(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
+        if not docs.num_rows:
+            return _sent([])
+        group = _Group(docs)
+        h, c, doc, start, end = group.runs()
+        own, n, parts = _offered(h, c, buckets)
+        said = dict(zip(answers.column("bucket").to_pylist(), (x.as_py() for x in answers.column("body"))))
+        state = np.zeros(len(own), np.uint8)
+        for b, x in parts:
+            state[x] = np.frombuffer(said[b], np.uint8)
+        # runs of one piece side by side, in order of ids; those that can't meet any other go
+        order = np.lexsort((c, h))
+        h, c = h[order], c[order]
+        of = np.cumsum(_heads(h)) - 1
+        new = np.append(_heads(h, c), True)
+        meets = ((state > 0) | (n > 1))[of]
+        stay = np.flatnonzero(meets | ~(new[1:] & new[:-1]))
+        order, h, c, meets, hot = order[stay], h[stay], c[stay], meets[stay], (state == 2)[of[stay]]
+        doc, start, end = doc[order], start[order], end[order]
+        if hot.any():
+            more = _windows(group, doc[hot], start[hot], end[hot])
+            h, c, doc, start, end = (np.append(x[~hot], y) for x, y in zip((h, c, doc, start, end), more))
+            meets = np.append(meets[~hot], np.ones(len(more[0]), bool))
+            order = np.lexsort((c, h))
+            h, c, doc, start, end, meets = (x[order] for x in (h, c, doc, start, end, meets))
+        new = _heads(h, c)
+        first = np.flatnonzero(new)[np.cumsum(new) - 1] if len(new) else np.zeros(0, np.int64)
+        again = np.flatnonzero(~new)
+        size = end - start
+        differs = again[size[again] != size[first[again]]]
+        again = again[size[again] == size[first[again]]]
+        differs = np.append(differs, again[~group.same(start[again], start[first[again]], size[again])])
+        if len(differs):  # of equal hash, but not of equal bytes: pieces of their own
+            c[differs] = np.uint64(1 << 48) + np.arange(len(differs), dtype=np.uint64)
+            meets[np.isin(h, h[differs])] = True
+            order = np.lexsort((c, h))
+            h, c, doc, start, end, meets = (x[order] for x in (h, c, doc, start, end, meets))
+            new = _heads(h, c)
+        first = np.flatnonzero(new)
+        of = np.cumsum(new) - 1
+        ids = group.ids[doc]
+        low = np.minimum.reduceat(ids, first) if len(first) else ids
+        other = ids > low[of]
+        several = np.logical_or.reduceat(other, first) if len(first) else other
+        send = np.flatnonzero(meets[first] | several)
+        taken = np.zeros(len(first), bool)
+        taken[send] = True
+        same = np.bincount(of[~other], minlength=len(first))
+        more = np.bincount(of[other], minlength=len(first))
+        runs_ = np.flatnonzero(taken[of])
+        runs_ = runs_[np.lexsort((other[runs_], of[runs_]))]
+        begins = start[runs_]
+        until = np.cumsum((same + more)[send])
+        part = (h[first[send]] % np.uint64(buckets)).astype(np.int64)
+        out = []
+        for x in _parts(part):
+            k = send[x]
+            lead = first[k]
+            size = end[lead] - start[lead]
+            row, nth = _spread((same + more)[k])
+            own_begins = begins[(until[x] - (same + more)[k])[row] + nth]
+            row, nth = _spread(size)
+            flat = group.flat[start[lead][row] + nth].tobytes()
+            out.append((int(part[x[0]]), key[0].as_py(), _pack(np.diff(h[lead], prepend=np.uint64(0)), size, low[k], same[k], more[k], own_begins) + flat))
+        return _sent(out)
+
+    return pieces
 
 
 def union(start: np.ndarray, end: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -225,133 +329,112 @@ def union(start: np.ndarray, end: np.ndarray, cuts: np.ndarray) -> tuple[np.ndar
     return start[first], np.append(end[first[1:] - 1], end[-1])
 
 
-_STEP = "kind int, g int, bucket int, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, body binary, text binary"
-_STEP_ARROW = pa.schema(
-    [("kind", pa.int32()), ("g", pa.int32()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("body", pa.binary()), ("text", pa.binary())]
-)
-DONE, CONTEXTS, PENDING = 0, 1, 2
-
-
 def _digest(body: bytes, start: np.ndarray, end: np.ndarray) -> tuple[int, int, int, str]:
     kept = b"".join(body[a:b] for a, b in zip([0, *end.tolist()], [*start.tolist(), len(body)]))
     return len(body), len(body) - len(kept), len(start), sha256(kept)
 
 
-def _judge(buckets: int):  # noqa: ANN202
-    def judge(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
-        g = (key[0]).as_py()
-        out: list[tuple] = []
-        if not docs.num_rows:
-            return _table(out)
-        group = _Group(docs)
-        h, c, doc, start, end, first, of = group.contexts()
-        low = group.ids[doc[first]]
-        ask = np.zeros(len(first), bool)
-        (ah, ac, alow, aask), _ = _stacked(answers.column("body"), "uuii")
-        if len(ah):
-            # both sides have each (hash, context) once: merge them by sorting
-            keys = np.lexsort((np.append(np.zeros(len(first)), np.ones(len(ah))), np.append(c[first], ac), np.append(h[first], ah)))
-            at = np.flatnonzero(keys >= len(first))
-            mine, theirs = keys[at - 1], keys[at] - len(first)
-            low[mine] = np.minimum(low[mine], alow[theirs])
-            ask[mine] = aask[theirs] > 0
-        gone = group.ids[doc] > low[of]
-        cuts = group.ends
-        a, b = union(start[gone], end[gone], cuts)
-        asked = ask[of] & ~gone
-        # contexts to send: the first run of each has the bytes, all its runs wait for the answer
-        sent = np.flatnonzero(asked)
-        waits = np.zeros(len(group.ids), bool)
-        waits[doc[sent]] = True
-        if len(sent):
-            head = np.append(True, of[sent][1:] != of[sent][:-1])
-            part = (h[sent] % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            cut = np.flatnonzero(np.diff(part[order])) + 1
-            for own in np.split(order, cut):
-                runs_, heads = sent[own], np.flatnonzero(head[own])
-                lead = runs_[heads]
-                n = np.diff(np.append(heads, len(own)))
-                flat = b"".join(group.flat[s:e].tobytes() for s, e in zip(start[lead], end[lead]))
-                body = _pack(group.ids[doc[lead]], end[lead] - start[lead], n) + _pack(start[runs_]) + flat
-                out.append((CONTEXTS, g, int(part[own[0]]), None, None, None, None, None, body, None))
-        lo, hi = np.searchsorted(a, group.ends[:-1]), np.searchsorted(a, group.ends[1:])
-        for k, (i, body, base) in enumerate(zip(group.ids.tolist(), group.bodies, group.ends.tolist())):
-            s, e = a[lo[k] : hi[k]] - base, b[lo[k] : hi[k]] - base
-            i = None if group.null[k] else i
-            if waits[k]:
-                out.append((PENDING, g, None, i, base, None, None, None, _pack(s, e), body))
-            else:
-                out.append((DONE, g, None, i, *_digest(body, s, e), None, None))
-        return _table(out)
-
-    return judge
-
-
-def _table(out: list[tuple]) -> pa.Table:
-    cols = list(zip(*out)) if out else [[] for _ in _STEP_ARROW]
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, _STEP_ARROW.types)], schema=_STEP_ARROW)
-
-
-def _places(key: tuple, table: pa.Table) -> pa.Table:
-    """Suffix array of a bucket's contexts; for each group, the places of strings that a smaller id has."""
-    ids, sizes, times, begins, owners, flats = [], [], [], [], [], []
-    for g, cell in zip(table.column("g").to_pylist(), table.column("body")):
-        data = cell.as_py()
-        n = int(np.frombuffer(data, np.int64, 1)[0])
-        i, size, k = _unpack(data, "iii")
-        at = 8 + 24 * n
-        (begin,) = _unpack(data[at:], "i")
-        ids.append(i)
-        sizes.append(size)
-        times.append(k)
-        begins.append(begin)
-        owners.append(np.full(n, g, np.int64))
-        flats.append(np.frombuffer(data, np.uint8, offset=at + 8 + 8 * len(begin)))
-    if not ids:
-        return pa.Table.from_arrays([pa.array([], t) for t in _SENT_ARROW.types], schema=_SENT_ARROW)
-    i, size, k, begin, g = (np.concatenate(x) for x in (ids, sizes, times, begins, owners))
+def _gone(pieces: np.ndarray, size: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffix array of pieces that lie one after another: (piece, start, end) of stretches that a smaller id has."""
     start = np.cumsum(size + 1) - size - 1
-    flat = np.zeros(int(size.sum() + len(size)), np.uint8)
-    flat[np.ones(len(flat), bool) if not len(size) else ~np.isin(np.arange(len(flat)), start + size, assume_unique=True)] = np.concatenate(flats)
+    flat = np.zeros(len(pieces) + len(size), np.uint8)
+    inner = np.ones(len(flat), bool)
+    inner[start + size] = False
+    flat[inner] = pieces
     order, common = sorted_windows(flat, start, start + size, WIDTH)
     of = np.searchsorted(start, order, "right") - 1
     head = np.flatnonzero(common < WIDTH)
-    least = np.minimum.reduceat(i[of], head) if len(head) else i[:0]
-    gone = i[of] > least[np.cumsum(common < WIDTH) - 1] if len(head) else np.zeros(0, bool)
-    place = np.sort(order[gone])
-    if not len(place):
-        return pa.Table.from_arrays([pa.array([], t) for t in _SENT_ARROW.types], schema=_SENT_ARROW)
-    # stretches of places in one context, then for each run of that context
+    least = np.minimum.reduceat(low[of], head)
+    place = np.sort(order[low[of] > least[np.cumsum(common < WIDTH) - 1]])
     of = np.searchsorted(start, place, "right") - 1
-    new = np.append(True, (np.diff(place) > 1) | (np.diff(of) > 0))
-    first = np.flatnonzero(new)
+    if not len(place):
+        return place, place, place
+    first = np.flatnonzero(_heads(place - np.arange(len(place)), of))
     last = place[np.append(first[1:], len(place)) - 1]
-    of, rel = of[first], place[first] - start[of[first]]
-    size = last - place[first] + WIDTH
-    runs_at = np.cumsum(k) - k
-    each = np.repeat(np.arange(len(of)), k[of])
-    nth = np.arange(len(each)) - np.repeat(np.cumsum(k[of]) - k[of], k[of])
-    s = begin[runs_at[of[each]] + nth] + rel[each]
-    owner = g[of[each]]
-    got = [(int(owner[own[0]]), body) for own, body in _by_part(owner, (s, s + size[each]))]
-    return pa.Table.from_arrays([pa.array([key[0].as_py()] * len(got), pa.int32()), pa.array([x[0] for x in got], pa.int32()), pa.array([x[1] for x in got], pa.binary())], schema=_SENT_ARROW)
+    of, begin = of[first], place[first]
+    return of, begin - start[of], last - start[of] + WIDTH
 
 
-def _finish(key: tuple, docs: pa.Table, places: pa.Table) -> pa.Table:
+def _places(key: tuple, table: pa.Table) -> pa.Table:
+    """For each group, where the strings lie in its documents that a smaller id has too."""
+    cols: list[list[np.ndarray]] = [[] for _ in range(6)]
+    flats, owners = [], []
+    for g, cell in zip(table.column("g").to_pylist(), table.column("body")):
+        data = cell.as_py()
+        (step, *rest, begins), at = _unpack(data, 6)
+        for col, x in zip(cols, (np.cumsum(step), *rest, begins)):
+            col.append(x)
+        owners.append(np.full(len(step), g, np.int64))
+        flats.append(np.frombuffer(data, np.uint8, offset=at))
+    if not owners:
+        return _sent([])
+    h, size, low, same, more, begins = (np.concatenate(x) for x in cols)
+    g, flat = np.concatenate(owners), np.concatenate(flats)
+    at, runs_at = np.cumsum(size) - size, np.cumsum(same + more) - same - more
+    # equal pieces become one, of their smallest id
+    numbers: dict[tuple[int, bytes], int] = {}
+    body, bounds = flat.tobytes(), zip(h.tolist(), at.tolist(), (at + size).tolist())
+    of = np.fromiter((numbers.setdefault((k, body[x:y]), len(numbers)) for k, x, y in bounds), np.int64, len(h))
+    del body, numbers
+    order = np.lexsort((low, of))
+    lead = order[_heads(of[order])]  # of each different piece, the cell row with its smallest id
+    owner = low[lead]
+    mine = low == owner[of]
+    rows_, none = np.arange(len(h)), np.zeros(len(h), np.int64)
+    found = [(rows_, none, size, np.where(mine, same, 0), np.where(mine, more, same + more))]
+    # of a hash's different pieces, strings are sorted together; hashes one after another until there are enough bytes
+    order = np.argsort(h[lead], kind="stable")
+    new = np.append(_heads(h[lead[order]]), True)
+    order = order[~(new[1:] & new[:-1])]  # a hash's only piece has none to be compared with
+    bounds = np.flatnonzero(np.append(_heads(h[lead[order]]), True)) if len(order) else np.zeros(1, np.int64)
+    until = np.append(0, np.cumsum(size[lead[order]]))[bounds]
+    stretches: list[tuple[np.ndarray, ...]] = []
+    k = 0
+    while k < len(bounds) - 1:
+        nxt = max(k + 1, int(np.searchsorted(until, until[k] + SORTED_BYTES, "right")) - 1)
+        own = order[bounds[k] : bounds[nxt]]
+        k = nxt
+        row, nth = _spread(size[lead[own]])
+        x, s, e = _gone(flat[at[lead[own]][row] + nth], size[lead[own]], owner[own])
+        stretches.append((own[x], s, e))
+    if stretches:  # they are gone from the runs of each cell row that has the piece's smallest id
+        x, s, e = (np.concatenate(c) for c in zip(*stretches))
+        holders = np.flatnonzero(mine)
+        holders = holders[np.argsort(of[holders], kind="stable")]
+        low_, high = np.searchsorted(of[holders], x), np.searchsorted(of[holders], x, "right")
+        row, nth = _spread(high - low_)
+        piece = holders[low_[row] + nth]
+        found.append((piece, s[row], e[row], np.zeros(len(piece), np.int64), same[piece]))
+    piece, s, e, first, n = (np.concatenate(x) for x in zip(*found))
+    row, nth = _spread(n)
+    begin = begins[(runs_at[piece] + first)[row] + nth]
+    s, e, owner = begin + s[row], begin + e[row], g[piece[row]]
     out = []
-    (s, e), _ = _stacked(places.column("body"), "ii")
-    order = np.argsort(s, kind="stable")
-    s, e = s[order], e[order]
-    for i, base, body, text in zip(*(docs.column(c).to_pylist() for c in ("doc_id", "n_bytes", "body", "text"))):
-        a, b = _unpack(body, "ii")
-        lo, hi = np.searchsorted(s, base), np.searchsorted(s, base + len(text))
-        a, b = union(np.append(a, s[lo:hi] - base), np.append(b, e[lo:hi] - base), np.zeros(0, np.int64))
-        out.append((DONE, None, None, i, *_digest(text, a, b), None, None))
-    return _table(out)
+    for x in _parts(owner):
+        x = x[np.argsort(s[x], kind="stable")]
+        out.append((key[0].as_py(), int(owner[x[0]]), _pack(np.diff(s[x], prepend=0), e[x] - s[x])))
+    return _sent(out)
+
 
+_DONE_ARROW = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
-RESULT = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+def _finish(key: tuple, docs: pa.Table, places: pa.Table) -> pa.Table:
+    if not docs.num_rows:
+        return _DONE_ARROW.empty_table()
+    group = _Group(docs)
+    s, e = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for x in places.column("body"):
+        (step, size), _ = _unpack(x.as_py(), 2)
+        s.append(np.cumsum(step))
+        e.append(s[-1] + size)
+    a, b = union(np.concatenate(s), np.concatenate(e), group.ends)
+    lo, hi = np.searchsorted(a, group.ends[:-1]), np.searchsorted(a, group.ends[1:])
+    out = []
+    for k, (body, base) in enumerate(zip(group.bodies, group.ends.tolist())):
+        i = None if group.null[k] else int(group.ids[k])
+        out.append((i, *_digest(body, a[lo[k] : hi[k]] - base, b[lo[k] : hi[k]] - base)))
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _DONE_ARROW.types)], schema=_DONE_ARROW)
 
 
 def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -359,17 +442,13 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     picked = texts(df, id_col, text_col)
     total = picked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    groups = max(parts, -(-total // GROUP_BYTES))
-    # a run for each (WIDTH - KGRAM + 2) / 2 bytes or so, of 14 bytes and more
-    buckets = max(parts, -(-total // BUCKET_BYTES))
+    groups, buckets = max(parts, -(-total // GROUP_BYTES)), max(parts, -(-total // BUCKET_BYTES))
     docs = picked.withColumn("g", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int"))
-    sent = docs.groupBy("g").applyInArrow(_send(buckets), _SENT)
-    answers = sent.groupBy("bucket").applyInArrow(_answer, _SENT)
-    step = written(docs.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(_judge(buckets), _STEP), "judged")
-    places = step.where(f"kind = {CONTEXTS}").select("bucket", "g", "body").groupBy("bucket").applyInArrow(_places, _SENT)
-    pending = step.where(f"kind = {PENDING}").select("g", "doc_id", "n_bytes", "body", "text")
-    late = pending.groupBy("g").cogroup(places.groupBy("g")).applyInArrow(_finish, _STEP)
-    return step.where(f"kind = {DONE}").select(*RESULT).union(late.select(*RESULT))
+    offers = docs.groupBy("g").applyInArrow(_offer(buckets), _SENT)
+    answers = offers.groupBy("bucket").applyInArrow(_answer(HOT), _SENT)
+    pieces = docs.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(_pieces(buckets), _SENT)
+    places = pieces.groupBy("bucket").applyInArrow(_places, _SENT)
+    return docs.groupBy("g").cogroup(places.groupBy("g")).applyInArrow(_finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

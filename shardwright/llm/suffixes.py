@@ -92,14 +92,14 @@ def _deal(places: np.ndarray, chars: np.ndarray, waiting: list[list[np.ndarray]]
 
 
 def _common(words: np.ndarray, order: np.ndarray, offsets: list[int], width: int) -> np.ndarray:
-    out = np.zeros(len(order), np.int64)
-    same = np.ones(max(0, len(order) - 1), bool)
+    out = np.full(len(order), width, np.int64)
+    out[:1] = 0
+    alike = np.arange(max(0, len(order) - 1))
     for o in offsets:
-        w = words[order + o]
-        x = w[1:] ^ w[:-1]
-        lead = np.zeros(len(x), np.int64)
-        for b in range(8):  # leading bytes that agree
-            lead += (x >> np.uint64(56 - 8 * b)) == 0
-        out[1:][same] = np.minimum(width, o + lead[same])
-        same &= x == 0
+        x = words[order[alike + 1] + o] ^ words[order[alike] + o]
+        apart = x != 0
+        first = x[apart]
+        lead = sum((first < np.uint64(1 << 8 * b)).astype(np.int64) for b in range(1, 8))  # leading bytes that agree
+        out[alike[apart] + 1] = np.minimum(width, o + lead)
+        alike = alike[~apart]
     return out

@@ -9,6 +9,8 @@ from collections import Counter, defaultdict
 from math import log10
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers as vocabularies
 import pytest
 import tiktoken
@@ -446,3 +448,26 @@ def test_pipeline_drops_similar_texts(spark):
     got = stage(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3), DATA)
     assert got.columns == ["doc_id", "text", "lang"] and 30 < len(want) < 90
     assert Counter(str(x.doc_id) for x in got.collect()) == Counter([*map(str, want), "None", "1"])
+
+
+def test_substring_dedup_of_hot_pieces_and_long_texts(spark, monkeypatch):
+    """Windows of a hot hash are dealt one by one; texts and repeats reach over the stretches that are looked at in one go."""
+    for name, few in (("HOT", 3), ("STRETCH", 300), ("SORTED_BYTES", 200), ("GROUP_BYTES", 900), ("BUCKET_BYTES", 900)):
+        monkeypatch.setattr(substring_dedup, name, few)
+    substring_dedup._POWERS.clear()
+    r = random.Random(4)
+    line = b"one very common line that many documents have, again and again."
+    words = lambda n: b" ".join(b"%x" % r.getrandbits(20) for _ in range(n))
+    rows = [(i, words(r.randrange(9)) + line + words(r.randrange(9)) + (line * 9 + b"x" * 700) * (i % 5 == 0)) for i in range(40)] + [(41, words(400)), (42, b"y" * 1500), (43, b"y" * 1499)]
+    df = spark.createDataFrame([(i, b.decode()) for i, b in rows], "doc_id long, text string").repartition(4)
+    assert sorted((tuple(x) for x in substring_dedup.substring_dedup(df).collect()), key=str) == covered(rows)
+    # the same steps in this process, where every patched size holds
+    tabs = [pa.table({"doc_id": pa.array([i for i, _ in rows if i % 3 == g], pa.int64()), "text": [b.decode() for i, b in rows if i % 3 == g]}) for g in range(3)]
+    of = lambda t, name, k: t.filter(pc.equal(t.column(name), k))
+    offers = pa.concat_tables(substring_dedup._offer(2)((pa.scalar(g),), t) for g, t in enumerate(tabs))
+    answers = pa.concat_tables(substring_dedup._answer(3)((pa.scalar(b),), of(offers, "bucket", b)) for b in range(2))
+    pieces = pa.concat_tables(substring_dedup._pieces(2)((pa.scalar(g),), t, of(answers, "g", g)) for g, t in enumerate(tabs))
+    places = pa.concat_tables(substring_dedup._places((pa.scalar(b),), of(pieces, "bucket", b)) for b in range(2))
+    done = pa.concat_tables(substring_dedup._finish((pa.scalar(g),), t, of(places, "g", g)) for g, t in enumerate(tabs))
+    assert sorted((tuple(x.values()) for x in done.to_pylist()), key=str) == covered(rows)
+    substring_dedup._POWERS.clear()
