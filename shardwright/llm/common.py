@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import hashlib
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Text bytes that one Arrow batch may hold, where the session doesn't say (Spark counts rows otherwise).
-BATCH_BYTES = 32 << 20
 #: Rows turned into Python objects at a time.
 SLICE_ROWS = 256
 
@@ -24,47 +24,99 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
-    """Only the id, the text (null: empty) and what is asked for besides, so no other column's name can clash."""
-    spark = df.sparkSession
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key, None) in (None, "-1", "9223372036854775807"):
-        spark.conf.set(key, str(BATCH_BYTES))
+    """Only the id, the text (null: empty) and what is asked for besides, so no other column's name can clash.
+
+    What an Arrow batch may hold is the session's (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB unless set).
+    """
     return df.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *more
     )
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of df has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors see. Only where the cluster names none, as in tests, a temporary one is set."""
+    """The folder that all executors see. A temporary one is set only on a local master; elsewhere the cluster must name one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         if spark.sparkContext.getCheckpointDir() is None:
+            if not re.match(r"local(\[|$)", spark.sparkContext.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shardwright-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
 
-_WRITTEN: list[tuple[SparkSession, str]] = []
+_WRITTEN: dict[str, SparkSession] = {}
+
+
+def _delete(path: str) -> None:
+    spark = _WRITTEN.pop(path, None)
+    if spark is not None:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
 def _clean() -> None:
-    for spark, path in _WRITTEN:
+    for path in list(_WRITTEN):
         try:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+            _delete(path)
         except Exception:  # noqa: BLE001  the session may be gone; the folder is the cluster's to clean
             return
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back: lineage ends there, and a lost executor costs nothing."""
+    """Writes df as a table in the shared folder and reads it back: lineage ends there, and a lost executor costs nothing.
+
+    It stays until dropped() or the end of the process.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
     if not _WRITTEN:
         atexit.register(_clean)
-    _WRITTEN.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[path] = spark
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def dropped(*tables: DataFrame | None) -> None:
+    """Deletes what written() wrote for these, once nothing reads them any more."""
+    for df in tables:
+        if df is not None and (path := getattr(df, "_written_at", None)):
+            _delete(path)
+
+
+#: What this worker remembers from one task to the next: of one operator at a time.
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]) -> object:
+    """A worker's memory of that name. Another operator's goes first, so stages that share workers don't add up."""
+    if name not in _KEPT:
+        forget()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def forget() -> None:
+    """Gives back what the worker remembers, and memory that its allocators hold on to."""
+    _KEPT.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another libc
+        pass
 
 
 def rows(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[list[list]]:

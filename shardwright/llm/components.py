@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import dropped, written
 
 
 def _least_of(edges: DataFrame) -> DataFrame:
@@ -34,4 +34,5 @@ def components(edges: DataFrame) -> DataFrame:
         was, mark = mark, now.agg(F.count("*"), F.sum(F.expr("cast(xxhash64(u, v) AS decimal(38, 0))"))).first()
         if was == mark or not mark[0]:
             return now.select("u", F.col("v").alias("component"))
-        now = written(_star(now), "edges")
+        before, now = now, written(_star(now), "edges")
+        dropped(before)
