@@ -65,6 +65,8 @@ KINDS: list[Kind] = [
     ("iban", (b"iban",), re.compile(rb"IBAN[:=]?\x20*([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?)(?![A-Z0-9])"), lambda m: iban(m[1])),
 ]
 BASE = ("assign", "access", "hex")
+#: Letters that a kind's first part takes up to its end, so that all hits of one run fail together, and are tried once.
+RUNS = {"signed_token": re.compile(rb"[A-Za-z0-9_-]+")}
 
 
 def _automaton() -> ahocorasick.Automaton:
@@ -90,13 +92,17 @@ def byte_spans(data: bytes) -> list[tuple[int, int, int]]:
             hits.setdefault(k, []).append(last - n + 1)
     out = []
     for k, starts in hits.items():
-        _, _, expression, holds = KINDS[k]
-        free = 0
+        kind, _, expression, holds = KINDS[k]
+        run, free, lost = RUNS.get(kind), 0, 0
         for at in sorted(starts):
-            if at >= free and (m := expression.match(data, at)):
+            if at < max(free, lost):
+                continue
+            if m := expression.match(data, at):
                 free = m.end()
                 if holds(m):
                     out.append((at, k, free))
+            elif run:
+                lost = run.match(data, at).end()
     out += [(m.start(), 2, m.end()) for m in HEX_RUN.finditer(data)]
     return sorted(out)
 
