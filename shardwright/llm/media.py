@@ -25,12 +25,18 @@ from .common import documents, rows, sha256, texts
 
 BLOCK = 64
 UNKNOWN = "application/octet-stream"
+#: What validators of one value share: places that walks have passed (none of them led to a file's end, or it would have
+#: been carved and later hits inside it passed by), and the ends of archives. So a place is walked once, however many
+#: magic bytes lead there.
+Seen = dict
 
 
-def png_end(b: bytes, at: int) -> int | None:
+def png_end(b: bytes, at: int, seen: Seen) -> int | None:
     at += 8
-    first = True
-    while at + 12 <= len(b):
+    first, passed = True, seen.setdefault("png", set())
+    while at + 12 <= len(b) and (first or at not in passed):
+        if not first:
+            passed.add(at)
         n = int.from_bytes(b[at : at + 4], "big")
         kind, end = b[at + 4 : at + 8], at + 12 + n
         if end > len(b) or first != (kind == b"IHDR") or zlib.crc32(b[at + 4 : end - 4]) != int.from_bytes(b[end - 4 : end], "big"):
@@ -41,12 +47,14 @@ def png_end(b: bytes, at: int) -> int | None:
     return None
 
 
-def gif_end(b: bytes, at: int) -> int | None:
+def gif_end(b: bytes, at: int, seen: Seen) -> int | None:
     if at + 13 > len(b):
         return None
     flags = b[at + 10]
     at += 13 + (3 << (flags & 7) + 1 if flags & 128 else 0)
-    while at < len(b):
+    passed = seen.setdefault("gif", set())
+    while at < len(b) and at not in passed:
+        passed.add(at)
         if b[at] == 0x3B:
             return at + 1
         if b[at] == 0x21:
@@ -62,9 +70,11 @@ def gif_end(b: bytes, at: int) -> int | None:
     return None
 
 
-def jpeg_end(b: bytes, at: int) -> int | None:
+def jpeg_end(b: bytes, at: int, seen: Seen) -> int | None:
     at += 2
-    while at + 4 <= len(b) and b[at] == 0xFF:
+    passed = seen.setdefault("jpeg", set())
+    while at + 4 <= len(b) and b[at] == 0xFF and at not in passed:
+        passed.add(at)
         marker = b[at + 1]
         n = int.from_bytes(b[at + 2 : at + 4], "big")
         if marker == 0xD9 or n < 2 or at + 2 + n > len(b):
@@ -83,7 +93,7 @@ def jpeg_end(b: bytes, at: int) -> int | None:
     return None
 
 
-def bmp_end(b: bytes, at: int) -> int | None:
+def bmp_end(b: bytes, at: int, seen: Seen) -> int | None:
     if at + 26 > len(b):
         return None
     size, reserved, pixels, header = struct.unpack_from("<IIII", b, at + 2)
@@ -108,13 +118,13 @@ def riff_chunks(b: bytes, at: int) -> tuple[int, dict[bytes, tuple[int, int]]] |
     return (end, chunks) if chunks and p in (end, end + 1) else None
 
 
-def riff_end(b: bytes, at: int) -> int | None:
+def riff_end(b: bytes, at: int, seen: Seen) -> int | None:
     found = riff_chunks(b, at)
     need = {b"WAVE": b"fmt ", b"WEBP": b"VP8", b"AVI ": b"LIST"}.get(b[at + 8 : at + 12])
     return found[0] if found and need and any(k.startswith(need) for k in found[1]) else None
 
 
-def pdf_end(b: bytes, at: int) -> int | None:
+def pdf_end(b: bytes, at: int, seen: Seen) -> int | None:
     if not (b[at + 5 : at + 6].isdigit() and b[at + 6 : at + 7] == b"." and b[at + 7 : at + 8].isdigit()):
         return None
     nxt = b.find(b"%PDF-", at + 5)
@@ -122,17 +132,18 @@ def pdf_end(b: bytes, at: int) -> int | None:
     return end + 5 if end > 0 and b.find(b"startxref", at, end) > 0 else None
 
 
-def zip_end(b: bytes, at: int) -> int | None:
-    p = at
-    while (p := b.find(b"PK\x05\x06", p)) >= 0 and p + 22 <= len(b):
-        n, size, offset, comment = struct.unpack_from("<HIIH", b, p + 10)
-        if n and at + offset + size == p and b[at + offset : at + offset + 4] == b"PK\x01\x02" and p + 22 + comment <= len(b):
-            return p + 22 + comment
-        p += 4
-    return None
+def zip_end(b: bytes, at: int, seen: Seen) -> int | None:
+    if "zip" not in seen:  # of each archive's begin, its first end
+        ends, p = seen.setdefault("zip", {}), -1
+        while (p := b.find(b"PK\x05\x06", p + 1)) >= 0 and p + 22 <= len(b):
+            n, size, offset, comment = struct.unpack_from("<HIIH", b, p + 10)
+            begin = p - size - offset
+            if n and begin >= 0 and b[p - size : p - size + 4] == b"PK\x01\x02" and p + 22 + comment <= len(b):
+                ends.setdefault(begin, p + 22 + comment)
+    return seen["zip"].get(at)
 
 
-def gzip_end(b: bytes, at: int) -> int | None:
+def gzip_end(b: bytes, at: int, seen: Seen) -> int | None:
     """Inflates 64 KiB at a time, keeping nothing; the member's own checksum and length decide."""
     d, p = zlib.decompressobj(31), at
     try:
@@ -146,7 +157,7 @@ def gzip_end(b: bytes, at: int) -> int | None:
 
 
 #: Type, magic bytes, validator. The formats' own signatures.
-FORMATS: list[tuple[str, tuple[bytes, ...], Callable[[bytes, int], int | None]]] = [
+FORMATS: list[tuple[str, tuple[bytes, ...], Callable[[bytes, int, Seen], int | None]]] = [
     ("image/png", (b"\x89PNG\r\n\x1a\n",), png_end),
     ("image/gif", (b"GIF87a", b"GIF89a"), gif_end),
     ("image/jpeg", (b"\xff\xd8\xff",), jpeg_end),
@@ -174,16 +185,18 @@ _AUTOMATON = _automaton()
 def sniff(data: bytes) -> tuple[str, int, list[tuple[str, int, int]]]:
     """(type at offset 0, its length or that of all data, [(type, offset, length) of embedded files])."""
     top, length, inner, free = UNKNOWN, len(data), [], 1
+    seen: Seen = {}
     for last, (k, n) in _AUTOMATON.iter(data.decode("latin-1")):
         at = last - n + 1
         if 0 < at < free:
             continue
-        end = FORMATS[k][2](data, at)
+        end = FORMATS[k][2](data, at, seen)
         if end is None:
             continue
         kind = _RIFF.get(data[at + 8 : at + 12], "") if FORMATS[k][0] == "audio/wav" else FORMATS[k][0]
         if at == 0:
             top, length = kind, end
+            seen = {}
         else:
             inner.append((kind, at, end - at))
             free = end
