@@ -1,7 +1,7 @@
 """Language ID by rank-order profiles.
 
-A text's letters, in lower case, form words; each word is framed by marks, and its n-grams of 1 to 3 characters are
-counted. A profile is the TOP most frequent n-grams in order (ties: by hash). A text's distance to a language is the
+A text's letters, in lower case, form words; each word is framed by marks, and its n-grams of 1 to LONGEST characters
+are counted. A profile is the TOP most frequent n-grams in order (ties: by hash). A text's distance to a language is the
 sum, over the text's own profile, of how far each n-gram is out of place in the language's profile, at most TOP each.
 The least distance wins (ties: the first language by name); the score is 1 minus that distance over its maximum.
 
@@ -18,7 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import islice
 from operator import add
 
 import numpy as np
@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, rows, texts
+from .common import documents, kept, rows, texts
 
 TOP, LONGEST, SALTS = 300, 3, 64
 UNKNOWN = "und"
@@ -35,9 +35,11 @@ UNKNOWN = "und"
 MEMO = 60_000
 #: n-grams that it numbers.
 NUMBERS = 200_000
-#: Letters of one word that count; a longer one is cut into words of this length.
+#: Letters of the longest word that is remembered.
 WORD = 64
-_WORDS = re.compile(r"[^\W\d_]{1,%d}" % WORD)
+#: Letters strung together at a time.
+STRUNG = 1 << 16
+_WORDS = re.compile(r"[^\W\d_]+")
 
 
 class _Numbers(dict):
@@ -68,16 +70,31 @@ class Grams:
     def strung(self, words: list[str], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and weights of the n-grams of words that lie one after another, each with a mark before it."""
         s = "_" + "_".join(words) + "_"
-        pairs = list(map(add, s, s[1:]))
-        numbers = np.fromiter(map(self.number.__getitem__, chain(s, pairs, map(add, pairs, s[2:]))), np.int32, 3 * len(s) - 3)
         size = np.fromiter(map(len, words), np.int64, len(words)) + 1
         own = np.append(np.repeat(np.array(counts, np.float64), size), 0.0)
-        marks = np.cumsum(size) - size
-        one = own.copy()
-        one[marks] *= 2  # before the word and after it
-        three = own[:-2].copy()
-        three[marks[1:] - 1] = 0  # these would reach over a mark into the next word
-        return numbers, np.concatenate([one, own[:-1], three])
+        marks = np.zeros(len(s) + 1, np.int64)
+        marks[np.append(np.cumsum(size) - size, len(s) - 1) + 1] = 1
+        marks = np.cumsum(marks)  # before each place
+        numbers, weights = [], []
+        for at in range(0, len(s), STRUNG):
+            part = s[at : at + STRUNG + LONGEST - 1]
+            many = min(STRUNG, len(s) - at)
+            grams: list[str] = list(part)
+            for n in range(1, LONGEST + 1):
+                here = min(many, len(s) - n + 1 - at)
+                if here <= 0:
+                    break
+                if n > 1:
+                    grams = list(map(add, grams, part[n - 1 :]))
+                numbers.append(np.fromiter(map(self.number.__getitem__, grams[:here]), np.int32, here))
+                w = own[at : at + here].copy()
+                first = np.arange(at, at + here)
+                if n == 1:  # a mark stands before a word and after it
+                    w[marks[first + 1] > marks[first]] *= 2
+                elif n > 2:  # n-grams with a mark inside would reach into the next word
+                    w[marks[first + n - 1] > marks[first + 1]] = 0
+                weights.append(w)
+        return np.concatenate(numbers), np.concatenate(weights)
 
     def counted(self, words: Counter) -> tuple[np.ndarray, np.ndarray]:
         """(n-gram hashes, counts) of words with their counts."""
@@ -89,7 +106,7 @@ class Grams:
         parts, weights, new, times = [], [], [], []
         for (w, c), p in zip(words.items(), found):
             if p is None:
-                if len(self.words) >= MEMO:
+                if len(self.words) >= MEMO or len(w) > WORD:
                     new.append(w)
                     times.append(c)
                     continue
@@ -109,11 +126,8 @@ class Grams:
         return self.hashes[at], n[at].astype(np.int64)
 
 
-_GRAMS = Grams()
-
-
 def counted(words: Counter) -> tuple[np.ndarray, np.ndarray]:
-    return _GRAMS.counted(words)
+    return kept("grams", Grams).counted(words)
 
 
 def top(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
