@@ -1,13 +1,12 @@
 """Byte-level BPE encoding and decoding as a monoid over a tree of halves.
 
 The pattern cuts a text into pre-tokens; merges never cross them, so joining there is concatenation. Within a
-pre-token the bytes are halved down to LEAF bytes, leaves are merged by the library's loop
-(the pair of the lowest rank, leftmost first), and neighbours are joined by encoding
-the bytes of a window over the boundary anew. The window grows, twofold on the side that isn't settled, until the
-tokens outside provably stay: a sequence of tokens is the encoding of its bytes if and only if each two neighbours are
-the encoding of their own joint bytes, which holds for rank files in which every token encodes to itself (checked when
-the ranks are loaded). So it is enough that the window's first and last tokens stand well with their neighbours
-outside. Decoding concatenates bytes up the same tree.
+pre-token the bytes are halved down to LEAF bytes, leaves are merged pair by pair (the lowest rank first, of equal ones
+the leftmost), and neighbours are joined by encoding the bytes of a window over the boundary anew. The window grows,
+twofold on the side that isn't settled, until the tokens outside provably stay: a sequence of tokens is the encoding of
+its bytes if and only if each two neighbours are the encoding of their own joint bytes, which holds for rank files in
+which every token encodes to itself (checked when the ranks are loaded). So it is enough that the window's first and
+last tokens stand well with their neighbours outside. Decoding halves the ids and concatenates up the tree.
 
 Null text is the empty text: 0 tokens. A text of any length is walked SPAN pre-tokens at a time. Ids and other columns
 are passed by; null ids stay null; repeated rows are encoded each.
@@ -18,20 +17,26 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain, islice
 
 import pyarrow as pa
 import regex
-import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents, rows, texts
+from .common import documents, forget, kept, rows, texts
 
-LEAF = 16
+LEAF = 4
+#: Ids that a leaf of the decoding tree joins at once.
+LEAF_IDS = 1 << 10
 #: Pre-tokens of a text that are encoded before their ids are hashed and let go.
 SPAN = 1 << 16
-#: Pre-tokens whose encoding a worker remembers; beyond, it forgets them all and starts anew.
-MEMO = 400_000
+#: Bytes of pre-tokens and their ids that a worker remembers; beyond, it forgets them all and starts anew. Longer
+#: pre-tokens than LONG bytes aren't remembered.
+MEMO, LONG = 48 << 20, 256
+#: Tokens beyond which a merge keeps its pairs in a heap.
+HEAP = 24
+NO_RANK = 1 << 60
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -43,12 +48,17 @@ class Memo(dict):
     """Encodings of pre-tokens, each found when first asked for."""
 
     def __init__(self, encode: Callable[[bytes], list[int]]):
-        self.encode = encode
+        self.encode, self.size = encode, 0
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) > MEMO:
-            self.clear()
-        found = self[piece] = tuple(self.encode(piece.encode()))
+        data = piece.encode()
+        found = tuple(self.encode(data))
+        if len(data) <= LONG:
+            if self.size > MEMO:
+                self.clear()
+                self.size = 0
+            self.size += 240 + 2 * len(data) + 8 * len(found)
+            self[piece] = found
         return found
 
 
@@ -58,9 +68,8 @@ class Codec:
         self.bytes_of = {r: b for b, r in ranks.items()}
         self.text_of = {r: str(r) for r in self.bytes_of}
         self.memo = Memo(self.encode_piece)
+        self.leaves: dict[bytes, list[int]] = {}
         self.stands: dict[tuple[int, int], bool] = {}
-        core = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.merge = core._core_bpe.encode_single_piece
 
     def check(self) -> None:
         """The condition under which neighbours decide: every token is the encoding of its own bytes."""
@@ -71,6 +80,54 @@ class Codec:
 
     # leaves and windows
 
+    def merge(self, data: bytes) -> list[int]:
+        """Merges single bytes, always the pair of the lowest rank, of equal ones the leftmost."""
+        if len(data) > HEAP:
+            return self._merge_long(data)
+        rank, parts = self.ranks.get, [data[i : i + 1] for i in range(len(data))]
+        pairs = [rank(a + b, NO_RANK) for a, b in zip(parts, parts[1:])]
+        while pairs and (least := min(pairs)) < NO_RANK:
+            i = pairs.index(least)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = rank(parts[i - 1] + parts[i], NO_RANK)
+            if i < len(pairs):
+                pairs[i] = rank(parts[i] + parts[i + 1], NO_RANK)
+        return [self.ranks[x] for x in parts]
+
+    def _merge_long(self, data: bytes) -> list[int]:
+        """The same with a heap of pairs: begins of the left part, ends of both; stale pairs are passed by."""
+        n, rank = len(data), self.ranks.get
+        end, start_of = list(range(1, n + 1)), list(range(-1, n))  # a part's end by its begin; the begin of the part before
+        heap = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := rank(data[i : i + 2])) is not None]
+        heapify(heap)
+        gone = bytearray(n + 1)
+        while heap:
+            _, i, j, k = heappop(heap)
+            if gone[i] or end[i] != j or j >= n or gone[j] or end[j] != k:
+                continue
+            gone[j], end[i] = 1, k
+            if k < n:
+                start_of[k] = i
+                if (r := rank(data[i : end[k]])) is not None:
+                    heappush(heap, (r, i, k, end[k]))
+            if (h := start_of[i]) >= 0 and (r := rank(data[h:k])) is not None:
+                heappush(heap, (r, h, i, k))
+        out, i = [], 0
+        while i < n:
+            out.append(self.ranks[data[i : end[i]]])
+            i = end[i]
+        return out
+
+    def _leaf(self, data: bytes) -> list[int]:
+        found = self.leaves.get(data)
+        if found is None:
+            if len(self.leaves) > 100_000:
+                self.leaves.clear()
+            found = self.leaves[data] = self.merge(data)
+        return found
+
     def _window(self, ids: list[int]) -> list[int]:
         return self.merge(b"".join(map(self.bytes_of.__getitem__, ids)))
 
@@ -79,7 +136,7 @@ class Codec:
     def stable(self, left: int, right: int) -> bool:
         found = self.stands.get((left, right))
         if found is None:
-            if len(self.stands) > MEMO:
+            if len(self.stands) > 200_000:
                 self.stands.clear()
             found = self.stands[left, right] = self._window([left, right]) == [left, right]
         return found
@@ -102,7 +159,7 @@ class Codec:
         if whole is not None:
             return [whole]
         if len(data) <= LEAF:
-            return self.merge(data)
+            return self._leaf(data)
         mid = len(data) // 2
         return self.join(self.encode_piece(data[:mid]), self.encode_piece(data[mid:]))
 
@@ -117,28 +174,31 @@ class Codec:
         return list(chain.from_iterable(self.encode_spans(text)))
 
     def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
-
-    def decode_tree(self, halves: Iterator[list[int]]) -> bytes:
-        return b"".join(map(self.decode, halves))
-
-
-_CODECS: dict[int, Codec] = {}
+        if len(ids) <= LEAF_IDS:
+            return b"".join(map(self.bytes_of.__getitem__, ids))
+        mid = len(ids) // 2
+        return self.decode(ids[:mid]) + self.decode(ids[mid:])
 
 
 def _codec(shared) -> Codec:  # noqa: ANN001  a Broadcast of (ranks, pattern)
     ranks, pattern = shared.value
-    key = hash((len(ranks), pattern, ranks.get(b"th"), next(iter(ranks))))
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(ranks, pattern)
-    return _CODECS[key]
+    codec = kept("bpe", lambda: Codec(ranks, pattern))
+    if codec.ranks is not ranks or codec.pattern.pattern != pattern:
+        forget()
+        codec = kept("bpe", lambda: Codec(ranks, pattern))
+    return codec
+
+
+_CHECKED: set[int] = set()
 
 
 def shared_codec(spark: SparkSession, path: str, pattern: str):  # noqa: ANN201
     """The rank file, some hundred thousand bytes whatever the input, goes to the executors from the driver."""
     ranks = read_ranks(path)
-    Codec(ranks, pattern).check()
+    key = hash(tuple(ranks.items()))
+    if key not in _CHECKED:
+        Codec(ranks, pattern).check()
+        _CHECKED.add(key)
     return spark.sparkContext.broadcast((ranks, pattern))
 
 

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 from math import log10
@@ -18,7 +19,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shardwright.llm import bpe, components, exact_dedup, language_id, lm_scoring, media, mixing, registry, secrets, simhash, stages, substring_dedup, suffixes, token_counts
+from shardwright.llm import bpe, common, components, exact_dedup, language_id, lm_scoring, media, mixing, registry, secrets, simhash, stages, substring_dedup, suffixes, token_counts
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, keep_id string, g int, score string"
 DATA = "/root/testdata/sf0.001"
@@ -471,3 +472,117 @@ def test_substring_dedup_of_hot_pieces_and_long_texts(spark, monkeypatch):
     done = pa.concat_tables(substring_dedup._finish((pa.scalar(g),), t, of(places, "g", g)) for g, t in enumerate(tabs))
     assert sorted((tuple(x.values()) for x in done.to_pylist()), key=str) == covered(rows)
     substring_dedup._POWERS.clear()
+
+
+def took(f):
+    began = time.process_time()
+    f()
+    return time.process_time() - began
+
+
+def test_hostile_values_take_linear_time():
+    """Runs of keywords, of local headers and end records, and of nested magic bytes, 200,000 of each."""
+    assert took(lambda: secrets.scan("eyJ" * 200_000)) < 5
+    assert [k for k, _, _ in secrets.scan("eyJ" * 9 + " " + "eyJab." * 2 + "eyJ" + "x" * 30 + ".sig")] == ["signed_token"]
+    head = b"PK\x03\x04"
+    assert took(lambda: media.sniff(head * 200_000 + (b"PK\x05\x06" + bytes(18)) * 200_000)) < 10
+    assert took(lambda: media.sniff(b"\xff\xd8\xff\xe0\x00\x05" * 100_000)) < 10
+    assert took(lambda: media.sniff((b"GIF89a" + bytes(7) + b"!\xf9\x01") * 100_000)) < 10
+
+
+def test_archives():
+    import io
+    import zipfile
+
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("a.txt", "hello")
+        z.writestr("b.txt", "there")
+    data = out.getvalue()
+    assert media.sniff(data + b"tail")[:2] == ("application/zip", len(data))
+    assert media.sniff(b"x" * 9 + data + b"PK\x05\x06" + data)[2] == [("application/zip", 9, len(data)), ("application/zip", 13 + len(data), len(data))]
+
+
+def wave(payload, rate=8000):
+    """A wave file by the standard library."""
+    import io
+    import wave as library
+
+    out = io.BytesIO()
+    with library.open(out, "wb") as w:
+        w.setnchannels(1)
+        w.setsampwidth(1)
+        w.setframerate(rate)
+        w.writeframes(payload)
+    return out.getvalue()
+
+
+def test_stored_media_by_the_standard_library(docs):
+    want = set()
+    for r in docs.collect():
+        data = (r.text or "").encode()
+        payload = data + b"\0" * (64 - len(data) % 64 if len(data) % 64 or not data else 0)
+        stored = wave(payload)
+        want.add((r.doc_id, len(stored), hashlib.sha256(stored).hexdigest(), f"{media.UNKNOWN}>audio/wav;samples={len(payload)};embedded=none"))
+    assert {(r.doc_id, r.media_bytes, r.media_sha256, r.feature) for r in media.media_digests(docs).collect()} == want
+
+
+def gram_counts(text):
+    """n-grams of all framed words, one by one."""
+    found = Counter()
+    for word in re.findall(r"[^\W\d_]+", text.lower()):
+        w = f"_{word}_"
+        for n in range(1, language_id.LONGEST + 1):
+            found.update(w[i : i + n] for i in range(len(w) - n + 1))
+    return found
+
+
+def test_language_profiles_by_brute_force(spark, docs, monkeypatch):
+    monkeypatch.setattr(language_id, "MEMO", 10)
+    monkeypatch.setattr(language_id, "STRUNG", 50)
+    common.forget()
+    for longest in (2, 3, 4):  # words that are remembered, strung together, and longer than what is strung at a time
+        monkeypatch.setattr(language_id, "LONGEST", longest)
+        common.forget()
+        for text in ("straße ab a " * 3, prose(300, 6), "漢字" * 400 + " x", " ".join("abcdefghij"[: 1 + i % 9] for i in range(99))):
+            keys, n = language_id.counted(Counter(language_id.words_of(text)))
+            assert dict(zip(keys.tolist(), n.tolist())) == {xxhash.xxh64_intdigest(g) - (1 << 63): c for g, c in gram_counts(text).items()}
+    common.forget()
+    monkeypatch.undo()
+    rows = docs.collect()
+    totals = defaultdict(Counter)
+    for r in rows:
+        if r.lang is not None:
+            totals[r.lang].update(gram_counts(r.text or ""))
+    rank = lambda c: [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], xxhash.xxh64_intdigest(x[0]) - (1 << 63)))][: language_id.TOP]
+    profiles = {k: {g: i for i, g in enumerate(rank(c))} for k, c in totals.items()}
+    want = []
+    for r in rows:
+        own = rank(gram_counts(r.text or ""))
+        if not own or not any(c.isalpha() for c in r.text):
+            want.append((r.doc_id, "und", 0.0))
+            continue
+        apart = {k: sum(min(language_id.TOP, abs(p[g] - i)) if g in p else language_id.TOP for i, g in enumerate(own)) for k, p in profiles.items()}
+        best = min(sorted(apart), key=apart.get)
+        want.append((r.doc_id, best, round(1 - apart[best] / (language_id.TOP * len(own)), 9)))
+    got = [(r.doc_id, r.lang_pred, round(r.score, 9)) for r in language_id.predict(docs, language_id.learn(docs)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_bpe_goes_by_the_tree():
+    """Most pre-tokens that aren't a token are joined from leaves of ours; long merges and decoding by halves agree with the plain ways."""
+    codec = bpe.Codec(bpe.read_ranks(vocabularies.path("byte_bpe_multi_50k.tiktoken")), vocabularies.PATTERN)
+    joins, join = [], codec.join
+    codec.join = lambda a, b: joins.append(1) or join(a, b)
+    pieces = [p for p in set(codec.pattern.findall(prose(3000, 8) + " unbelievably internationalisation straßenbahnhaltestelle")) if p.encode() not in codec.ranks]
+    for p in pieces:
+        codec.encode_piece(p.encode())
+    assert "tiktoken" not in vars(bpe) and len(joins) >= sum(len(p.encode()) > bpe.LEAF for p in pieces) > 30
+    for alphabet in ("ab", "the ", "=-", "a", "é漢"):
+        data = "".join(rng.choice(alphabet) for _ in range(900)).encode()
+        ids = codec._merge_long(data)
+        bpe_heap, bpe.HEAP = bpe.HEAP, 1 << 30
+        try:
+            assert codec.merge(data) == ids and codec.decode(ids * 9) == data * 9
+        finally:
+            bpe.HEAP = bpe_heap
