@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows turned into Python objects at a time.
@@ -33,6 +33,11 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more:
     )
 
 
+def columns(df: DataFrame) -> list[Column]:
+    """All columns of df, whatever they are called."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names like these that no column of df has."""
     taken, out = {c.lower() for c in df.columns}, []

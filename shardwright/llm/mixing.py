@@ -27,7 +27,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, texts, written
+from .common import columns, documents, fresh, texts, written
 
 SEED = 17
 BLOCK_TOKENS = 1_000_000
@@ -124,32 +124,34 @@ def _rest(docs: DataFrame, plan: DataFrame) -> DataFrame:
     return plan.where("rest > 0").select("source").join(out.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").select("source", "stop")
 
 
-def with_copies(df: DataFrame, plan: DataFrame, stops: DataFrame, seed: int = SEED) -> DataFrame:
-    """df (with doc_id and source) and its plan's weight, budget, block, passes, in_rest, copies and place; one row per row.
+def with_copies(df: DataFrame, plan: DataFrame, stops: DataFrame, seed: int = SEED, name: str = "mix") -> DataFrame:
+    """df (with doc_id and source) and a struct `name`, which df lacks, of its plan's weight, budget, block, passes, in_rest,
+    copies and place; one row per row.
 
     plan and stops have one row per source, as tables whose size Spark knows before it chooses a join.
     """
-    both = plan.join(stops.select(F.col("source").alias("s"), "stop"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    named = both.select(F.struct(*(c for c in both.columns if c != "source")).alias("plan_"), F.col("source").alias("s_"))
-    out = df.join(named, F.col("source").eqNullSafe(F.col("s_"))).drop("s_")
-    block = F.pmod(F.xxhash64(F.lit(seed + 2), "doc_id"), F.col("plan_.blocks"))
-    place = _place(F.col("plan_.passes"), seed, block)
-    stop = F.col("plan_.stop")
-    inside = F.coalesce((F.col("plan_.rest") > 0) & (stop.isNull() | (place < stop)), F.lit(False))
-    return out.select(
-        *(F.col(c) for c in df.columns),
-        F.struct(
-            F.col("plan_.weight").alias("weight"), F.col("plan_.budget").alias("budget"), block.alias("block"), F.col("plan_.passes").alias("passes"),
-            F.col("plan_.rest").alias("rest"), inside.alias("in_rest"), (F.col("plan_.passes") + inside.cast("long")).alias("copies"), place.alias("place"),
-        ).alias("mix_"),
+    if name.lower() in (c.lower() for c in df.columns):
+        raise ValueError(f"there is a column {name} already")
+    plan_, s_ = fresh(df, "plan", "source_of_plan")
+    both = plan.join(stops.select(F.col("source").alias(s_), "stop"), F.col("source").eqNullSafe(F.col(s_)), "left").drop(s_)
+    named = both.select(F.struct(*(c for c in both.columns if c != "source")).alias(plan_), F.col("source").alias(s_))
+    out = df.join(named, F.col("source").cast("string").eqNullSafe(F.col(s_)))
+    of = F.col(plan_)
+    block = F.pmod(F.xxhash64(F.lit(seed + 2), "doc_id"), of["blocks"])
+    place = _place(of["passes"], seed, block)
+    inside = F.coalesce((of["rest"] > 0) & (of["stop"].isNull() | (place < of["stop"])), F.lit(False))
+    found = F.struct(
+        *(of[c].alias(c) for c in ("weight", "budget", "passes", "rest")),
+        block.alias("block"), inside.alias("in_rest"), (of["passes"] + inside.cast("long")).alias("copies"), place.alias("place"),
     )
+    return out.select(*columns(df), found.alias(name))
 
 
 def planned(docs: DataFrame, entropy_share: float = ENTROPY_SHARE, most_passes: float = MOST_PASSES, budget: str | int = "total", block_tokens: int = BLOCK_TOKENS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(plan, stops) of sized documents, one row per source each."""
     plan = written(source_plan(docs, entropy_share, most_passes, budget, block_tokens), "plan")
     none = plan.select("source", F.lit(None).cast("long").alias("stop")).limit(0)
-    dealt = with_copies(docs, plan, none, seed).select("source", "n_tokens", "mix_.rest", "mix_.place")
+    dealt = with_copies(docs, plan, none, seed).select("source", "n_tokens", "mix.rest", "mix.place")
     return plan, written(_rest(dealt, plan), "stops")
 
 
@@ -158,7 +160,7 @@ def mix(df: DataFrame, entropy_share: float = ENTROPY_SHARE, most_passes: float
     docs = written(sized(df, id_col, text_col, source_col), "sized")
     plan, stops = planned(docs, entropy_share, most_passes, budget, block_tokens, seed)
     out = with_copies(docs, plan, stops, seed)
-    return out.select("doc_id", "source", "n_tokens", "mix_.weight", F.col("mix_.budget").alias("source_budget"), *(f"mix_.{c}" for c in ("block", "passes", "in_rest", "copies", "place")))
+    return out.select("doc_id", "source", "n_tokens", "mix.weight", F.col("mix.budget").alias("source_budget"), *(f"mix.{c}" for c in ("block", "passes", "in_rest", "copies", "place")))
 
 
 def schedule(mixed: DataFrame, seed: int = SEED) -> DataFrame:

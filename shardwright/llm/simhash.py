@@ -1,16 +1,25 @@
 """SimHash near-dedup: fingerprints of word shingles, linked by multi-index hashing.
 
-A fingerprint's 64 bits form segments. For a link at 2 differing bits or fewer, there is a fingerprint in the middle
-that is at most one bit from either. So the radius-1 ball of each segment is enumerated, the other segments unchanged,
-and each table entry (the segment's ball member with the rest) fetches all fingerprints that reach it: 65 entries for
-each different fingerprint, at most 65 fingerprints in an entry, whatever the size of a group of copies. Members of an
-entry link to its least member; the complete distance is verified before a link counts. Pairs of one entry are never
-listed, and no link is lost: two members of an entry are joined by way of its least one, and two linked fingerprints
-always share an entry.
-
-Null text is the empty text: no word, fingerprint zero, linked like any other. Null ids take part in no component
-number (component_id is null only where no id of a component is known). Repeated rows are rows of their own. An empty
-table gives an empty result.
+A fingerprint is cut into segments of SEGMENT bits; each has a table from its values to the fingerprints that have them.
+Small Hamming balls within a segment are enumerated, table matches fetched, and complete distances verified. Two forms:
+
+near_duplicates(): 64 bits, linked at MOST_BITS = 2 differing bits or fewer, without a loss. Then one of two segments
+differs in one bit at most. A fingerprint probes each table with its own value and with each of its 0-bits set (of two
+values one bit apart, one has the 0). A table entry of over CROWD fingerprints isn't fetched: all that touch one are
+linked by balls of radius 1 over the whole fingerprint instead, in which both sides meet in the middle. Such an entry
+has at most 65 members, and its members link to its least one, so a crowd of any size costs 65 rows a fingerprint.
+
+near_copies(): texts whose shingle sets are alike in LEAST or more. A fingerprint has 512 bits in 16 segments, as 0.8 of alikeness leaves
+one bit in seven different, and differing bits are mostly those whose counts were nearly even. So a segment's ball
+are all settings of its WEAK weakest bits, on both sides. Members of an entry are paired with its first one, in an order
+that varies with the segment. A pair links if its complete distance is FAR or less and then the shingle sets
+themselves, compared in full, are alike enough. A pair is lost if in all 16 segments another bit differs than the weak
+ones of either (see README for measured recall).
+
+Null text is the empty text. near_duplicates(): it has no word, fingerprint zero, linked like any other; null ids take part
+in no component number (component_id is null only where no id of a component is known); repeated rows are rows of their
+own. near_copies(): texts are known by their 64-bit hash, so rows that repeat an id with other texts are apart; texts without a
+word are in no group; a text of fewer words than a shingle is one shingle. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,14 +32,36 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, rows, texts
+from .common import documents, dropped, forget, rows, texts, written
 from .components import components
 
 SEED, WORDS, MOST_BITS = 42, 3, 2
-#: Bounds of the segments, from the lowest bit.
-SEGMENTS = ((0, 16), (16, 32), (32, 48), (48, 64))
+#: Bits of a segment; a table entry that is fetched has at most CROWD fingerprints.
+SEGMENT, CROWD = 32, 64
+#: near_copies(): words of a shingle, least similarity, 64-bit parts of a fingerprint, weak bits of a segment, complete distance.
+LONG_WORDS, LEAST, PARTS, WEAK, FAR = 5, 0.8, 8, 4, 120
+TABLES = 64 * PARTS // SEGMENT
 #: Shingles hashed before their bits are counted.
 CHUNK = 1 << 14
+_MIX = np.random.default_rng(64).integers(0, 1 << 63, (3, PARTS), np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _bit_counts(h: np.ndarray) -> np.ndarray:
+    """How many rows have each bit; h: rows of 64-bit parts."""
+    bits = np.unpackbits(h.view(np.uint8).reshape(len(h), -1), axis=1, bitorder="little")
+    total = np.zeros(bits.shape[1], np.int64)
+    for at in range(0, len(bits), 255):  # as many as a byte can count
+        total += bits[at : at + 255].sum(0, dtype=np.uint8)
+    return total
+
+
+def _hashes(words: list[bytes], n_words: int, seed: int) -> Iterator[np.ndarray]:
+    """Hashes of all shingles, repeats included, CHUNK at a time; of fewer words, of the whole sequence."""
+    hashed, form = xxhash.xxh64_intdigest, b" ".join([b"%b"] * min(n_words, len(words)))
+    n = len(words) - n_words + 1
+    for at in range(0, max(1, n), CHUNK):
+        part = words[at : at + CHUNK + n_words - 1]
+        yield np.array([hashed(form % t, seed) for t in zip(*(part[k:] for k in range(min(n_words, len(words)))))], np.uint64)
 
 
 def fingerprint(text: bytes, n_words: int = WORDS, seed: int = SEED) -> int:
@@ -38,24 +69,15 @@ def fingerprint(text: bytes, n_words: int = WORDS, seed: int = SEED) -> int:
     words = text.lower().split()
     if not words:
         return 0
-    n = max(1, len(words) - n_words + 1)
-    ones = np.zeros(64, np.int64)
-    hashed = xxhash.xxh64_intdigest
-    for at in range(0, n, CHUNK):
-        part = words[at : min(at + CHUNK, n) + n_words - 1]
-        if n_words == 3 and len(part) >= 3:
-            h = [hashed(b"%b %b %b" % t, seed) for t in zip(part, part[1:], part[2:])]
-        else:
-            h = [hashed(b" ".join(part[i : i + n_words]), seed) for i in range(min(CHUNK, n - at))]
-        ones += _bit_counts(np.array(h, np.uint64))
+    n, ones = 0, np.zeros(64, np.int64)
+    for h in _hashes(words, n_words, seed):
+        n += len(h)
+        ones += _bit_counts(h.reshape(-1, 1))
     return int.from_bytes(np.packbits(ones * 2 > n, bitorder="little").tobytes(), "little")
 
 
-def _bit_counts(h: np.ndarray) -> np.ndarray:
-    return np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-
-
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     for batch in batches:
         out = [fingerprint(t.encode()) for (part,) in rows(iter([batch]), "text") for t in part]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.array(out, np.uint64).view(np.int64))], names=["doc_id", "fp"])
@@ -65,21 +87,41 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return texts(df, id_col, text_col).mapInArrow(_fingerprints, "doc_id long, fp long")
 
 
+def _tables() -> list[str]:
+    """Of each segment, its number and value in one long."""
+    low = f"(fp & {(1 << SEGMENT) - 1}L)"
+    return [low, f"(shiftrightunsigned(fp, {SEGMENT}) | {1 << SEGMENT}L)"]
+
+
+def _met_in_balls(crowd: DataFrame) -> DataFrame:
+    """(a, b): links of the members of each entry, of the radius-1 balls of whole fingerprints, to its least one."""
+    ball = F.expr(f"array(fp, {', '.join(f'fp ^ shiftleft(1L, {b})' for b in range(64))})")
+    met = crowd.select("fp", F.explode(ball).alias("entry")).groupBy("entry").agg(F.collect_list("fp").alias("members")).where("size(members) > 1")
+    return met.select(F.array_min("members").alias("a"), F.explode("members").alias("b")).where("a <> b").distinct()
+
+
 def links(distinct: DataFrame) -> DataFrame:
     """(a, b) with a <> b over different fingerprints `fp`: enough links at MOST_BITS or fewer to connect all of them."""
-    bits = [f"shiftleft(1L, {b})" for low, high in SEGMENTS for b in range(low, high)]
-    ball = F.expr(f"array(fp, {', '.join(f'fp ^ {b}' for b in bits)})")
     n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    entries = distinct.repartition(n).select("fp", F.explode(ball).alias("entry"))  # 65-fold: many tasks, whatever adaptive execution merged
-    met = entries.groupBy("entry").agg(F.collect_list("fp").alias("members")).where("size(members) > 1")
-    star = met.select(F.array_min("members").alias("a"), F.explode("members").alias("b")).where("a <> b").distinct()
-    return star.where(f"bit_count(a ^ b) <= {MOST_BITS}")
+    spread = distinct.repartition(n)  # many rows of each come: many tasks, whatever adaptive execution merged
+    tables = _tables()
+    flips = [f"if(fp & shiftleft(1L, {k * SEGMENT + b}) = 0, {t} | {1 << b}L, null)" for k, t in enumerate(tables) for b in range(SEGMENT)]
+    homes = spread.select(F.col("fp").alias("other"), F.expr(f"explode(array({', '.join(tables)}))").alias("key"))
+    probes = spread.select("fp", F.expr(f"explode(array({', '.join(tables + flips)}))").alias("key")).where("key IS NOT NULL")
+    crowded = written(homes.groupBy("key").count().where(f"count > {CROWD}").select("key"), "crowded")
+    if crowded.isEmpty():
+        dropped(crowded)
+        fetched, rest = homes, None
+    else:
+        fetched = homes.join(crowded, "key", "left_anti")
+        rest = _met_in_balls(probes.join(crowded, "key", "left_semi").select("fp").distinct())
+    near = f"bit_count(a ^ b) <= {MOST_BITS}"
+    met = probes.join(fetched.hint("shuffle_hash"), "key").select(F.col("fp").alias("a"), F.col("other").alias("b")).where("a <> b").where(near)
+    return met if rest is None else met.union(rest.where(near))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, fingerprint (16 hex digits), component_id."""
-    from .common import written
-
     marked = written(fingerprints(df, id_col, text_col), "fingerprints")
     distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("low"))
     of = components(links(distinct.select("fp")).select(F.col("a").alias("u"), F.col("b").alias("v")))
@@ -92,6 +134,101 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
+# near copies by similarity
+
+
+def shingles(text: str) -> np.ndarray:
+    """The different shingles' hashes, in order."""
+    words = text.encode().lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    return np.unique(np.concatenate(list(_hashes(words, LONG_WORDS, SEED))))
+
+
+def margins(text: str) -> np.ndarray | None:
+    """Of each bit, how many shingles have it rather than not; None without a word."""
+    h = shingles(text)
+    if not len(h):
+        return None
+    ones = np.zeros(64 * PARTS, np.int64)
+    for at in range(0, len(h), CHUNK):
+        x = (h[at : at + CHUNK, None] ^ _MIX[0]) * _MIX[1]
+        x = (x ^ (x >> np.uint64(32))) * _MIX[2]
+        ones += _bit_counts(x ^ (x >> np.uint64(29)))
+    return 2 * ones - len(h)
+
+
+_SKETCH = "node long, fp array<long>, value array<int>, weak array<int>"
+
+
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fingerprints, segments' values, and the single bits that are weak in each."""
+    forget()
+    for nodes, part in rows(batches, "node", "text"):
+        found = [(i, m) for i, m in zip(nodes, map(margins, part)) if m is not None]
+        m = np.array([x for _, x in found], np.int64).reshape(-1, 64 * PARTS)
+        bits = np.packbits(m > 0, axis=1, bitorder="little")
+        weak = np.abs(m).reshape(len(m), TABLES, SEGMENT).argsort(2, kind="stable")[:, :, :WEAK]
+        listed = lambda x, n: pa.ListArray.from_arrays(np.arange(len(m) + 1, dtype=np.int32) * n, np.ascontiguousarray(x).reshape(-1))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([i for i, _ in found], pa.int64()),
+                listed(bits.view(np.int64), PARTS),
+                listed(bits.view(np.int32), TABLES),
+                listed((np.uint32(1) << weak.astype(np.uint32)).view(np.int32), TABLES * WEAK),
+            ],
+            names=["node", "fp", "value", "weak"],
+        )
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for u, v, a, b in rows(batches, "u", "v", "a", "b"):
+        keep = []
+        for x, y in zip(a, b):
+            s, t = shingles(x), shingles(y)
+            both = len(np.intersect1d(s, t, assume_unique=True))
+            keep.append(both >= LEAST * (len(s) + len(t) - both))
+        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _candidates(sketch: DataFrame) -> DataFrame:
+    """(u, v) with u < v: members of table entries and their entries' first ones."""
+    n = int(sketch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    settings = ["^".join(["value[s]", *(f"weak[s * {WEAK} + {k}]" for k in range(WEAK) if c >> k & 1)]) for c in range(1 << WEAK)]
+    each = sketch.repartition(n, "node").select("node", "value", "weak", F.expr(f"explode(sequence(0, {TABLES - 1}))").alias("s"))
+    # an order of its own for each segment, from which the node can be told again
+    order = "node ^ xxhash64(s)"
+    entries = each.select((F.expr(order)).alias("place"), "s", F.expr(f"explode(array({', '.join(settings)}))").alias("setting"))
+    first = entries.groupBy("s", "setting").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first <> last")
+    met = entries.join(first.select("s", "setting", "first"), ["s", "setting"]).where("place <> first")
+    pairs = met.select(F.expr("place ^ xxhash64(s)").alias("a"), F.expr("first ^ xxhash64(s)").alias("b"))
+    return pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
+
+
+def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(node, component_id) of each text of a group of two or more; component_id is the group's least known id."""
+    docs = texts(df, id_col, text_col).withColumn("node", F.xxhash64("text"))
+    sketch = written(docs.select("node", "text").mapInArrow(_sketch, _SKETCH), "sketch")
+    prints = sketch.select("node", "fp").dropDuplicates(["node"])
+    ends = lambda name: prints.select(F.col("node").alias(name), F.col("fp").alias(f"{name}_fp"))
+    apart = " + ".join(f"bit_count(u_fp[{k}] ^ v_fp[{k}])" for k in range(PARTS))
+    pairs = written(_candidates(sketch).join(ends("u"), "u").join(ends("v"), "v").where(f"{apart} <= {FAR}").select("u", "v"), "pairs")
+    asked = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    # one row a text, though ids may repeat it
+    known = written(docs.join(asked, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text")), "asked")
+    left = known.select(F.col("node").alias("u"), F.col("text").alias("a"))
+    right = known.select(F.col("node").alias("v"), F.col("text").alias("b"))
+    linked = written(pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(_alike, "u long, v long"), "links")
+    dropped(sketch, pairs)
+    of = components(linked).withColumnRenamed("u", "node")
+    group = of.union(of.select("component", "component")).distinct()
+    ids = group.join(known.select("node", "doc_id"), "node")
+    found = ids.select("node", "component").join(ids.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select("node", "component_id")
+    out = written(found, "groups")
+    dropped(known, linked)
+    return out
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 

@@ -280,7 +280,10 @@ def test_simhash(docs):
     assert Counter(tuple(r) for r in simhash.near_duplicates(docs).collect()) == want
 
 
-def test_links_lose_nothing(spark):
+@pytest.mark.parametrize("crowd", [1, 64])
+def test_links_lose_nothing(spark, monkeypatch, crowd):
+    """Through the segments' tables, and where every entry is crowded."""
+    monkeypatch.setattr(simhash, "CROWD", crowd)
     r = random.Random(2)
     fps = [r.getrandbits(64) for _ in range(10)]
     for _ in range(190):
@@ -290,13 +293,25 @@ def test_links_lose_nothing(spark):
         fps.append(f)
     fps = sorted(set(fps))
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
-    found = components.components(simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long")).selectExpr("a AS u", "b AS v"))
-    label = {row.u: row.component for row in found.collect()}
+    found = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long")).selectExpr("a AS u", "b AS v")
+    near = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 2}
+    met = {(min(x), max(x)) for x in found.collect()}
+    assert met <= near and (crowd == 1 or met == near)
+    label = {row.u: row.component for row in components.components(found).collect()}
     ours = [label.get(f, f) for f in signed]
     brute = linked(fps, signed)
     assert len(set(zip(ours, brute))) == len(set(ours)) == len(set(brute))
 
 
+def test_fingerprints_of_long_texts(spark, monkeypatch):
+    """Blocks of hashes don't show: a text of 40,000 words, longer than two blocks."""
+    text = prose(40_000, 11)
+    assert simhash.fingerprint(text.encode()) == fingerprint(text)
+    whole = simhash.margins(text), simhash.shingles(text)
+    monkeypatch.setattr(simhash, "CHUNK", 700)
+    assert (simhash.margins(text) == whole[0]).all() and (simhash.shingles(text) == whole[1]).all()
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(50)] + [(7, 7)]
     got = dict(map(tuple, components.components(spark.createDataFrame(edges, "u long, v long")).collect()))
@@ -408,22 +423,67 @@ def test_lm_shares_add_up():
     assert abs(np.exp(m.scored(own, np.full(24_096, 3), np.full(24_096, 5))).sum() - 1) < 1e-4
 
 
+CLASHES = ("key", "key_", "of", "of_", "keep", "keep_", "gone_", "mix", "mix_", "nth", "nth_", "plan", "plan_", "s_", "node", "low", "source_of_plan", "doc", "n_len", "text_sha256", "rest", "copies", "component_id", "a.b")
+
+
+def cut5(t):
+    w = (t or "").encode().lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def similar_groups(texts_):
+    """Groups of texts alike in 0.8 of their five-word shingles, by all pairs."""
+    cuts, label = [cut5(t) for t in texts_], list(range(len(texts_)))
+    for i in range(len(cuts)):
+        for j in range(i):
+            if cuts[i] and len(cuts[i] & cuts[j]) >= 0.8 * len(cuts[i] | cuts[j]):
+                label = [label[i] if x == label[j] else x for x in label]
+    return label
+
+
 def test_pipeline(spark, docs):
-    clash = docs.drop("score")
+    clash = docs.drop("score").withColumns({f"{c}": F.lit(f"own {c}") for c in CLASHES})
+    plain = lambda df: Counter(str(r) for r in df.collect())
     found = stages.identify_language(spark, clash, DATA)
     assert found.columns == clash.columns
     letters = [r for r in clash.collect() if any(c.isalpha() for c in r.text or "")]
-    assert Counter(r.text for r in found.collect()) == Counter(r.text for r in letters)
+    assert plain(found) == Counter(map(str, letters))
     once = stages.drop_exact_copies(spark, found, DATA)
-    groups = {re.sub(r"[\x20\x09-\x0D]+", " ", r.text) for r in letters}
-    assert once.columns == clash.columns and once.count() == len(groups)
+    groups = defaultdict(list)
+    for r in letters:
+        groups[re.sub(r"[\x20\x09-\x0D]+", " ", r.text)].append(r)
+    lows = [min(v, key=lambda r: (r.doc_id is None, r.doc_id or 0)) for v in groups.values()]
+    assert once.columns == clash.columns and plain(once) == Counter(map(str, lows))
     near = stages.drop_near_copies(spark, once, DATA)
-    ids = [r.doc_id for r in once.collect()]
-    label = linked([fingerprint(r.text) for r in once.collect()], ids)
-    assert sorted(map(str, (r.doc_id for r in near.collect()))) == sorted(str(i) for i, c in zip(ids, label) if i is None or i == c)
+    kept = once.collect()
+    label = similar_groups([r.text for r in kept])
+    least = {g: min((r.doc_id for r, x in zip(kept, label) if x == g and r.doc_id is not None), default=None) for g in label}
+    assert near.columns == clash.columns and plain(near) == Counter(str(r) for r, g in zip(kept, label) if r.doc_id is None or r.doc_id == least[g])
     mixed = stages.mix_sources(spark, near, DATA)
-    assert {r.doc_id for r in mixed.collect()} == {r.doc_id for r in near.collect()} and mixed.columns == clash.columns
-    assert corpus_pipeline.run(spark, DATA).count() > 0 and 4 <= len(corpus_pipeline.STAGES) <= 5
+    times = {(r.doc_id, r.source): max(1, r.copies) for r in mixing.mix(near, budget="cover").collect()}
+    assert mixed.columns == clash.columns and any(n > 1 for n in times.values())
+    assert plain(mixed) == Counter({str(r): times[r.doc_id, r.source] for r in near.collect()})
+    coded = stages.encode_bytes(spark, mixed, DATA)
+    library = tiktoken.Encoding("t", pat_str=vocabularies.PATTERN, mergeable_ranks=bpe.read_ranks(vocabularies.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    want = Counter()
+    for r in mixed.collect():
+        ids = library.encode_ordinary(r.text)
+        want[r.doc_id, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(r.text.encode()).hexdigest()] += 1
+    assert Counter(tuple(r) for r in coded.collect()) == want
+    assert corpus_pipeline.run(spark, DATA).count() > 0 and [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "simhash_near_dedup", "mix_sources", "byte_bpe"]
+
+
+def test_pipeline_of_an_empty_table_and_without_labels(spark, empty, docs):
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty.drop("score"), DATA).count() == 0
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert stages.identify_language(spark, unlabelled, DATA).count() == stages.identify_language(spark, docs, DATA).count() > 0
+
+
+def test_exact_stage_keeps_the_least_of_repeated_rows(spark):
+    rows = [(1, "same", "fr", "s2"), (1, "same", "en", "s1"), (2, "same ", "en", "s0"), (1, "other", "en", "s3")]
+    got = stages.drop_exact_copies(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3), DATA)
+    assert sorted(map(tuple, got.collect())) == [(1, "other", "en", "s3"), (1, "same", "en", "s1"), (2, "same ", "en", "s0")]
 
 
 def test_pipeline_drops_similar_texts(spark):
