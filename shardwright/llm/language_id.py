@@ -72,29 +72,29 @@ class Grams:
         s = "_" + "_".join(words) + "_"
         size = np.fromiter(map(len, words), np.int64, len(words)) + 1
         own = np.append(np.repeat(np.array(counts, np.float64), size), 0.0)
-        marks = np.zeros(len(s) + 1, np.int64)
-        marks[np.append(np.cumsum(size) - size, len(s) - 1) + 1] = 1
-        marks = np.cumsum(marks)  # before each place
-        numbers, weights = [], []
+        ends = np.cumsum(size)
+        one = own.copy()
+        one[ends - size] *= 2  # a mark stands before a word and after it
+        weights = [one]
+        for n in range(2, min(LONGEST, len(s)) + 1):
+            w = own[: len(s) - n + 1].copy()
+            for k in range(1, n - 1):  # n-grams with a mark inside would reach into the next word
+                at = ends[:-1] - k
+                w[at[(at >= 0) & (at < len(w))]] = 0
+            weights.append(w)
+        number = self.number.__getitem__
+        numbers: list[list[np.ndarray]] = [[] for _ in weights]
         for at in range(0, len(s), STRUNG):
             part = s[at : at + STRUNG + LONGEST - 1]
-            many = min(STRUNG, len(s) - at)
-            grams: list[str] = list(part)
-            for n in range(1, LONGEST + 1):
-                here = min(many, len(s) - n + 1 - at)
-                if here <= 0:
-                    break
+            grams = part
+            for n, w in enumerate(weights, 1):
                 if n > 1:
-                    grams = list(map(add, grams, part[n - 1 :]))
-                numbers.append(np.fromiter(map(self.number.__getitem__, grams[:here]), np.int32, here))
-                w = own[at : at + here].copy()
-                first = np.arange(at, at + here)
-                if n == 1:  # a mark stands before a word and after it
-                    w[marks[first + 1] > marks[first]] *= 2
-                elif n > 2:  # n-grams with a mark inside would reach into the next word
-                    w[marks[first + n - 1] > marks[first + 1]] = 0
-                weights.append(w)
-        return np.concatenate(numbers), np.concatenate(weights)
+                    grams = map(add, grams, part[n - 1 :])
+                    grams = list(grams) if n < len(weights) else grams
+                here = min(STRUNG, len(w) - at)
+                if here > 0:
+                    numbers[n - 1].append(np.fromiter(map(number, grams), np.int32, here))
+        return np.concatenate([x for own_ in numbers for x in own_]), np.concatenate(weights)
 
     def counted(self, words: Counter) -> tuple[np.ndarray, np.ndarray]:
         """(n-gram hashes, counts) of words with their counts."""
