@@ -26,14 +26,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents, forget, kept, rows, texts
 
-LEAF = 4
+LEAF = 6
 #: Ids that a leaf of the decoding tree joins at once.
 LEAF_IDS = 1 << 10
 #: Pre-tokens of a text that are encoded before their ids are hashed and let go.
 SPAN = 1 << 16
 #: Bytes of pre-tokens and their ids that a worker remembers; beyond, it forgets them all and starts anew. Longer
 #: pre-tokens than LONG bytes aren't remembered.
-MEMO, LONG = 48 << 20, 256
+MEMO, LONG = 64 << 20, 256
 #: Tokens beyond which a merge keeps its pairs in a heap.
 HEAP = 24
 NO_RANK = 1 << 60
@@ -69,7 +69,8 @@ class Codec:
         self.text_of = {r: str(r) for r in self.bytes_of}
         self.memo = Memo(self.encode_piece)
         self.leaves: dict[bytes, list[int]] = {}
-        self.stands: dict[tuple[int, int], bool] = {}
+        #: Of two neighbours, the encoding of their joint bytes.
+        self.pairs: dict[tuple[int, int], list[int]] = {}
 
     def check(self) -> None:
         """The condition under which neighbours decide: every token is the encoding of its own bytes."""
@@ -85,7 +86,7 @@ class Codec:
         if len(data) > HEAP:
             return self._merge_long(data)
         rank, parts = self.ranks.get, [data[i : i + 1] for i in range(len(data))]
-        pairs = [rank(a + b, NO_RANK) for a, b in zip(parts, parts[1:])]
+        pairs = [rank(data[i : i + 2], NO_RANK) for i in range(len(data) - 1)]
         while pairs and (least := min(pairs)) < NO_RANK:
             i = pairs.index(least)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
@@ -133,26 +134,31 @@ class Codec:
 
     # the tree
 
-    def stable(self, left: int, right: int) -> bool:
-        found = self.stands.get((left, right))
+    def pair(self, left: int, right: int) -> list[int]:
+        found = self.pairs.get((left, right))
         if found is None:
-            if len(self.stands) > 200_000:
-                self.stands.clear()
-            found = self.stands[left, right] = self._window([left, right]) == [left, right]
+            if len(self.pairs) > 200_000:
+                self.pairs.clear()
+            found = self.pairs[left, right] = self.merge(self.bytes_of[left] + self.bytes_of[right])
         return found
 
+    def stable(self, left: int, right: int) -> bool:
+        return self.pair(left, right) == [left, right]
+
     def join(self, left: list[int], right: list[int]) -> list[int]:
-        if not left or not right or self.stable(left[-1], right[0]):
+        if not left or not right:
             return left + right
         a = b = 1
+        inner = self.pair(left[-1], right[0])
+        if len(inner) == 2 and inner[0] == left[-1]:
+            return left + right
         while True:
-            a, b = min(a, len(left)), min(b, len(right))
-            inner = self._window(left[-a:] + right[:b])
             held = a == len(left) or self.stable(left[-a - 1], inner[0])
             holds = b == len(right) or self.stable(inner[-1], right[b])
             if held and holds:
                 return left[:-a] + inner + right[b:]
-            a, b = a if held else 2 * a, b if holds else 2 * b
+            a, b = min(a if held else 2 * a, len(left)), min(b if holds else 2 * b, len(right))
+            inner = self._window(left[-a:] + right[:b])
 
     def encode_piece(self, data: bytes) -> list[int]:
         whole = self.ranks.get(data)
