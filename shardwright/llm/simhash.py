@@ -12,7 +12,7 @@ has at most 65 members, and its members link to its least one, so a crowd of any
 near_copies(): texts whose shingle sets are alike in LEAST or more. A fingerprint has 512 bits in 16 segments, as 0.8 of alikeness leaves
 one bit in seven different, and differing bits are mostly those whose counts were nearly even. So a segment's ball
 are all settings of its WEAK weakest bits, on both sides. Members of an entry are paired with its first one, in an order
-that varies with the segment. A pair links if its complete distance is FAR or less and then the shingle sets
+of the entry's own. A pair links if its complete distance is FAR or less and then the shingle sets
 themselves, compared in full, are alike enough. A pair is lost if in all 16 segments another bit differs than the weak
 ones of either (see README for measured recall).
 
@@ -29,7 +29,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, dropped, forget, rows, texts, written
@@ -158,26 +159,29 @@ def margins(text: str) -> np.ndarray | None:
     return 2 * ones - len(h)
 
 
-_SKETCH = "node long, fp array<long>, value array<int>, weak array<int>"
+_SKETCH = "id long, node long, fp array<long>, value array<int>, weak array<int>"
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fingerprints, segments' values, and the single bits that are weak in each."""
+    """Fingerprints, segments' values, and the single bits that are weak in each. Ids are short where they meet in a shuffle."""
     forget()
+    nxt = TaskContext.get().partitionId() << 36
     for nodes, part in rows(batches, "node", "text"):
         found = [(i, m) for i, m in zip(nodes, map(margins, part)) if m is not None]
         m = np.array([x for _, x in found], np.int64).reshape(-1, 64 * PARTS)
         bits = np.packbits(m > 0, axis=1, bitorder="little")
         weak = np.abs(m).reshape(len(m), TABLES, SEGMENT).argsort(2, kind="stable")[:, :, :WEAK]
         listed = lambda x, n: pa.ListArray.from_arrays(np.arange(len(m) + 1, dtype=np.int32) * n, np.ascontiguousarray(x).reshape(-1))
+        nxt += len(m)
         yield pa.RecordBatch.from_arrays(
             [
+                pa.array(np.arange(nxt - len(m), nxt)),
                 pa.array([i for i, _ in found], pa.int64()),
                 listed(bits.view(np.int64), PARTS),
                 listed(bits.view(np.int32), TABLES),
                 listed((np.uint32(1) << weak.astype(np.uint32)).view(np.int32), TABLES * WEAK),
             ],
-            names=["node", "fp", "value", "weak"],
+            names=["id", "node", "fp", "value", "weak"],
         )
 
 
@@ -192,27 +196,28 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _candidates(sketch: DataFrame) -> DataFrame:
-    """(u, v) with u < v: members of table entries and their entries' first ones."""
+    """(u, v): ids of members of table entries and of their entries' first ones.
+
+    A row of the sketch is in one entry of each setting of each segment at most, so that even where a third of all rows
+    are alike, no entry has more than that part of a 768th of what is dealt out. Entries are streamed, not gathered.
+    """
     n = int(sketch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     settings = ["^".join(["value[s]", *(f"weak[s * {WEAK} + {k}]" for k in range(WEAK) if c >> k & 1)]) for c in range(1 << WEAK)]
-    each = sketch.repartition(n, "node").select("node", "value", "weak", F.expr(f"explode(sequence(0, {TABLES - 1}))").alias("s"))
-    # an order of its own for each segment, from which the node can be told again
-    order = "node ^ xxhash64(s)"
-    entries = each.select((F.expr(order)).alias("place"), "s", F.expr(f"explode(array({', '.join(settings)}))").alias("setting"))
-    first = entries.groupBy("s", "setting").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first <> last")
-    met = entries.join(first.select("s", "setting", "first"), ["s", "setting"]).where("place <> first")
-    pairs = met.select(F.expr("place ^ xxhash64(s)").alias("a"), F.expr("first ^ xxhash64(s)").alias("b"))
-    return pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
+    each = sketch.repartition(n, "id").select("id", "value", "weak", F.expr(f"explode(sequence(0, {TABLES - 1}))").alias("s"))
+    entries = each.select("id", "s", F.expr(f"explode(array({', '.join(settings)}))").alias("setting"))
+    entry = entries.select("id", F.expr("shiftleft(cast(s AS long), 32) | (cast(setting AS long) & 4294967295L)").alias("entry"))
+    first = F.first("id").over(Window.partitionBy("entry").orderBy(F.xxhash64("id", "entry")))
+    return entry.select(first.alias("u"), F.col("id").alias("v")).where("u <> v").distinct()
 
 
 def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(node, component_id) of each text of a group of two or more; component_id is the group's least known id."""
     docs = texts(df, id_col, text_col).withColumn("node", F.xxhash64("text"))
     sketch = written(docs.select("node", "text").mapInArrow(_sketch, _SKETCH), "sketch")
-    prints = sketch.select("node", "fp").dropDuplicates(["node"])
-    ends = lambda name: prints.select(F.col("node").alias(name), F.col("fp").alias(f"{name}_fp"))
+    ends = lambda name: sketch.select(F.col("id").alias(name), F.col("node").alias(f"{name}_node"), F.col("fp").alias(f"{name}_fp"))
     apart = " + ".join(f"bit_count(u_fp[{k}] ^ v_fp[{k}])" for k in range(PARTS))
-    pairs = written(_candidates(sketch).join(ends("u"), "u").join(ends("v"), "v").where(f"{apart} <= {FAR}").select("u", "v"), "pairs")
+    near = _candidates(sketch).join(ends("u"), "u").join(ends("v"), "v").where(f"{apart} <= {FAR}").where("u_node <> v_node")
+    pairs = written(near.select(F.least("u_node", "v_node").alias("u"), F.greatest("u_node", "v_node").alias("v")).distinct(), "pairs")
     asked = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
     # one row a text, though ids may repeat it
     known = written(docs.join(asked, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text")), "asked")
