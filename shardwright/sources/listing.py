@@ -38,14 +38,14 @@ def is_parquet(source: str | os.PathLike) -> bool:
 def row_counts(spark: SparkSession, source: str | os.PathLike) -> DataFrame:
     """(path, rows) of every file, empty ones too. The scan reads no column; unreadable files have NULL rows."""
     files = [str(p.resolve()) for p in parquet_files(source)]
-    listed = spark.createDataFrame([(p,) for p in files], "path string")
-    good = [p for p in files if schema_names(p) is not None]
+    listed = [(p, schema_names(p) is not None) for p in files]
+    found = spark.createDataFrame(listed, "path string, readable boolean")
+    good = [p for p, readable in listed if readable]
     if not good:
-        return listed.withColumn("rows", F.lit(None).cast("long"))
+        return found.select("path", F.lit(None).cast("long").alias("rows"))
     counted = spark.read.parquet(*good).groupBy(F.col("_metadata.file_path").alias("uri")).count()
     counted = counted.select(F.url_decode(F.regexp_replace("uri", "^file:/+", "/")).alias("path"), F.col("count").alias("rows"))
-    readable = listed.withColumn("good_", F.col("path").isin(good) if len(good) < 200 else F.lit(True))
-    return readable.join(counted, "path", "left").select("path", F.when(F.col("good_"), F.coalesce("rows", F.lit(0))).alias("rows"))
+    return found.join(counted, "path", "left").select("path", F.when(F.col("readable"), F.coalesce("rows", F.lit(0))).alias("rows"))
 
 
 def schema_names(path: str | os.PathLike) -> list[str] | None:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import os
 import shutil
+import threading
+import uuid
 from datetime import UTC, datetime
 from pathlib import Path
 
@@ -79,32 +81,67 @@ def set_aside(spark, task: Path, tag: str, min_yield: float = T.KEEPABLE_SHARD_Y
         aside = task / f"attempt-{tag}"
         aside.mkdir(exist_ok=True)
         for stem in bad:
-            for p in (task / "shards").glob(f"{stem}*"):
+            for p in [*(task / "shards").glob(f"{stem}.*"), *(task / "shards").glob(f"{stem}_*")]:
                 p.rename(aside / p.name)
     return len(rows) - len(bad), len(bad)
 
 
 class TaskLock:
-    """A directory that only one run can make; taken over once its owner's heartbeat is stale (L1)."""
+    """A directory that only one run can make (L1). Its owner's file is touched every `every` seconds while the lock is held.
 
-    def __init__(self, task: Path, owner: str, stale: float = T.LOCK_STALE_S):
-        self.path, self.owner, self.stale = task / "RUNNING.lock", owner, stale
+    A lock whose last beat is stale is first renamed, which only one of several runs can do, and then made anew.
+    """
 
-    def __enter__(self) -> TaskLock:
+    def __init__(self, task: Path, owner: str, stale: float = T.LOCK_STALE_S, every: float = T.HEARTBEAT_S):
+        self.path, self.owner, self.stale, self.every = task / "RUNNING.lock", owner, stale, every
+        self.ended = threading.Event()
+
+    def _last_beat(self) -> float:
+        beat = self.path / "owner"
+        return (beat if beat.exists() else self.path).stat().st_mtime
+
+    def _make(self) -> None:
         try:
             self.path.mkdir()
         except FileExistsError:
-            beat = self.path / "owner"
-            seen = (beat if beat.exists() else self.path).stat().st_mtime
-            if datetime.now(UTC).timestamp() - seen < self.stale:
-                raise EngineError(f"{self.path} is held") from None
-            shutil.rmtree(self.path)
-            self.path.mkdir()
+            raise EngineError(f"{self.path} is held") from None
+
+    def __enter__(self) -> TaskLock:
+        try:
+            fresh = datetime.now(UTC).timestamp() - self._last_beat() < self.stale
+        except FileNotFoundError:
+            fresh = None
+        if fresh:
+            raise EngineError(f"{self.path} is held")
+        if fresh is False:
+            old = self.path.with_name(f"{self.path.name}.{uuid.uuid4().hex}")
+            try:
+                self.path.rename(old)
+            except FileNotFoundError:
+                raise EngineError(f"{self.path} was taken over by another run") from None
+            shutil.rmtree(old, ignore_errors=True)
+        self._make()
         self.beat()
+        threading.Thread(target=self._beats, daemon=True).start()
         return self
 
+    def _beats(self) -> None:
+        while not self.ended.wait(self.every):
+            if not self.mine():
+                return
+            self.beat()
+
+    def mine(self) -> bool:
+        """Whether this run still holds the lock."""
+        try:
+            return (self.path / "owner").read_text() == self.owner
+        except FileNotFoundError:
+            return False
+
     def beat(self) -> None:
         (self.path / "owner").write_text(self.owner)
 
     def __exit__(self, *_: object) -> None:
-        shutil.rmtree(self.path, ignore_errors=True)
+        self.ended.set()
+        if self.mine():
+            shutil.rmtree(self.path, ignore_errors=True)

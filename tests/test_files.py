@@ -189,3 +189,42 @@ def test_stream(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert {r.bucket: r.n for r in spark.table("seen").collect()} == {"success": 130, "permanent": 70}
+
+
+def test_unreadable_files_are_unknown_whatever_their_number(spark, tmp_path):
+    for k in range(210):
+        pq.write_table(pa.table({"url": list("ab")[: k % 3]}), tmp_path / f"{k:03}.parquet")
+    (tmp_path / "bad.parquet").write_bytes(b"PAR1 damaged")
+    got = {r.path.rsplit("/", 1)[1]: r.rows for r in listing.row_counts(spark, tmp_path).collect()}
+    assert got.pop("bad.parquet") is None and got == {f"{k:03}.parquet": k % 3 for k in range(210)}
+
+
+def test_set_aside_moves_only_the_shard_itself(spark, tmp_path):
+    shards = tmp_path / "task-000001" / "shards"
+    shards.mkdir(parents=True)
+    for stem, ok in (("10000", 0), ("100000", 90)):
+        (shards / f"{stem}_stats.json").write_text(f'{{"count": 100, "successes": {ok}}}')
+        (shards / f"{stem}.tar").write_bytes(b"")
+    sinks.set_aside(spark, shards.parent, "1")
+    assert sorted(p.name for p in shards.iterdir()) == ["100000.tar", "100000_stats.json"]
+
+
+def test_lock_beats_and_is_taken_over_once_stale(tmp_path):
+    import os
+    import time
+
+    with sinks.TaskLock(tmp_path, "first", stale=60, every=0.05) as lock:
+        beat = lock.path / "owner"
+        os.utime(beat, (1, 1))
+        time.sleep(0.5)
+        assert beat.stat().st_mtime > 1000  # the heartbeat touched it
+    assert not lock.path.exists()
+    stuck = sinks.TaskLock(tmp_path, "gone", every=1e6).__enter__()
+    os.utime(stuck.path / "owner", (1, 1))
+    with sinks.TaskLock(tmp_path, "second") as now:
+        assert now.mine() and not stuck.mine()
+        stuck.__exit__()  # the run that lost the lock doesn't remove it
+        assert now.mine()
+        with pytest.raises(EngineError), sinks.TaskLock(tmp_path, "third"):
+            pass
+    assert list(tmp_path.iterdir()) == []
