@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import thresholds as T
-from ..functions.model import seconds_per_url_col
+from ..functions.model import url_seconds
 from .outcomes import rate
 
 
@@ -129,7 +129,7 @@ def throughput_diagnosis(summary: DataFrame, node_seconds: float, workers: int =
     failure = rate(F.col("candidates") - F.col("successes"), "candidates")
     observed = rate(F.lit(workers * node_seconds), "candidates")
     out = summary.select("*", failure.alias("failure_rate"), observed.alias("observed_cost"))
-    out = out.withColumn("predicted_cost", seconds_per_url_col(F.col("failure_rate"), timeout, retries, success_seconds))
+    out = out.withColumn("predicted_cost", url_seconds(F.col("failure_rate"), timeout, retries, success_seconds))
     out = out.withColumn("cost_ratio", rate("observed_cost", "predicted_cost"))
     return out.withColumn("explained", F.col("cost_ratio").between(T.EXPLAINED_LOW, T.EXPLAINED_HIGH))
 
@@ -138,8 +138,8 @@ def alternatives(diagnosis: DataFrame, timeout: float = T.TIMEOUT_S, retries: in
     """What other settings would give; only where timeouts explain the rate."""
     options = F.array(*[F.struct(F.lit(float(t)).alias("timeout"), F.lit(r).alias("retries")) for t, r in T.ALTERNATIVES])
     each = diagnosis.where("explained").select("*", F.explode(options).alias("o"))
-    cost = seconds_per_url_col(F.col("failure_rate"), F.col("o.timeout"), F.col("o.retries"), success_seconds)
-    now = seconds_per_url_col(F.col("failure_rate"), timeout, retries, success_seconds)
+    cost = url_seconds(F.col("failure_rate"), F.col("o.timeout"), F.col("o.retries"), success_seconds)
+    now = url_seconds(F.col("failure_rate"), timeout, retries, success_seconds)
     speed = F.lit(float(workers)) / cost
     return each.select(*[c for c in diagnosis.columns], F.col("o.timeout").alias("timeout"), F.col("o.retries").alias("retries"), (now / cost).alias("gain"), speed.alias("urls_per_second"), (F.lit(1e6) / speed / 3600).alias("task_hours"))
 

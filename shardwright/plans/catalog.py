@@ -332,10 +332,9 @@ def level_plan(spark: SparkSession, d: str) -> DataFrame:
     return planning.level_plan(levels, 200_000, 10_000).select("requested", "shards", "effective", r6("waves"), "capped", "problem")
 
 
-@query("SELECT n AS nodes, 32 // n AS processes, 200000 // n AS urls, 200 // n AS shards, (200 // n) * 1.0::DOUBLE / (32 // n) AS waves FROM (VALUES (1), (2), (4)) v(n)")
+@query("SELECT n AS nodes, 32 // n AS processes, 200000 // n AS urls, 200 // n AS shards, (200 // n) * 1.0::DOUBLE / (32 // n) AS waves, n || 'n×' || (32 // n) || 'p' AS label FROM (VALUES (1), (2), (4)) v(n)")
 def node_plan(spark: SparkSession, d: str) -> DataFrame:
-    plan = planning.node_plan(32, 200_000, 1000, [1, 2, 4])
-    return spark.createDataFrame([(c.nodes, c.processes, c.urls, c.shards, c.waves) for c in plan], "nodes long, processes long, urls long, shards long, waves double")
+    return planning.node_plan(spark, 32, 200_000, 1000, [1, 2, 4]).select("nodes", "processes", "urls", "shards", "waves", "label")
 
 
 @query("""SELECT total_rows, round(total_rows * 0.55::DOUBLE, 6) AS images, round(total_rows * 0.55::DOUBLE * 85.6::DOUBLE * 1024 / 1e12, 9) AS terabytes, round(total_rows * 0.55::DOUBLE / 225.3::DOUBLE / 3600, 6) AS node_hours, n AS nodes, round(total_rows * 0.55::DOUBLE / 225.3::DOUBLE / 3600 / n / 0.97::DOUBLE / 24, 9) AS days

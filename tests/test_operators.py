@@ -6,6 +6,7 @@ from urllib.parse import urlsplit
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from shardwright import thresholds as T
 from shardwright.errors import EngineError, ManifestError, SchemaError
@@ -175,13 +176,19 @@ def test_arms(spark):
     assert (traded.verdict, traded.task) == ("trades_yield", 10)
 
 
-def test_model():
-    assert model.seconds_per_url(0.5, 10, 2, 1) == 15.5
-    assert math.isclose(model.implied_failure_rate(15.5, 10, 2, 1), 0.5)
-    assert model.yield_at(5, {1: 0.5, 10: 1.0}) == 0.5 and model.yield_at(0.5, {1: 0.5}) == 0.0
-    for bad in (lambda: model.seconds_per_url(1.1, 1, 1, 1), lambda: model.implied_failure_rate(50, 10, 2, 1), lambda: model.urls_per_second(0, 1)):
-        with pytest.raises(EngineError):
-            bad()
+def test_model(spark):
+    one = spark.range(1)
+    value = lambda c: one.select(c.alias("v")).first().v
+    assert value(model.url_seconds(0.5, 10, 2, 1)) == 15.5
+    assert math.isclose(value(model.failure_share(15.5, 10, 2, 1)), 0.5)
+    assert value(model.pace(2.0, 64)) == 32 and value(model.hours(7200, 2)) == 1 and model.shard_count(1001, 100) == 11
+    assert value(model.url_seconds(F.lit(None).cast("double"), 10, 2, 1)) is None
+    steps = spark.createDataFrame([(10.0, 1.0), (1.0, 0.5)], "seconds double, share double")
+    asked = spark.createDataFrame([(0.5,), (1.0,), (5.0,), (10.0,)], "t double")
+    assert [r.answered for r in model.with_answered(asked, "t", steps).orderBy("t").collect()] == [0.0, 0.5, 0.5, 1.0]
+    for bad in (model.url_seconds(1.1, 1, 1, 1), model.failure_share(50, 10, 2, 1), model.failure_share(1, 1, 0, 2), model.pace(0, 1), model.hours(5, 0)):
+        with pytest.raises(Exception, match="a failure rate|timeouts alone|has to"):
+            value(bad)
 
 
 def test_stats_contract(spark):
@@ -196,8 +203,9 @@ def test_planning(spark):
     assert [r.problem for r in plan] == ["too few waves", "capped"]
     assert planning.samples_per_shard(200_000, [8, 64]) == 1041
     with pytest.raises(EngineError):
-        planning.node_plan(32, 100, 10, [3])
-    assert planning.node_problems(planning.node_plan(32, 200_000, 1000, [1, 2])) == []
+        planning.node_plan(spark, 32, 100, 10, [3])
+    assert planning.node_problems(planning.node_plan(spark, 32, 200_000, 1000, [1, 2])) == []
+    assert planning.node_problems(planning.node_plan(spark, 32, 64, 4, [2])) == ["2n×16p: only 8 shards"]
     for bad in ((None, True, True), (1, False, True), (1, True, False)):
         with pytest.raises(EngineError):
             planning.check_blur(*bad)
