@@ -52,6 +52,8 @@ BLOCK, SALTS = 256, 16
 SHARED = 16
 #: Slopes of a row that are added a row at a time.
 SHORT = 8
+#: Bytes of text that a training task goes through at least, so that the rows it sends back are fewer than those.
+TRAIN_BYTES = 32 << 20
 #: Different tokens that a task counts before it passes counts on.
 HELD = 200_000
 
@@ -298,7 +300,8 @@ def train_round(train: DataFrame, model: Model) -> Model:
 
     kind = "block int, salt int, body binary"
     n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    changes = train.mapInArrow(run, kind).repartition(n, "block", "salt").mapInArrow(_added, kind)
+    total = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    changes = train.coalesce(max(1, -(-total // TRAIN_BYTES))).mapInArrow(run, kind).repartition(n, "block", "salt").mapInArrow(_added, kind)
     for block, _, body in changes.repartition(n, "block").mapInArrow(_added, kind).collect():
         v = np.frombuffer(bytes(body), np.float32)
         seen, change = v[:BLOCK], v[BLOCK:].reshape(BLOCK, WIDE)
