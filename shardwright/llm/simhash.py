@@ -42,6 +42,8 @@ SEGMENT, CROWD = 32, 64
 #: near_copies(): words of a shingle, least similarity, 64-bit parts of a fingerprint, weak bits of a segment, complete distance.
 LONG_WORDS, LEAST, PARTS, WEAK, FAR = 5, 0.8, 8, 4, 120
 TABLES = 64 * PARTS // SEGMENT
+#: Hashes of shingles that a task comparing pairs remembers.
+SHINGLED = 1 << 22
 #: Shingles hashed before their bits are counted.
 CHUNK = 1 << 14
 _MIX = np.random.default_rng(64).integers(0, 1 << 63, (3, PARTS), np.uint64) * np.uint64(2) + np.uint64(1)
@@ -186,13 +188,30 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for u, v, a, b in rows(batches, "u", "v", "a", "b"):
+    """The pairs that are alike enough. A text is in many pairs: its shingles are remembered, up to SHINGLED hashes of all."""
+    held: dict[int, np.ndarray] = {}
+    size = 0
+
+    def of(node: int, text: pa.Scalar) -> np.ndarray:
+        nonlocal size
+        found = held.get(node)
+        if found is None:
+            found = shingles(text.as_py())
+            if size + len(found) > SHINGLED:
+                held.clear()
+                size = 0
+            held[node] = found
+            size += len(found)
+        return found
+
+    for batch in batches:
+        u, v, a, b = (batch.column(n) for n in ("u", "v", "a", "b"))
         keep = []
-        for x, y in zip(a, b):
-            s, t = shingles(x), shingles(y)
-            both = len(np.intersect1d(s, t, assume_unique=True))
-            keep.append(both >= LEAST * (len(s) + len(t) - both))
-        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
+        for k, (x, y) in enumerate(zip(u.to_pylist(), v.to_pylist())):
+            s, t = of(x, a[k]), of(y, b[k])
+            both = len(np.intersect1d(s, t, assume_unique=True)) if min(len(s), len(t)) >= LEAST * max(len(s), len(t)) else 0
+            keep.append(both > 0 and both >= LEAST * (len(s) + len(t) - both))
+        yield pa.RecordBatch.from_arrays([u, v], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _candidates(sketch: DataFrame) -> DataFrame:
