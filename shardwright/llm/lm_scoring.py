@@ -54,6 +54,8 @@ SHARED = 16
 SHORT = 8
 #: Bytes of text that a training task goes through at least, so that the rows it sends back are fewer than those.
 TRAIN_BYTES = 32 << 20
+#: Counts up to here are steps of their own when the head is chosen; above, FINE / 2 steps for each doubling.
+FINE = 64
 #: Different tokens that a task counts before it passes counts on.
 HELD = 200_000
 
@@ -315,13 +317,24 @@ def token_totals(train: DataFrame) -> DataFrame:
     return written(train.mapInArrow(_count, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")), "tokens")
 
 
+def _step(n: Column) -> Column:
+    """The count with only its first binary digits kept, of which there are as many as in FINE - 1."""
+    cut = F.greatest(F.length(F.bin(n)) - F.length(F.bin(F.lit(FINE - 1))), F.lit(0))
+    return F.call_function("shiftleft", F.call_function("shiftright", n, cut), cut)
+
+
 def _head(totals: DataFrame, most: int) -> tuple[list[tuple[bytes, int]], int, int, int]:
     """(tokens of at least some count, at most `most`, most frequent first), that count, all tokens, all distinct ones."""
-    steps = sorted({max(1, round(2 ** (k / 6))) for k in range(6 * 48)})
-    got = totals.agg(F.sum("n"), F.count("*"), *[F.count_if(F.col("n") >= t) for t in steps]).first()
-    least = next((t for t, n in zip(steps, got[2:]) if n <= most), steps[-1] + 1)
+    by = totals.groupBy(_step(F.col("n")).alias("step")).agg(F.sum("n").alias("n"), F.count("*").alias("distinct"), F.max("n").alias("most")).orderBy(F.desc("step")).collect()
+    least, at_least = (by[0]["most"] + 1 if by else 1), 0
+    for row in by:  # at most FINE + 63 x FINE / 2 rows
+        at_least += row["distinct"]
+        if at_least > most:
+            break
+        least = row["step"]
+    got = sum(row["n"] for row in by), sum(row["distinct"] for row in by)
     head = [(bytes(t), n) for t, n in totals.where(F.col("n") >= least).collect()]
-    return sorted(head, key=lambda x: (-x[1], x[0])), least, got[0] or 0, got[1]
+    return sorted(head, key=lambda x: (-x[1], x[0])), least, *got
 
 
 def learn(train: DataFrame) -> tuple[Model, DataFrame]:

@@ -413,6 +413,16 @@ def test_lm_tells_rare_words_apart(spark, monkeypatch, head):
     assert sum(got[2 * i].score > got[2 * i + 1].score for i in range(1100)) > 1000
 
 
+def test_lm_head_is_the_most_frequent_that_fit(spark):
+    counts = [1, 1, 2, 3, 63, 64, 65, 70, 130, 131, 1 << 40, (1 << 40) + 1]
+    totals = spark.createDataFrame([(b"%d" % k, n) for k, n in enumerate(counts)], "token binary, n long")
+    for most in range(len(counts) + 1):
+        head, least, n, distinct = lm_scoring._head(totals, most)
+        assert (n, distinct) == (sum(counts), len(counts)) and len(head) <= most
+        assert sorted(c for _, c in head) == sorted(c for c in counts if c >= least) and [c for _, c in head] == sorted((c for _, c in head), reverse=True)
+    assert len(lm_scoring._head(totals, 12)[0]) == 12 and len(lm_scoring._head(totals, 2)[0]) == 2 and lm_scoring._head(totals.limit(0), 5) == ([], 1, 0, 0)
+
+
 def test_lm_shares_add_up():
     """Shares of a whole head with classes of two steps, and of all buckets of rare tokens, are one."""
     m = lm_scoring.Model([(b"%d" % i, 20_000 - i) for i in range(20_000)], 10**9, 10**6, [(1000, 9)] * 4096)
@@ -540,6 +550,18 @@ def took(f):
     return time.process_time() - began
 
 
+@pytest.mark.parametrize("most", [0, 300, 1 << 22])
+def test_near_copies_compare_alike_however_much_is_remembered(monkeypatch, most):
+    monkeypatch.setattr(simhash, "SHINGLED", most)
+    texts = [" ".join([prose(60, 100 + k % 5), *["z"] * (k // 5)]) for k in range(40)] + ["", "a b", "a b c"]
+    pairs = [(u, v) for u in range(len(texts)) for v in range(u)]
+    rng.shuffle(pairs)
+    batches = [pa.table({"u": [u for u, _ in p], "v": [v for _, v in p], "a": [texts[u] for u, _ in p], "b": [texts[v] for _, v in p]}).to_batches()[0] for p in (pairs[:200], pairs[200:])]
+    found = {(u, v) for out in simhash._alike(iter(batches)) for u, v in zip(out.column("u").to_pylist(), out.column("v").to_pylist())}
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := t.split()) else set() for t in texts]
+    assert found == {(u, v) for u, v in pairs if len(sets[u] & sets[v]) >= 0.8 * len(sets[u] | sets[v]) and sets[u] | sets[v] and sets[u] & sets[v]} and 20 < len(found) < len(pairs)
+
+
 def test_hostile_values_take_linear_time():
     """Runs of keywords, of local headers and end records, and of nested magic bytes, 200,000 of each."""
     assert took(lambda: secrets.scan("eyJ" * 200_000)) < 5
