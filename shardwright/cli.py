@@ -1,4 +1,4 @@
-"""Commands: inspect, plan, resolution, hosts, assess, slow, report, verify, arms, remaining, salvage, cap, slices, bench.
+"""Commands: inspect, plan, produce, resolution, hosts, assess, slow, report, verify, arms, remaining, salvage, cap, slices, bench.
 
 Exit codes: 0 all well, 1 rejected or a finding, 2 wrong usage or nothing to do.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from . import thresholds as T
 from .errors import EngineError
-from .operators import distributions, outcomes, partition, pilot, planning, schema, verdicts
+from .operators import distributions, outcomes, partition, pilot, planning, production, schema, verdicts
 from .sources import listing, sinks, stats, tar
 
 
@@ -62,6 +62,15 @@ def plan(spark: SparkSession, a: argparse.Namespace) -> int:
     return 0
 
 
+def produce(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Fetches the tasks of a range that aren't complete; 1 if one of them isn't healthy."""
+    first, _, last = a.tasks.partition("-")
+    settings = production.Settings(a.threads, a.timeout, a.retries, a.per_shard, a.cap, a.token)
+    got = production.produce(spark, a.plan, a.source, int(first), int(last or first), a.metadata, settings)
+    _out({"tasks": got}, a.json)
+    return int(not all(t["done"] for t in got))
+
+
 def resolution(spark: SparkSession, a: argparse.Namespace) -> int:
     files = [str(p) for p in listing.parquet_files(a.source)]
     picked = [files[i] for i in distributions.even_sample(len(files), a.files)]
@@ -170,10 +179,11 @@ def verify(spark: SparkSession, a: argparse.Namespace) -> int:
 
 def arms(spark: SparkSession, a: argparse.Namespace) -> int:
     first, _, last = a.tasks.partition("-")
-    marks = stats.read_markers(spark, a.source, int(first), int(last or first)).where("usable")
-    rows = marks.select(F.col("task_id").alias("task"), "settings.threads", "settings.retries", "candidates", "successes", "wall_seconds")
+    marks = stats.read_markers(spark, a.source, int(first), int(last or first)).cache()
+    unusable = [r.task_id for r in marks.where("NOT usable").orderBy("task_id").collect()]
+    rows = marks.where("usable").select(F.col("task_id").alias("task"), "settings.threads", "settings.retries", "candidates", "successes", "wall_seconds")
     got = verdicts.chosen_arm(rows).first().asDict()
-    _out(got | {"arms": [r.asDict() for r in verdicts.ranked_arms(rows).collect()] if got["n_arms"] else []}, a.json)
+    _out(got | {"arms": [r.asDict() for r in verdicts.ranked_arms(rows).collect()] if got["n_arms"] else [], "missing": unusable}, a.json)
     return int(got["verdict"] == "too_few")
 
 
@@ -212,7 +222,7 @@ def bench(spark: SparkSession, a: argparse.Namespace) -> int:
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
     parser = argparse.ArgumentParser(prog="shardwright", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
-    for f in (inspect, plan, resolution, hosts, assess, salvage, slow, report, verify, arms, remaining, cap, slices, bench):
+    for f in (inspect, plan, produce, resolution, hosts, assess, salvage, slow, report, verify, arms, remaining, cap, slices, bench):
         c = commands.add_parser(f.__name__)
         c.set_defaults(run=f)
         c.add_argument("source")
@@ -221,6 +231,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
             "plan": [("--per-task", int, T.URLS_PER_TASK)], "resolution": [("--files", int, T.SAMPLE_FILES)], "verify": [("--files", int, T.SAMPLE_FILES), ("--claimed", str, None)],
             "hosts": [("--files", int, T.HOST_FILES), ("--limit", int, T.HOST_URLS), ("--window", int, T.HOST_WINDOW)], "report": [("--samples", int, T.SAMPLE_IMAGES)],
             "slow": [("--node-hours", float, 1.0), ("--workers", int, T.PROCESSES * T.THREADS), ("--timeout", float, T.TIMEOUT_S), ("--retries", int, 2)], "arms": [("--tasks", str, "8-11")],
+            "produce": [("--plan", str, "plan.json"), ("--tasks", str, "0"), ("--metadata", str, None), ("--threads", int, T.THREADS), ("--timeout", float, T.TIMEOUT_S), ("--retries", int, T.RETRIES), ("--per-shard", int, T.SAMPLES_PER_SHARD), ("--cap", int, None), ("--token", str, None)],
             "remaining": [("--plan", str, "plan.json")], "cap": [("--rows", int, 1)], "slices": [("--rows", int, 1), ("--offset", int, 0), ("--slices", int, 1), ("--to", str, "slices")],
         }.get(f.__name__, []):
             c.add_argument(name, type=kind, default=value)

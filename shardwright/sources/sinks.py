@@ -6,6 +6,7 @@ import json
 import os
 import shutil
 import threading
+import time
 import uuid
 from datetime import UTC, datetime
 from pathlib import Path
@@ -87,41 +88,65 @@ def set_aside(spark, task: Path, tag: str, min_yield: float = T.KEEPABLE_SHARD_Y
 
 
 class TaskLock:
-    """A directory that only one run can make (L1). Its owner's file is touched every `every` seconds while the lock is held.
+    """A task's lock with generations (L1): directories RUNNING.lock.<n>, of which the highest holds.
 
-    A lock whose last beat is stale is first renamed, which only one of several runs can do, and then made anew.
+    A run claims the number after the highest it saw, which only one run can make, and only if that one's last beat is
+    stale (`stale` seconds; the owner's file is touched every `every`). Who made a directory but finds a higher one, or
+    finds its own replaced, doesn't hold the lock: mine() says so, and a holder asks before each commit. Numbers begin at
+    the time in nanoseconds, so a run that comes late with an old number stays below the holder's.
     """
 
+    NAME = "RUNNING.lock"
+
     def __init__(self, task: Path, owner: str, stale: float = T.LOCK_STALE_S, every: float = T.HEARTBEAT_S):
-        self.path, self.owner, self.stale, self.every = task / "RUNNING.lock", owner, stale, every
+        self.task, self.stale, self.every = task, stale, every
+        self.token = f"{owner} {uuid.uuid4().hex}"
+        self.path: Path | None = None
         self.ended = threading.Event()
 
-    def _last_beat(self) -> float:
-        beat = self.path / "owner"
-        return (beat if beat.exists() else self.path).stat().st_mtime
+    @classmethod
+    def generations(cls, task: Path) -> list[int]:
+        return sorted(int(p.name.rsplit(".", 1)[1]) for p in task.glob(f"{cls.NAME}.*"))
+
+    def _at(self, generation: int) -> Path:
+        return self.task / f"{self.NAME}.{generation}"
+
+    def _fresh(self, generation: int) -> bool:
+        """Whether that lock is still there and beats."""
+        for place in (self._at(generation) / "owner", self._at(generation)):
+            try:
+                return datetime.now(UTC).timestamp() - place.stat().st_mtime < self.stale
+            except FileNotFoundError:
+                continue
+        return False
+
+    def seen(self) -> int | None:
+        """The highest generation, which isn't held any more; None if there is none."""
+        found = self.generations(self.task)
+        if found and self._fresh(found[-1]):
+            raise EngineError(f"{self._at(found[-1])} is held")
+        return found[-1] if found else None
 
-    def _make(self) -> None:
+    def claim(self, seen: int | None) -> None:
+        mine = (time.time_ns() if seen is None else seen) + 1
         try:
-            self.path.mkdir()
+            self._at(mine).mkdir()
         except FileExistsError:
-            raise EngineError(f"{self.path} is held") from None
-
-    def __enter__(self) -> TaskLock:
+            raise EngineError(f"{self._at(mine)} was taken by another run") from None
+        self.path = self._at(mine)
         try:
-            fresh = datetime.now(UTC).timestamp() - self._last_beat() < self.stale
+            self.beat()
         except FileNotFoundError:
-            fresh = None
-        if fresh:
-            raise EngineError(f"{self.path} is held")
-        if fresh is False:
-            old = self.path.with_name(f"{self.path.name}.{uuid.uuid4().hex}")
-            try:
-                self.path.rename(old)
-            except FileNotFoundError:
-                raise EngineError(f"{self.path} was taken over by another run") from None
-            shutil.rmtree(old, ignore_errors=True)
-        self._make()
-        self.beat()
+            pass  # a later run cleared it
+        if not self.mine():
+            self.release()
+            raise EngineError(f"a later run holds {self.task}")
+        for old in self.generations(self.task):
+            if old < mine:
+                shutil.rmtree(self._at(old), ignore_errors=True)
+
+    def __enter__(self) -> TaskLock:
+        self.claim(self.seen())
         threading.Thread(target=self._beats, daemon=True).start()
         return self
 
@@ -129,19 +154,37 @@ class TaskLock:
         while not self.ended.wait(self.every):
             if not self.mine():
                 return
-            self.beat()
+            os.utime(self.path / "owner")
+
+    def fence(self) -> tuple[str, str]:
+        """What held() needs to tell, anywhere the folder is seen, whether this run still holds the lock."""
+        return str(self.path), self.token
 
     def mine(self) -> bool:
-        """Whether this run still holds the lock."""
-        try:
-            return (self.path / "owner").read_text() == self.owner
-        except FileNotFoundError:
-            return False
+        return self.path is not None and held(*self.fence())
 
     def beat(self) -> None:
-        (self.path / "owner").write_text(self.owner)
+        """Writes the owner's file, whole at any moment."""
+        part = self.path / f".{uuid.uuid4().hex}"
+        part.write_text(self.token)
+        part.replace(self.path / "owner")
+
+    def release(self) -> None:
+        try:
+            if (self.path / "owner").read_text() == self.token:
+                shutil.rmtree(self.path, ignore_errors=True)
+        except FileNotFoundError:
+            pass  # a later run cleared it
 
     def __exit__(self, *_: object) -> None:
         self.ended.set()
-        if self.mine():
-            shutil.rmtree(self.path, ignore_errors=True)
+        self.release()
+
+
+def held(path: str, token: str) -> bool:
+    """Whether the lock directory still has this owner and no later one stands beside it."""
+    lock = Path(path)
+    try:
+        return (lock / "owner").read_text() == token and TaskLock.generations(lock.parent)[-1:] == [int(lock.name.rsplit(".", 1)[1])]
+    except FileNotFoundError:
+        return False

@@ -17,9 +17,10 @@ MARKER = "task_id long, completed_at string, wall_seconds double, candidates lon
 def _texts(spark: SparkSession, paths: list[tuple[str, Path]]) -> DataFrame:
     """(task, path, raw): raw is NULL for an empty or missing file."""
     listed = spark.createDataFrame([(t, str(p.resolve())) for t, p in paths], "task string, path string")
-    if not paths:
+    there = [str(p) for _, p in paths if p.is_file()]
+    if not there:
         return listed.withColumn("raw", F.lit(None).cast("string"))
-    read = spark.read.text([str(p) for _, p in paths], wholetext=True)
+    read = spark.read.text(there, wholetext=True)
     read = read.select(F.url_decode(F.regexp_replace("_metadata.file_path", "^file:/+", "/")).alias("path"), F.col("value").alias("raw"))
     return listed.join(read, "path", "left").select("task", "path", "raw")
 
@@ -49,12 +50,13 @@ def plan_json(spark: SparkSession, cut: DataFrame, meta_dir: str, per_task: int)
 
 
 def read_markers(spark: SparkSession, root: str, first: int, last: int) -> DataFrame:
-    """(task_id, present, candidates, successes, wall_seconds, settings) of a range; bad markers have NULLs."""
+    """(task_id, present, usable, candidates, successes, wall_seconds, settings) of the task directories in a range; markers
+    that are absent or can't be read have NULLs (A15, J6)."""
     dirs = {t.name: t for t in listing.task_dirs(root)}
     wanted = [(f"task-{i:06d}", dirs[f"task-{i:06d}"] / "DONE.json") for i in range(first, last + 1) if f"task-{i:06d}" in dirs]
     body = F.from_json("raw", MARKER)
     return _texts(spark, wanted).withColumn("m", body).select(
-        F.regexp_extract("task", r"-(\d+)$", 1).cast("long").alias("task_id"), F.coalesce((F.col("m.candidates") > 0) & (F.col("m.wall_seconds") > 0), F.lit(False)).alias("usable"), "m.candidates", "m.successes", "m.wall_seconds", "m.settings"
+        F.regexp_extract("task", r"-(\d+)$", 1).cast("long").alias("task_id"), F.col("raw").isNotNull().alias("present"), F.coalesce((F.col("m.candidates") > 0) & (F.col("m.wall_seconds") > 0), F.lit(False)).alias("usable"), "m.candidates", "m.successes", "m.wall_seconds", "m.settings"
     )
 
 
