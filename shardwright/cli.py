@@ -146,7 +146,7 @@ def report(spark: SparkSession, a: argparse.Namespace) -> int:
     marks = [json.loads((t / "DONE.json").read_text()) for t in done]
     parquets = [str(p) for t in done for p in listing.shard_parquets(t)]
     each = max(1, a.samples // len(done))
-    samples = tar.samples(tar.read_members(spark, [p for found in tars.values() for p in found[:2]], first=each))
+    samples = tar.read_samples(spark, [p for found in tars.values() for p in found[:2]], first=each)
     known = pilot.records(spark, parquets) if parquets else spark.createDataFrame([], "task string, key string, caption string, exif string, w long, h long")
     candidates, successes = (sum(m.get(c) or 0 for m in marks) for c in ("candidates", "successes"))
     got = pilot.report(samples, known, candidates, successes).first().asDict()
