@@ -1,4 +1,4 @@
-"""Commands: inspect, plan, produce, resolution, hosts, assess, slow, report, verify, arms, remaining, salvage, cap, slices, bench.
+"""Commands: inspect, plan, produce, resolution, hosts, assess, slow, report, verify, arms, remaining, salvage, cap, slices, size, bench.
 
 Exit codes: 0 all well, 1 rejected or a finding, 2 wrong usage or nothing to do.
 """
@@ -40,7 +40,7 @@ def inspect(spark: SparkSession, a: argparse.Namespace) -> int:
         _out({"format": "text"}, a.json)
         return 0
     found = listing.describe(spark, a.source)
-    names = listing.schemas(a.source)
+    names = listing.schemas(spark, a.source)
     _out({"format": "parquet", **found, "mismatched": schema.mismatches(names)}, a.json)
     return 0 if found["url_column"] else 2
 
@@ -82,7 +82,7 @@ def resolution(spark: SparkSession, a: argparse.Namespace) -> int:
         return 2
     sizes = spark.read.parquet(*picked).select(F.col(roles.bound["width"]).cast("long").alias("w"), F.col(roles.bound["height"]).cast("long").alias("h"))
     counts = distributions.side_counts(sizes)
-    ladders = {"percentiles": [r.asDict() for r in distributions.percentiles(counts, "short_side").collect()], "below": [r.asDict() for r in distributions.below(counts).collect()]}
+    ladders = {"percentiles": [r.asDict() for r in distributions.percentiles(distributions.sides(sizes), "short_side").collect()], "below": [r.asDict() for r in distributions.below(counts).collect()]}
     _out(ladders | {"files": len(picked), "degenerate": distributions.degenerate(counts).first().asDict(), **distributions.unusable_count(sizes).first().asDict()}, a.json)
     return 0
 
@@ -150,7 +150,7 @@ def report(spark: SparkSession, a: argparse.Namespace) -> int:
     known = pilot.records(spark, parquets) if parquets else spark.createDataFrame([], "task string, key string, caption string, exif string, w long, h long")
     candidates, successes = (sum(m.get(c) or 0 for m in marks) for c in ("candidates", "successes"))
     got = pilot.report(samples, known, candidates, successes).first().asDict()
-    sides = distributions.percentiles(distributions.side_counts(known), "short_side")
+    sides = distributions.percentiles(distributions.sides(known), "short_side")
     size = sum(Path(p).stat().st_size for found in tars.values() for p in found)
     got |= {"tasks": len(done), "incomplete": len(tasks) - len(done), "tar_bytes": size, "parquet_bytes": sum(Path(p).stat().st_size for p in parquets)}
     got |= {"percentiles": [r.asDict() for r in sides.collect()], "corpus_tib": planning.pilot_projection(size, candidates) if candidates else None}
@@ -171,7 +171,7 @@ def verify(spark: SparkSession, a: argparse.Namespace) -> int:
     if a.claimed:
         claimed = spark.createDataFrame([(r["p"], r["short_side"]) for r in json.loads(Path(a.claimed).read_text())["percentiles"]], "p long, short_side double")
         came = rows.where("(status IS NULL OR status = 'success') AND ow <> 0 AND oh <> 0").select(F.col("ow").alias("w"), F.col("oh").alias("h"))
-        half = distributions.median_drift(claimed, distributions.percentiles(distributions.side_counts(came), "short_side")).where("p = 50").first()
+        half = distributions.median_drift(claimed, distributions.percentiles(distributions.sides(came), "short_side")).where("p = 50").first()
         drift = half and half["drift"]
     _out(got | {"median_drift": drift, "files": len(picked)}, a.json)
     return int(got["resized"] > 0 or (drift or 0) > T.ARRIVED_MEDIAN_DRIFT)
@@ -213,6 +213,20 @@ def slices(spark: SparkSession, a: argparse.Namespace) -> int:
     return 0
 
 
+def size(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Bytes an image of real shards, by task, and whether tasks or shards differ more."""
+    shards = stats.measured_shards(spark, a.source, a.tasks, a.shards).cache()
+    tasks = distributions.task_sizes(shards)
+    rows = [r.asDict() for r in tasks.orderBy("task").collect()]
+    if not rows:
+        print("no shard with statistics and a tar", file=sys.stderr)
+        return 2
+    total = {c: sum(r[c] for r in rows) for c in ("bytes", "images")}
+    per_image = total["bytes"] / total["images"]
+    _out({"tasks": rows, **total, "bytes_per_image": per_image, "corpus_terabytes": planning.storage_projection(per_image), **distributions.size_report(tasks).first().asDict()} | {"tasks": rows}, a.json)
+    return 0
+
+
 def bench(spark: SparkSession, a: argparse.Namespace) -> int:
     got = tar.bench_total(tar.bench(spark, a.source)).first().asDict()
     _out(got, a.json)
@@ -222,7 +236,7 @@ def bench(spark: SparkSession, a: argparse.Namespace) -> int:
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
     parser = argparse.ArgumentParser(prog="shardwright", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
-    for f in (inspect, plan, produce, resolution, hosts, assess, salvage, slow, report, verify, arms, remaining, cap, slices, bench):
+    for f in (inspect, plan, produce, resolution, hosts, assess, salvage, slow, report, verify, arms, remaining, cap, slices, size, bench):
         c = commands.add_parser(f.__name__)
         c.set_defaults(run=f)
         c.add_argument("source")
@@ -232,7 +246,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
             "hosts": [("--files", int, T.HOST_FILES), ("--limit", int, T.HOST_URLS), ("--window", int, T.HOST_WINDOW)], "report": [("--samples", int, T.SAMPLE_IMAGES)],
             "slow": [("--node-hours", float, 1.0), ("--workers", int, T.PROCESSES * T.THREADS), ("--timeout", float, T.TIMEOUT_S), ("--retries", int, 2)], "arms": [("--tasks", str, "8-11")],
             "produce": [("--plan", str, "plan.json"), ("--tasks", str, "0"), ("--metadata", str, None), ("--threads", int, T.THREADS), ("--timeout", float, T.TIMEOUT_S), ("--retries", int, T.RETRIES), ("--per-shard", int, T.SAMPLES_PER_SHARD), ("--cap", int, None), ("--token", str, None)],
-            "remaining": [("--plan", str, "plan.json")], "cap": [("--rows", int, 1)], "slices": [("--rows", int, 1), ("--offset", int, 0), ("--slices", int, 1), ("--to", str, "slices")],
+            "size": [("--tasks", int, T.SAMPLE_TASKS), ("--shards", int, T.SAMPLE_SHARDS)], "remaining": [("--plan", str, "plan.json")], "cap": [("--rows", int, 1)], "slices": [("--rows", int, 1), ("--offset", int, 0), ("--slices", int, 1), ("--to", str, "slices")],
         }.get(f.__name__, []):
             c.add_argument(name, type=kind, default=value)
     a = parser.parse_args(args)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +15,10 @@ from ..functions.urls import pool_key
 from .outcomes import rate
 
 
+#: Parts of a stretch that a pass of the selection counts.
+BINS = 1024
+
+
 def usable(w: str = "w", h: str = "h") -> Column:
     return F.coalesce((F.col(w) > 0) & (F.col(h) > 0), F.lit(False))
 
@@ -29,25 +36,91 @@ def unusable_count(sizes: DataFrame) -> DataFrame:
     return sizes.agg(F.count_if(~usable()).alias("unusable"), F.count_if(usable()).alias("total"))
 
 
-def percentiles(counts: DataFrame, value: str, ladder: tuple[int, ...] = T.PERCENTILES) -> DataFrame:
-    """(p, value) by linear interpolation at (n - 1) p / 100; exact, from frequencies."""
-    at = F.array(*[F.lit(p / 100) for p in ladder])
-    got = counts.agg(F.percentile(F.col(value), at, F.col("n")).alias("v"))
-    return got.select(F.explode(F.arrays_zip(F.array(*[F.lit(p) for p in ladder]).alias("p"), F.col("v")))).select(F.col("col.p").cast("long").alias("p"), F.col("col.v").alias(value))
+def sides(sizes: DataFrame) -> DataFrame:
+    """short_side of the usable sizes, a row each."""
+    return sizes.where(usable()).select(F.least("w", "h").cast("long").alias("short_side"))
+
+
+def aspects(sizes: DataFrame) -> DataFrame:
+    return sizes.where(usable()).select((F.col("w") / F.col("h")).alias("aspect"))
+
+
+def ranked(rows: DataFrame, value: str, places: Callable[[int], Iterable[int]], weight: str | None = None) -> tuple[int, dict[int, float]]:
+    """How many values there are, and the exact values at the places of the sorted column that `places` names for so many.
+
+    Distributed selection: each pass counts the values in BINS equal parts of each stretch that still holds a wanted
+    place, and keeps the part that does, with its least and largest value for the next pass. Tasks add up their
+    own parts, so no pass shuffles or holds more than places x BINS rows, however many different values there are.
+    """
+    v, n = F.col(value).cast("double"), F.col(weight) if weight else F.lit(1)
+    held = rows.where(F.col(value).isNotNull()).select(v.alias("v"), n.cast("long").alias("n"))
+    low, high, total = held.agg(F.min("v"), F.max("v"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    wanted = sorted(set(places(total))) if total else []
+    found: dict[int, float] = {k: low for k in wanted if low == high}
+    open_: dict[tuple[float, float, int], list[int]] = {(low, high, 0): wanted} if total and low < high else {}
+    while open_:
+        stretches = list(open_)
+        part = lambda a, b: F.least(F.floor((F.col("v") - a) / (b - a) * BINS), F.lit(BINS - 1)).cast("int")
+        places_of = F.array_compact(F.array(*[F.when(F.col("v").between(a, b), F.struct(F.lit(k).alias("stretch"), part(a, b).alias("part"))) for k, (a, b, _) in enumerate(stretches)]))
+        counted = held.select("v", "n", F.explode(places_of).alias("at")).groupBy("at.stretch", "at.part").agg(F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        parts = sorted(counted.collect(), key=lambda r: (r["stretch"], r["part"]))
+        now: dict[tuple[float, float, int], list[int]] = {}
+        for k, (_, _, before) in enumerate(stretches):
+            left = open_[stretches[k]]
+            for r in (r for r in parts if r["stretch"] == k):
+                inside = [x for x in left if before <= x < before + r["n"]]
+                if inside and r["low"] == r["high"]:
+                    found |= dict.fromkeys(inside, r["low"])
+                elif inside:
+                    now[r["low"], r["high"], before] = inside
+                before += r["n"]
+        open_ = now
+    return total, found
+
+
+def quantiles(rows: DataFrame, value: str, shares: Iterable[float], weight: str | None = None) -> list[float | None]:
+    """Exact quantiles by linear interpolation at (n - 1) x share; NULLs where there is no value."""
+    shares = list(shares)
+
+    def ends(at: float) -> tuple[int, int]:
+        return math.floor(at), math.ceil(at)
+
+    total, found = ranked(rows, value, lambda n: [k for s in shares for k in ends((n - 1) * s)], weight)
+    if not total:
+        return [None] * len(shares)
+    out = []
+    for s in shares:
+        at = (total - 1) * s
+        a, b = (found[k] for k in ends(at))
+        out.append(a + (b - a) * (at - math.floor(at)))
+    return out
+
+
+def percentiles(rows: DataFrame, value: str, ladder: tuple[int, ...] = T.PERCENTILES) -> DataFrame:
+    """(p, value) by linear interpolation at (n - 1) p / 100; exact. rows holds the values, or each value once with its count n."""
+    got = quantiles(rows, value, [p / 100 for p in ladder], "n" if "n" in rows.columns else None)
+    return rows.sparkSession.createDataFrame([(p, v) for p, v in zip(ladder, got) if v is not None], f"p long, `{value}` double")
+
+
+def _weight(rows: DataFrame) -> Column:
+    """n of a frequency table; 1 where each value has a row of its own."""
+    return F.col("n") if "n" in rows.columns else F.lit(1)
 
 
 def below(counts: DataFrame, ladder: tuple[int, ...] = T.SIDE_LADDER) -> DataFrame:
     """(threshold, below, fraction): short sides strictly under each threshold, of the usable ones."""
-    aggs = [F.coalesce(F.sum(F.when(F.col("short_side") < t, F.col("n"))), F.lit(0)).cast("long") for t in ladder]
-    got = counts.agg(F.array(*aggs).alias("b"), F.sum("n").alias("total"))
+    n = _weight(counts)
+    aggs = [F.coalesce(F.sum(F.when(F.col("short_side") < t, n)), F.lit(0)).cast("long") for t in ladder]
+    got = counts.agg(F.array(*aggs).alias("b"), F.sum(n).alias("total"))
     each = got.select(F.explode(F.arrays_zip(F.array(*[F.lit(t) for t in ladder]).alias("t"), F.col("b"))).alias("x"), "total")
     return each.select(F.col("x.t").cast("long").alias("threshold"), F.col("x.b").alias("below"), rate(F.col("x.b"), "total").alias("fraction"))
 
 
 def within(counts: DataFrame, bands: tuple[tuple[float, float], ...]) -> DataFrame:
     """(low, high, fraction) of aspects in each band, both ends included."""
-    aggs = [F.struct(F.lit(a).alias("low"), F.lit(b).alias("high"), F.sum(F.when(F.col("aspect").between(a, b), F.col("n")).otherwise(0)).alias("hit")) for a, b in bands]
-    got = counts.agg(F.array(*aggs).alias("x"), F.sum("n").alias("total"))
+    n = _weight(counts)
+    aggs = [F.struct(F.lit(a).alias("low"), F.lit(b).alias("high"), F.sum(F.when(F.col("aspect").between(a, b), n).otherwise(0)).alias("hit")) for a, b in bands]
+    got = counts.agg(F.array(*aggs).alias("x"), F.sum(n).alias("total"))
     return got.select(F.explode("x").alias("x"), "total").select("x.low", "x.high", rate(F.col("x.hit"), "total").alias("fraction"))
 
 

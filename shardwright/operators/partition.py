@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import EngineError, ManifestError
 from ..functions.names import path_order
 
+#: Rows of a file that can meet in one key of a lookup.
+STRIPE = 100_000
+
 
 def offsets(sources: DataFrame) -> DataFrame:
     """(path, rows, off): rows before each file, in the order of path components. One row per file meets in one task."""
@@ -50,11 +55,24 @@ def manifest(rows: DataFrame, per_task: int) -> DataFrame:
     return rows.withColumn("task", F.expr(f"pos div {int(per_task)}"))
 
 
-def manifest_of(rows: DataFrame, cut: DataFrame) -> DataFrame:
-    """Rows (path, row_index) inside a plan's pieces: an equi-join on path with the range as rest."""
-    p = cut.select("task", "seq", F.col("path").alias("p_"), "start", "end")
-    inside = (F.col("path") == F.col("p_")) & (F.col("row_index") >= F.col("start")) & (F.col("row_index") < F.col("end"))
-    return rows.join(p, inside).withColumn("place", F.col("seq") + F.col("row_index") - F.col("start")).drop("p_", "seq", "start", "end")
+def manifest_of(rows: DataFrame, cut: DataFrame, width: int = STRIPE) -> DataFrame:
+    """Rows (path, row_index) inside a plan's pieces (J7): an equi-join on the path and a stripe of `width` rows, with the range
+    as rest. A piece stands in each stripe that it reaches into; a key has at most `width` rows of one file."""
+    stripes = F.sequence(F.expr(f"start div {int(width)}"), F.expr(f"(`end` - 1) div {int(width)}"))
+    p = cut.where(F.col("end") > F.col("start")).select("task", "seq", F.col("path").alias("p_"), "start", "end", F.explode(stripes).alias("stripe_"))
+    inside = (F.col("path") == F.col("p_")) & (F.expr(f"row_index div {int(width)}") == F.col("stripe_")) & (F.col("row_index") >= F.col("start")) & (F.col("row_index") < F.col("end"))
+    return rows.join(p, inside).withColumn("place", F.col("seq") + F.col("row_index") - F.col("start")).drop("p_", "seq", "start", "end", "stripe_")
+
+
+def concatenated(frames: list[DataFrame]) -> DataFrame:
+    """Manifests one after another, as column `part` tells; refused unless all have the same columns and types."""
+    if not frames:
+        raise ManifestError("nothing to concatenate")
+    want = frames[0].dtypes
+    for k, f in enumerate(frames):
+        if f.dtypes != want:
+            raise ManifestError(f"part {k} has {f.dtypes}, the first one {want}")
+    return reduce(DataFrame.union, [f.withColumn("part", F.lit(k)) for k, f in enumerate(frames)])
 
 
 def piece(rows: DataFrame, total: int, start: int, end: int) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import thresholds as T
+from ..functions import model
 from ..functions.status import bucket
 from ..functions.urls import pool_key
 from ..operators import contract, distributions, outcomes, partition, planning, schema, verdicts
@@ -205,31 +206,31 @@ _SQL["sides"] = "(SELECT least(w, h) AS s, w * 1.0::DOUBLE / h AS a FROM [sizes]
 
 @query("SELECT p, round(v, 6) AS short_side FROM (SELECT unnest(⟦1, 5, 10, 25, 50, 75, 90, 99⟧)::BIGINT AS p, unnest(quantile_cont(s, ⟦0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99⟧)) AS v FROM [sides] x) q")
 def resolution_percentiles(spark: SparkSession, d: str) -> DataFrame:
-    out = distributions.percentiles(distributions.side_counts(frame(spark, d, "sizes")), "short_side")
+    out = distributions.percentiles(distributions.sides(frame(spark, d, "sizes")), "short_side")
     return out.select("p", r6("short_side"))
 
 
 @query("SELECT t AS threshold, CAST(sum(CASE WHEN s < t THEN 1 ELSE 0 END) AS BIGINT) AS below, round(sum(CASE WHEN s < t THEN 1 ELSE 0 END) * 1.0::DOUBLE / count(*), 6) AS fraction FROM [sides] x, (SELECT unnest(⟦32, 112, 224, 256, 512, 1024⟧)::BIGINT AS t) l GROUP BY t")
 def resolution_thresholds(spark: SparkSession, d: str) -> DataFrame:
-    return distributions.below(distributions.side_counts(frame(spark, d, "sizes"))).select("threshold", "below", r6("fraction"))
+    return distributions.below(distributions.sides(frame(spark, d, "sizes"))).select("threshold", "below", r6("fraction"))
 
 
 @query("SELECT lo AS low, hi AS high, round(sum(CASE WHEN a >= lo AND a <= hi THEN 1 ELSE 0 END) * 1.0::DOUBLE / count(*), 6) AS fraction FROM [sides] x, (VALUES (0.9::DOUBLE, 1.1::DOUBLE), (0.5::DOUBLE, 2.0::DOUBLE)) b(lo, hi) GROUP BY lo, hi")
 def aspect_bands(spark: SparkSession, d: str) -> DataFrame:
-    return distributions.within(distributions.aspect_counts(frame(spark, d, "sizes")), ((0.9, 1.1), (0.5, 2.0))).select("low", "high", r6("fraction"))
+    return distributions.within(distributions.aspects(frame(spark, d, "sizes")), ((0.9, 1.1), (0.5, 2.0))).select("low", "high", r6("fraction"))
 
 
 @query("SELECT round(median(a), 6) AS median_aspect, round(median(s), 6) AS median_side, (SELECT count(*) FROM [sizes] z) - count(*) AS unusable, count(*) AS total FROM [sides] x")
 def size_medians(spark: SparkSession, d: str) -> DataFrame:
     sizes = frame(spark, d, "sizes")
-    a = distributions.aspect_counts(sizes).agg(F.round(F.percentile("aspect", F.lit(0.5), F.col("n")), 6).alias("median_aspect"))
-    s = distributions.side_counts(sizes).agg(F.round(F.percentile("short_side", F.lit(0.5), F.col("n")), 6).alias("median_side"))
-    return a.crossJoin(s).crossJoin(distributions.unusable_count(sizes))  # one row each
+    medians = [distributions.quantiles(rows, c, [0.5])[0] for rows, c in ((distributions.aspects(sizes), "aspect"), (distributions.sides(sizes), "short_side"))]
+    told = [F.round(F.lit(m).cast("double"), 6).alias(c) for m, c in zip(medians, ("median_aspect", "median_side"))]
+    return distributions.unusable_count(sizes).select(*told, "unusable", "total")
 
 
 @query("SELECT round(sum(CASE WHEN s < 32 THEN 1 ELSE 0 END) * 1.0::DOUBLE / count(*), 6) AS fraction, sum(CASE WHEN s < 32 THEN 1 ELSE 0 END) * 1.0::DOUBLE / count(*) > 0.01 AS noted FROM [sides] x")
 def degenerate_sizes(spark: SparkSession, d: str) -> DataFrame:
-    return distributions.degenerate(distributions.side_counts(frame(spark, d, "sizes"))).select(r6("fraction"), "noted")
+    return distributions.degenerate(distributions.sides(frame(spark, d, "sizes"))).select(r6("fraction"), "noted")
 
 
 _OK = "coalesce((status IS NULL OR status = 'success') AND ow <> 0 AND oh <> 0, false)"
@@ -243,8 +244,8 @@ def arrived_vs_claimed(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT c.p, round(c.v, 6) AS claimed, round(a.v, 6) AS arrived, round(abs(a.v - c.v) / nullif(c.v, 0), 6) AS drift FROM (SELECT unnest(⟦1, 5, 10, 25, 50, 75, 90, 99⟧)::BIGINT AS p, unnest(quantile_cont(s, ⟦0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99⟧)) AS v FROM [sides] x) c
  JOIN (SELECT unnest(⟦1, 5, 10, 25, 50, 75, 90, 99⟧)::BIGINT AS p, unnest(quantile_cont(least(w, h), ⟦0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99⟧)) AS v FROM [arrived] z WHERE w > 0 AND h > 0 AND (status IS NULL OR status = 'success')) a USING (p)""")
 def recorded_size_drift(spark: SparkSession, d: str) -> DataFrame:
-    claimed = distributions.percentiles(distributions.side_counts(frame(spark, d, "sizes")), "short_side")
-    came = distributions.percentiles(distributions.side_counts(frame(spark, d, "arrived").where("status IS NULL OR status = 'success'")), "short_side")
+    claimed = distributions.percentiles(distributions.sides(frame(spark, d, "sizes")), "short_side")
+    came = distributions.percentiles(distributions.sides(frame(spark, d, "arrived").where("status IS NULL OR status = 'success'")), "short_side")
     return distributions.median_drift(claimed, came).select("p", r6("claimed"), r6("arrived"), r6("drift"))
 
 
@@ -350,11 +351,12 @@ _STEPS = (10, 50, 100, 200, 400)
 @query("""WITH h AS (SELECT CAST(ceil(value) AS BIGINT) AS seconds, count(*) AS n FROM events GROUP BY 1), c AS (SELECT seconds, CAST(sum(n) OVER (ORDER BY seconds) AS BIGINT) * 1.0::DOUBLE / sum(n) OVER () AS fraction FROM h)
  SELECT t AS timeout, round(coalesce((SELECT arg_max(fraction, seconds) FROM c WHERE seconds <= t), 0.0), 6) AS yield_kept FROM (VALUES (10), (50), (100), (200), (400)) v(t)""")
 def latency_yield(spark: SparkSession, d: str) -> DataFrame:
-    """Steps are whole seconds; what each timeout keeps is one conditional sum, no ordering of rows."""
-    value = F.ceil("value")
-    got = spark.read.parquet(f"{d}/events.parquet").agg(*[F.count_if(value <= t).alias(f"t{t}") for t in _STEPS], F.count("value").alias("n"))
-    each = F.array(*[F.struct(F.lit(t).cast("long").alias("timeout"), outcomes.rate(f"t{t}", "n").alias("y")) for t in _STEPS])
-    return got.select(F.explode(each).alias("x")).select("x.timeout", r6(F.col("x.y"), "yield_kept"))
+    """Steps are whole seconds with the share of answers by then; each timeout takes the last step at or below it."""
+    counts = spark.read.parquet(f"{d}/events.parquet").groupBy(F.ceil("value").alias("seconds")).agg(F.count("*").alias("n"))
+    upto = Window.orderBy("seconds")  # a row for each whole second
+    steps = counts.select("seconds", (F.sum("n").over(upto) / F.sum("n").over(Window.partitionBy())).alias("share"))
+    timeouts = spark.createDataFrame([(t,) for t in _STEPS], "timeout long")
+    return model.with_answered(timeouts, "timeout", steps).select("timeout", r6("answered", "yield_kept"))
 
 
 _NAMES = [("short", ("pageurl", "downloadurl", "uid", "photoid", "title")), ("upper", ("Url", "Text", "Width", "ID")), ("none", ("pageurl", "num_faces"))]

@@ -1,15 +1,18 @@
-"""Listings and footers (A1-A5, A7, A9, A12, A14, A18-A23, C6). Paths are the driver's; rows are counted by Spark."""
+"""Listings and footers (A1-A5, A7, A9, A12, A14, A18-A23, C6). Paths are the driver's; footers are read in tasks."""
 
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import EngineError
+from ..functions.names import path_order
 from ..operators.schema import slicing_column
 
 MANIFEST = "urls.parquet"
@@ -35,40 +38,53 @@ def is_parquet(source: str | os.PathLike) -> bool:
         return f.read(4) == b"PAR1"
 
 
-def row_counts(spark: SparkSession, source: str | os.PathLike) -> DataFrame:
-    """(path, rows) of every file, empty ones too. The scan reads no column; unreadable files have NULL rows."""
+def footers(spark: SparkSession, source: str | os.PathLike) -> DataFrame:
+    """(path, rows, names) of every file in one pass over the footers, in tasks; NULLs where a file can't be read."""
     files = [str(p.resolve()) for p in parquet_files(source)]
-    listed = [(p, schema_names(p) is not None) for p in files]
-    found = spark.createDataFrame(listed, "path string, readable boolean")
-    good = [p for p, readable in listed if readable]
-    if not good:
-        return found.select("path", F.lit(None).cast("long").alias("rows"))
-    counted = spark.read.parquet(*good).groupBy(F.col("_metadata.file_path").alias("uri")).count()
-    counted = counted.select(F.url_decode(F.regexp_replace("uri", "^file:/+", "/")).alias("path"), F.col("count").alias("rows"))
-    return found.join(counted, "path", "left").select("path", F.when(F.col("readable"), F.coalesce("rows", F.lit(0))).alias("rows"))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column("path").to_pylist()
+            rows, names = zip(*map(footer, paths))
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(rows, pa.int64()), pa.array(names, pa.list_(pa.string()))], names=["path", "rows", "names"])
 
-def schema_names(path: str | os.PathLike) -> list[str] | None:
-    """Column names of a footer; None if it can't be read."""
+    listed = spark.createDataFrame([(f,) for f in files], "path string").repartition(max(1, min(len(files), 4 * spark.sparkContext.defaultParallelism)), "path")
+    return listed.mapInArrow(run, "path string, rows long, names array<string>")
+
+
+def footer(path: str | os.PathLike) -> tuple[int | None, list[str] | None]:
+    """Rows and column names; (None, None) if the file can't be read."""
     try:
-        return pq.ParquetFile(path).schema_arrow.names
+        with pq.ParquetFile(path) as f:
+            return f.metadata.num_rows, f.schema_arrow.names
     except Exception:  # noqa: BLE001  any damage counts as unreadable
-        return None
+        return None, None
+
+
+def row_counts(spark: SparkSession, source: str | os.PathLike) -> DataFrame:
+    """(path, rows) of every file, empty ones too; unreadable files have NULL rows."""
+    return footers(spark, source).select("path", "rows")
+
+
+def schema_names(path: str | os.PathLike) -> list[str] | None:
+    """Column names of one footer; None if it can't be read."""
+    return footer(path)[1]
 
 
-def schemas(source: str | os.PathLike) -> list[tuple[str, list[str]]]:
-    return [(str(p), names) for p in parquet_files(source) if (names := schema_names(p)) is not None]
+def schemas(spark: SparkSession, source: str | os.PathLike) -> list[tuple[str, list[str]]]:
+    """(path, names) of the files that can be read, in the order of their paths."""
+    found = footers(spark, source).where("names IS NOT NULL").select("path", "names").collect()
+    return sorted(((r.path, r.names) for r in found), key=lambda x: _parts(Path(x[0])))
 
 
 def describe(spark: SparkSession, source: str | os.PathLike) -> dict[str, object]:
-    """Files, rows, first file's columns, and the URL column or why there is none."""
-    files = parquet_files(source)
-    names = next((n for p in files if (n := schema_names(p)) is not None), [])
-    out: dict[str, object] = {"files": len(files), "rows": row_counts(spark, source).agg(F.sum("rows")).first()[0] or 0, "columns": names}
+    """Files, rows, first readable file's columns, and the URL column or why there is none."""
+    got = footers(spark, source).agg(F.count("*").alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.min_by("names", F.when(F.col("names").isNotNull(), path_order(F.col("path")))).alias("columns")).first().asDict()
+    got["columns"] = got["columns"] or []
     try:
-        return out | {"url_column": slicing_column(names), "error": None}
+        return got | {"url_column": slicing_column(got["columns"]), "error": None}
     except ValueError as e:
-        return out | {"url_column": None, "error": str(e)}
+        return got | {"url_column": None, "error": str(e)}
 
 
 def with_positions(spark: SparkSession, paths: list[str], *columns: str) -> DataFrame:
@@ -127,6 +143,14 @@ def rebased(recorded: str, root: str | None) -> str:
     raise EngineError(f"{recorded} isn't there" + (f", nor below {root}" if root else ", and no metadata root is set"))
 
 
+def tar_sizes(spark: SparkSession, root: str | os.PathLike) -> DataFrame:
+    """(task, shard, bytes) of the tars of a tree, nested or flat, from file metadata; Spark lists the folders in parallel and
+    opens no file. What was set aside is left out (A18)."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").option("recursiveFileLookup", True).load(str(root)).select("path", F.col("length").alias("bytes"))
+    part = lambda k: F.regexp_extract("path", r"/(task-\d+)(?:/shards)?/(\d+)\.tar$", k)
+    return found.select(part(1).alias("task"), part(2).alias("shard"), "bytes").where("task <> ''")
+
+
 def hosts_of(spark: SparkSession, text: str) -> DataFrame:
     """(host) in order of first sight."""
     lines = spark.createDataFrame([(text,)], "t string").select(F.posexplode(F.split("t", r"\r?\n")))

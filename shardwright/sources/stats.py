@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import thresholds as T
 from ..operators.partition import task_plan
 from . import listing
 
@@ -36,6 +37,16 @@ def read_stats(spark: SparkSession, root: str, set_aside: bool = False) -> DataF
     )
 
 
+def measured_shards(spark: SparkSession, root: str, tasks: int = T.SAMPLE_TASKS, shards: int = T.SAMPLE_SHARDS) -> DataFrame:
+    """(task, shard, bytes, successes): tars joined to the statistics of the same stem, of each of the first tasks the
+    first shards; statistics without a tar, or that can't be read, are skipped (A18, J3, H8)."""
+    said = read_stats(spark, root).where("successes IS NOT NULL").select("task", "shard", "successes")
+    both = listing.tar_sizes(spark, root).join(said, ["task", "shard"])
+    first = both.select("task").distinct().orderBy("task").limit(tasks)
+    nth = F.row_number().over(Window.partitionBy("task").orderBy("shard"))
+    return both.join(F.broadcast(first), "task").withColumn("nth_", nth).where(F.col("nth_") <= shards).select("task", "shard", "bytes", "successes")
+
+
 def read_plan(spark: SparkSession, path: str) -> DataFrame:
     """(task_id, rows, seq, path, start, end)."""
     plan = spark.read.schema(PLAN).json(path, multiLine=True).select(F.explode("tasks").alias("t"))

@@ -1,13 +1,17 @@
 """Tar ranges, URL lists in many splits, footers and the size scan, on real files."""
 
 import io
+import json
 import random
 import tarfile
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from shardwright.sources import tar
+from shardwright import cli
+from shardwright.sources import listing, stats, tar, urllist
 
 
 def make_tar(path, members):
@@ -95,3 +99,58 @@ def test_format(spark, tree):
     root, held = tree
     spark.dataSource.register(tar.ShardTar)
     assert spark.read.format("shard_tar").load(str(root)).where(F.col("shard") == "00001").count() == len(held[("task-000000", "00001")])
+
+
+# lists, footers, sizes
+
+
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10b")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_positions_are_the_same_in_any_splits(spark, tmp_path, small_splits):
+    r = random.Random(6)
+    lines = ["id\turl", *(f"{k}\t http://h/{'x' * r.randrange(0, 700 if k % 50 == 0 else 20)}{k} \r" if r.random() < 0.9 else str(k) * r.randrange(2) for k in range(600))]
+    (tmp_path / "l.tsv").write_bytes("\n".join(lines).encode())
+    assert spark.read.text(str(tmp_path / "l.tsv")).rdd.getNumPartitions() > 20
+    got = [(x.pos, x.url) for x in urllist.read_urls(spark, str(tmp_path / "l.tsv")).orderBy("pos").collect()]
+    assert got == [(k, f[1].strip()) for k, line in enumerate(lines) if k and len(f := line.split("\t")) > 1]
+    (tmp_path / "d").mkdir()
+    for name, n in (("b", 3), ("a", 40), ("c", 1)):
+        (tmp_path / "d" / name).write_text("".join(f"http://{name}/{k}\n" for k in range(n)))
+    got = [x.line for x in urllist.numbered_lines(spark, str(tmp_path / "d")).orderBy("pos").collect()]
+    assert got == [f"http://{name}/{k}" for name, n in (("a", 40), ("b", 3), ("c", 1)) for k in range(n)]
+
+
+def test_footers_are_read_in_tasks(spark, tmp_path, monkeypatch):
+    for k in range(5):
+        pq.write_table(pa.table({"url": ["u"] * k, "n": list(range(k))}), tmp_path / f"{k}.parquet")
+    (tmp_path / "bad.parquet").write_bytes(b"PAR1 damaged")
+    monkeypatch.setattr(listing.pq, "ParquetFile", None)  # the driver opens no file
+    got = {r.path.rsplit("/", 1)[1]: (r.rows, r.names) for r in listing.footers(spark, tmp_path).collect()}
+    assert got.pop("bad.parquet") == (None, None) and got == {f"{k}.parquet": (k, ["url", "n"]) for k in range(5)}
+    assert listing.describe(spark, tmp_path) == {"files": 6, "rows": 10, "columns": ["url", "n"], "url_column": "url", "error": None}
+
+
+def test_sizes_of_real_shards(spark, tmp_path, capsys):
+    for task, shard, size, ok in (("task-000000", "shards/00000", 5000, 10), ("task-000000", "shards/00001", 9000, 20), ("task-000000", "shards/00002", 7, 1), ("task-000001", "00000", 4000, 4), ("task-000002", "shards/00000", 1000, 1)):
+        path = tmp_path / task / f"{shard}.tar"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(b"x" * size)
+        path.with_name(path.stem + "_stats.json").write_text(f'{{"count": 30, "successes": {ok}}}')
+    aside = tmp_path / "task-000000" / "attempt-1"
+    aside.mkdir()
+    (aside / "00000.tar").write_bytes(b"x")
+    (tmp_path / "task-000001" / "00001_stats.json").write_text('{"count": 3, "successes": 3}')  # no tar
+    (tmp_path / "task-000001" / "00002.tar").write_bytes(b"xx")  # no statistics
+    got = sorted(tuple(r) for r in stats.measured_shards(spark, str(tmp_path), 2, 2).collect())
+    assert got == [("task-000000", "00000", 5000, 10), ("task-000000", "00001", 9000, 20), ("task-000001", "00000", 4000, 4)]
+    assert cli.main(["size", str(tmp_path), "--tasks", "2", "--shards", "2"], spark) == 0
+    said = json.loads(capsys.readouterr().out)
+    assert (said["bytes"], said["images"], said["largest_task"]) == (18000, 34, "task-000001") and len(said["tasks"]) == 2
+    assert cli.main(["size", str(aside)], spark) == 2
