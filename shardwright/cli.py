@@ -1,4 +1,5 @@
-"""Commands: inspect, plan, produce, resolution, hosts, assess, slow, report, verify, arms, remaining, salvage, cap, slices, size, bench.
+"""Commands: inspect, plan, produce, resolution, hosts, assess, slow, report, verify, arms, remaining, salvage, cap, slices, size,
+check, run, runs, phases, bench.
 
 Exit codes: 0 all well, 1 rejected or a finding, 2 wrong usage or nothing to do.
 """
@@ -10,12 +11,12 @@ import json
 import sys
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import thresholds as T
 from .errors import EngineError
-from .operators import distributions, outcomes, partition, pilot, planning, production, schema, verdicts
+from .operators import distributions, experiment, outcomes, partition, pilot, planning, production, schema, verdicts
 from .sources import listing, sinks, stats, tar
 
 
@@ -88,9 +89,15 @@ def resolution(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def hosts(spark: SparkSession, a: argparse.Namespace) -> int:
-    files = [str(p.resolve()) for p in listing.parquet_files(a.source)][: a.files]
-    column = schema.resolve(listing.schema_names(files[0]) or []).bound["url"]
-    placed = partition.positioned(listing.with_positions(spark, files, column), listing.row_counts(spark, a.source).where(F.col("path").isin(files)))
+    """Connections that the first URLs of a source need, read from no more files than hold them."""
+    counts = listing.row_counts(spark, a.source).where("rows IS NOT NULL")
+    picked = partition.file_prefix(counts, a.limit).cache()  # a row for each file
+    files = [r.path for r in picked.orderBy("off").limit(a.files).collect()]
+    column = schema.resolve(listing.schema_names(files[0]) or []).bound["url"] if files else None
+    if column is None:
+        print("no URLs", file=sys.stderr)
+        return 2
+    placed = partition.positioned(listing.with_positions(spark, files, column), counts)
     urls = partition.capped(placed, a.limit).select("pos", F.col(column).alias("url"))
     got = distributions.host_concentration(urls, a.window).first().asDict()
     _out(got | {"top_hosts": [r.asDict() for r in distributions.top_hosts(urls, 10).collect()]}, a.json)
@@ -163,6 +170,7 @@ def verify(spark: SparkSession, a: argparse.Namespace) -> int:
     picked = [files[i] for i in distributions.even_sample(len(files), a.files)]
     if not picked:
         return 2
+    bare = sum("status" not in (listing.schema_names(p) or ()) for p in picked)  # the sampled files only
     df = spark.read.option("mergeSchema", True).parquet(*picked)
     status = F.col("status") if "status" in df.columns else F.lit(None).cast("string")
     rows = df.select(status.alias("status"), F.col("width").alias("w"), F.col("height").alias("h"), F.col("original_width").alias("ow"), F.col("original_height").alias("oh"))
@@ -173,7 +181,7 @@ def verify(spark: SparkSession, a: argparse.Namespace) -> int:
         came = rows.where("(status IS NULL OR status = 'success') AND ow <> 0 AND oh <> 0").select(F.col("ow").alias("w"), F.col("oh").alias("h"))
         half = distributions.median_drift(claimed, distributions.percentiles(distributions.sides(came), "short_side")).where("p = 50").first()
         drift = half and half["drift"]
-    _out(got | {"median_drift": drift, "files": len(picked)}, a.json)
+    _out(got | {"median_drift": drift, "files": len(picked), "files_without_status": bare}, a.json)
     return int(got["resized"] > 0 or (drift or 0) > T.ARRIVED_MEDIAN_DRIFT)
 
 
@@ -213,6 +221,46 @@ def slices(spark: SparkSession, a: argparse.Namespace) -> int:
     return 0
 
 
+def _design(a: argparse.Namespace) -> experiment.Design:
+    return experiment.Design(tuple(int(n) for n in a.levels.split(",")), a.urls, a.per_shard, a.offset)
+
+
+def check(spark: SparkSession, a: argparse.Namespace) -> int:
+    """What speaks against an experiment on a source; 1 if anything does."""
+    found = experiment.problems(spark, a.source, _design(a))
+    _out({"problems": found}, a.json)
+    return int(bool(found))
+
+
+def run(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Runs an experiment's levels on slices of a source."""
+    former = experiment.run(spark, a.source, a.to, _design(a), production.Settings(a.threads, a.timeout, a.retries))
+    _out({"former": former}, a.json)
+    return runs(spark, argparse.Namespace(source=a.to, json=a.json))
+
+
+def _judged(rows: DataFrame, order: str, verdict: DataFrame, path: str | None) -> int:
+    got = [r.asDict() for r in rows.orderBy(order).collect()]
+    if not got:
+        print("nothing to compare", file=sys.stderr)
+        return 2
+    said = verdict.first().asDict()
+    _out({"runs": got, **said}, path)
+    return int(said["rejected"])
+
+
+def runs(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Whether more processes gave more successes without costing yield."""
+    rows, verdict = experiment.compared(spark, a.source)
+    return _judged(rows, "run", verdict, a.json)
+
+
+def phases(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Whether several nodes did as well as one; phases that a node is missing from don't count."""
+    rows, verdict = experiment.distributed(spark, a.source)
+    return _judged(rows, "phase", verdict, a.json)
+
+
 def size(spark: SparkSession, a: argparse.Namespace) -> int:
     """Bytes an image of real shards, by task, and whether tasks or shards differ more."""
     shards = stats.measured_shards(spark, a.source, a.tasks, a.shards).cache()
@@ -236,7 +284,7 @@ def bench(spark: SparkSession, a: argparse.Namespace) -> int:
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
     parser = argparse.ArgumentParser(prog="shardwright", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
-    for f in (inspect, plan, produce, resolution, hosts, assess, salvage, slow, report, verify, arms, remaining, cap, slices, size, bench):
+    for f in (inspect, plan, produce, resolution, hosts, assess, salvage, slow, report, verify, arms, remaining, cap, slices, size, check, run, runs, phases, bench):
         c = commands.add_parser(f.__name__)
         c.set_defaults(run=f)
         c.add_argument("source")
@@ -246,6 +294,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
             "hosts": [("--files", int, T.HOST_FILES), ("--limit", int, T.HOST_URLS), ("--window", int, T.HOST_WINDOW)], "report": [("--samples", int, T.SAMPLE_IMAGES)],
             "slow": [("--node-hours", float, 1.0), ("--workers", int, T.PROCESSES * T.THREADS), ("--timeout", float, T.TIMEOUT_S), ("--retries", int, 2)], "arms": [("--tasks", str, "8-11")],
             "produce": [("--plan", str, "plan.json"), ("--tasks", str, "0"), ("--metadata", str, None), ("--threads", int, T.THREADS), ("--timeout", float, T.TIMEOUT_S), ("--retries", int, T.RETRIES), ("--per-shard", int, T.SAMPLES_PER_SHARD), ("--cap", int, None), ("--token", str, None)],
+            **{f: [("--levels", str, "8,32,64,8"), ("--urls", int, 200_000), ("--per-shard", int, 1000), ("--offset", int, 0), ("--to", str, "experiment"), ("--threads", int, T.THREADS), ("--timeout", float, T.TIMEOUT_S), ("--retries", int, T.RETRIES)] for f in ("check", "run")},
             "size": [("--tasks", int, T.SAMPLE_TASKS), ("--shards", int, T.SAMPLE_SHARDS)], "remaining": [("--plan", str, "plan.json")], "cap": [("--rows", int, 1)], "slices": [("--rows", int, 1), ("--offset", int, 0), ("--slices", int, 1), ("--to", str, "slices")],
         }.get(f.__name__, []):
             c.add_argument(name, type=kind, default=value)

@@ -31,6 +31,8 @@ class Settings:
     cap: int | None = None
     token: str | None = None
     owner: str = "run"
+    #: Whether faces are blurred. Images are stored as they come, so 1 is refused.
+    blur: int | None = 0
 
     def marker(self) -> dict:
         return {"threads": self.threads, "retries": self.retries, "processes": None, "timeout": self.timeout}
@@ -75,6 +77,7 @@ def produce(spark: SparkSession, plan_file: str, root: str, first: int, last: in
     """
     plan = stats.read_plan(spark, plan_file)
     planning.check_wave(first, last, plan.agg(F.coalesce(F.max("task_id") + 1, F.lit(0))).first()[0], 0, settings.cap or T.MAX_UNFINISHED)
+    planning.check_blur(settings.blur, False, False)
     if not 0 < settings.per_shard <= 10_000:
         raise EngineError("a shard's keys number 1 to 10000 samples")
     todo = {r.task_id: r.rows for r in unfinished(spark, plan, root, first, last).collect()}

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import thresholds as T
+from ..operators import outcomes
 from ..operators.partition import task_plan
 from . import listing
 
@@ -71,23 +73,36 @@ def read_markers(spark: SparkSession, root: str, first: int, last: int) -> DataF
     )
 
 
+_SHARD = "count bigint, successes bigint, status_dict map<string,bigint>"
+
+
+def _number(path: Path) -> float | None:
+    """The number that a small file holds; None if there is none."""
+    try:
+        return float(path.read_text())
+    except (OSError, ValueError):
+        return None
+
+
 def read_runs(spark: SparkSession, root: str) -> DataFrame:
     """Statistics of run directories run<N>_p<P> (A16): run, processes, wall_seconds and the shards' columns."""
-    runs = [(r.name, p) for r in sorted(Path(root).glob("run*_p*")) for p in sorted(r.rglob("*_stats.json"))]
-    walls = [(r.name, float((r / "wall_seconds").read_text())) for r in sorted(Path(root).glob("run*_p*")) if (r / "wall_seconds").exists()]
-    found = _texts(spark, runs).join(spark.createDataFrame(walls, "task string, wall_seconds double"), "task", "left")
-    top = F.from_json("raw", "count bigint, successes bigint, status_dict map<string,bigint>")
-    return found.withColumn("t", top).select(F.regexp_extract("task", r"^run(\d+)_p(\d+)$", 1).cast("long").alias("run"), F.regexp_extract("task", r"^run(\d+)_p(\d+)$", 2).cast("long").alias("processes"), "wall_seconds", "t.*")
+    folders = [r for r in sorted(Path(root).glob("run*_p*")) if re.fullmatch(r"run\d+_p\d+", r.name)]
+    found = _texts(spark, [(r.name, p) for r in folders for p in sorted(r.rglob("*_stats.json"))])
+    walls = spark.createDataFrame([(r.name, _number(r / "wall_seconds")) for r in folders], "task string, wall_seconds double")
+    number = lambda k: F.regexp_extract("task", r"^run(\d+)_p(\d+)$", k).cast("long")
+    return found.join(walls, "task").withColumn("t", F.from_json("raw", _SHARD)).select(number(1).alias("run"), number(2).alias("processes"), "wall_seconds", "t.*")
 
 
 def read_phases(spark: SparkSession, root: str) -> DataFrame:
-    """Statistics of <phase>/<node>/... with the number of nodes that reported and of those expected."""
+    """A row for each phase below root (<phase>/<node>/...): nodes that reported, expected_nodes, wall_seconds, the counters and
+    rates over all nodes, and whether the phase ran on one node or more (A17, F14)."""
     phases = [p for p in sorted(Path(root).iterdir()) if p.is_dir()]
-    stats = _texts(spark, [(p.name, s) for p in phases for s in sorted(p.rglob("*_stats.json"))])
-    said = spark.createDataFrame([(p.name, int(f.read_text()) if (f := p / "expected_nodes").exists() else None, float(w.read_text()) if (w := p / "wall_seconds").exists() else None) for p in phases], "task string, expected_nodes long, wall_seconds double")
-    top = F.from_json("raw", "count bigint, successes bigint, status_dict map<string,bigint>")
+    said = [(p.name, n if (n := _number(p / "expected_nodes")) is None else int(n), _number(p / "wall_seconds")) for p in phases]
+    phase = spark.createDataFrame(said, "phase string, expected_nodes long, wall_seconds double")
     base = str(Path(root).resolve())
     node = F.split(F.substring("path", len(base) + 2, 1 << 20), "/")[1]
-    each = stats.withColumn("t", top).withColumn("node", node)
-    nodes = each.groupBy("task").agg(F.countDistinct("node").alias("nodes"), F.sum("t.count").alias("candidates"), F.sum("t.successes").alias("successes"))
-    return said.join(nodes, "task", "left").withColumnRenamed("task", "phase")
+    each = _texts(spark, [(p.name, s) for p in phases for s in sorted(p.rglob("*_stats.json"))]).withColumnRenamed("task", "phase")
+    each = each.withColumn("t", F.from_json("raw", _SHARD)).select("phase", node.alias("node"), "t.*")
+    nodes = each.groupBy("phase").agg(F.countDistinct("node").alias("nodes"))
+    summary = outcomes.run_summary(each, outcomes.exploded(each, "phase"), "phase").join(nodes, "phase")
+    return outcomes.with_rates(phase.join(summary, "phase", "left"), "wall_seconds")

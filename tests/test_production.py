@@ -198,3 +198,49 @@ def test_many_runs_and_one_lock(tmp_path):
         [t.start() for t in crowd]
         [t.join() for t in crowd]
     assert most[0] == 1 and refused[0] > 0
+
+
+def test_experiment(spark, tmp_path, site, capsys):
+    pq.write_table(pa.table({"url": [f"{site}/{k}" for k in range(200)]}), tmp_path / "u.parquet")
+    to = tmp_path / "exp" / "levels"
+    base = [str(tmp_path / "u.parquet"), "--levels", "1,3,1", "--urls", "60", "--per-shard", "6", "--to", str(to), "--threads", "2"]
+    assert cli.main(["check", *base], spark) == 0
+    assert cli.main(["check", *base[:2], "1,60", *base[3:]], spark) == 1 and cli.main(["check", *base[:4], "90", *base[5:]], spark) == 1
+    assert cli.main(["run", *base[:4], "90", *base[5:]], spark) == 2 and not to.exists()  # refused before anything is written
+    for attempt in (0, 1):
+        assert cli.main(["run", *base], spark) in (0, 1)
+        assert sum(_Site.asked.values()) == 180 * (attempt + 1)
+    assert set(_Site.asked.values()) == {2} and (tmp_path / "exp" / "levels.attempt-1" / "run3_p1" / "wall_seconds").exists()
+    capsys.readouterr()
+    assert cli.main(["runs", str(to)], spark) in (0, 1)
+    said = json.loads(capsys.readouterr().out)
+    assert [(r["run"], r["processes"], r["candidates"], r["successes"]) for r in said["runs"]] == [(1, 1, 60, 54), (2, 3, 60, 54), (3, 1, 60, 54)]
+    assert said["yield_preserved"] and said["dns_stable"] and said["scales"] is not None and all(r["successes_per_sec"] > 0 for r in said["runs"])
+    assert cli.main(["runs", str(tmp_path)], spark) == 2
+
+
+def test_phases(spark, tmp_path, capsys):
+    def phase(name, wall, expected, *nodes):
+        for k, good in enumerate(nodes):
+            d = tmp_path / name / f"node{k}" / "run1" / "shards"
+            d.mkdir(parents=True)
+            for shard in range(2):
+                (d / f"{shard:05d}_stats.json").write_text(json.dumps({"count": 100, "successes": good, "status_dict": {"success": good, "HTTP Error 404: Not Found": 100 - good}}))
+        (tmp_path / name / "wall_seconds").write_text(str(wall))
+        if expected is not None:
+            (tmp_path / name / "expected_nodes").write_text(str(expected))
+
+    phase("1-one", 2, 1, 65)
+    phase("2-two", 2.2, 2, 65, 64)
+    phase("3-lost", 1, 2, 10)
+    phase("4-one", 2, None, 64)
+    assert cli.main(["phases", str(tmp_path)], spark) == 0
+    said = json.loads(capsys.readouterr().out)
+    assert [(r["phase"], r["nodes"], r["candidates"], r["successes"]) for r in said["runs"]] == [("1-one", 1, 200, 130), ("2-two", 2, 400, 258), ("4-one", 1, 200, 128)]
+    assert said["distribution_neutral"] and not said["rejected"] and said["multi_node_rate"] == pytest.approx(258 / 2.2)
+
+
+def test_blur_is_refused(spark, tmp_path):
+    with pytest.raises(EngineError):
+        (tmp_path / "p.json").write_text('{"tasks": [{"task_id": 0, "rows": 1, "pieces": []}]}')
+        production.produce(spark, str(tmp_path / "p.json"), str(tmp_path), 0, 0, settings=production.Settings(blur=1))
