@@ -113,12 +113,13 @@ def retry_plan(spark: SparkSession, d: str) -> DataFrame:
     return contract.keepable(_stats(spark, d)).drop("status_dict")
 
 
-_DIAG = "SELECT *, oc / pc AS cr FROM (SELECT task, f, 1024 * 3000.0::DOUBLE / total AS oc, f * 30 + (1 - f) * 1.0::DOUBLE AS pc FROM (SELECT task, total, (total - succeeded) * 1.0::DOUBLE / total AS f FROM [counted] c) x) y"
+_DIAG = "SELECT *, oc / pc AS cr FROM (SELECT task, f, 3500.0::DOUBLE / total AS oc, f * 30 + (1 - f) * 1.0::DOUBLE AS pc FROM (SELECT task, total, (total - succeeded) * 1.0::DOUBLE / total AS f FROM [counted] c) x) y"
 _SQL["diagnosed"] = f"({_DIAG})"
 
 
 def _diagnosis(spark: SparkSession, d: str) -> DataFrame:
-    return verdicts.throughput_diagnosis(_summary(spark, d), node_seconds=3000 / 1000, workers=1024 * 1000)
+    """Costs near what timeouts would give, so that they explain some tasks and others not."""
+    return verdicts.throughput_diagnosis(_summary(spark, d), node_seconds=3500 / 1024, workers=1024)
 
 
 @query("SELECT task, round(f, 6) AS failure_rate, round(oc, 6) AS observed_cost, round(pc, 6) AS predicted_cost, round(cr, 6) AS cost_ratio, cr BETWEEN 0.7 AND 1.4 AS explained FROM [diagnosed] g")
@@ -126,9 +127,9 @@ def throughput_diagnosis(spark: SparkSession, d: str) -> DataFrame:
     return _diagnosis(spark, d).select("task", r6("failure_rate"), r6("observed_cost"), r6("predicted_cost"), r6("cost_ratio"), "explained")
 
 
-@query("SELECT task, o.t * 1.0::DOUBLE AS timeout, o.r AS retries, round(pc / (f * o.t * (o.r + 1) + (1 - f)), 6) AS gain FROM [diagnosed] g, (VALUES (3, 0), (5, 0), (5, 1), (10, 0)) o(t, r) WHERE cr / 1000 * 1000 BETWEEN 0 AND 1e9")
+@query("SELECT task, o.t * 1.0::DOUBLE AS timeout, o.r AS retries, round(pc / (f * o.t * (o.r + 1) + (1 - f)), 6) AS gain FROM [diagnosed] g, (VALUES (3, 0), (5, 0), (5, 1), (10, 0)) o(t, r) WHERE cr BETWEEN 0.7 AND 1.4")
 def throughput_alternatives(spark: SparkSession, d: str) -> DataFrame:
-    return verdicts.alternatives(_diagnosis(spark, d).withColumn("explained", F.lit(True))).select("task", "timeout", "retries", r6("gain"))
+    return verdicts.alternatives(_diagnosis(spark, d)).select("task", "timeout", "retries", r6("gain"))
 
 
 @query("""WITH r AS (SELECT * FROM [runs] x), b AS (SELECT * FROM r WHERE run = (SELECT min(run) FROM r)), l AS (SELECT r.*, b.processes AS bp, b.y AS by_, b.d AS bd FROM r, b WHERE r.run > b.run),
@@ -228,6 +229,11 @@ def size_medians(spark: SparkSession, d: str) -> DataFrame:
     return distributions.unusable_count(sizes).select(*told, "unusable", "total")
 
 
+@query("SELECT p, round(v, 6) AS aspect FROM (SELECT unnest(⟦1, 5, 10, 25, 50, 75, 90, 99⟧)::BIGINT AS p, unnest(quantile_cont(a, ⟦0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99⟧)) AS v FROM [sides] x) q")
+def aspect_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    return distributions.percentiles(distributions.aspects(frame(spark, d, "sizes")), "aspect").select("p", r6("aspect"))
+
+
 @query("SELECT round(sum(CASE WHEN s < 32 THEN 1 ELSE 0 END) * 1.0::DOUBLE / count(*), 6) AS fraction, sum(CASE WHEN s < 32 THEN 1 ELSE 0 END) * 1.0::DOUBLE / count(*) > 0.01 AS noted FROM [sides] x")
 def degenerate_sizes(spark: SparkSession, d: str) -> DataFrame:
     return distributions.degenerate(distributions.sides(frame(spark, d, "sizes"))).select(r6("fraction"), "noted")
@@ -295,7 +301,13 @@ def shard_contract(spark: SparkSession, d: str) -> DataFrame:
     return contract.shard_problems(m.select("shard").distinct().withColumn("has_tar", F.lit(True)), m)
 
 
-@query("""SELECT task, shard, CASE shard % 9 WHEN 4 THEN 'unreadable' WHEN 5 THEN 'missing failed_to_resize' WHEN 6 THEN 'outcomes exceed count' WHEN 7 THEN 'status_dict disagrees' WHEN 8 THEN 'status_dict is no map' END AS problem FROM (SELECT DISTINCT task, shard FROM [attempts] a) s""")
+_MISSING = " ".join(f"WHEN NOT json_exists(raw, '$.{k}') THEN 'missing {k}'" for k in contract.REQUIRED)
+_JSON_NUMBER = "CAST(TRY_CAST(json_extract_string(raw, '$.{}') AS DOUBLE) AS BIGINT)"
+_SPENT = " + ".join(_JSON_NUMBER.format(k) for k in contract.REQUIRED[1:4])
+
+
+@query(f"""SELECT task, shard, CASE WHEN NOT ok THEN 'unreadable' {_MISSING} WHEN {_SPENT} > {_JSON_NUMBER.format("count")} THEN 'outcomes exceed count' WHEN json_type(raw, '$.status_dict') <> 'OBJECT' THEN 'status_dict is no map'
+ WHEN coalesce({_JSON_NUMBER.format("status_dict.success")}, 0) <> {_JSON_NUMBER.format("successes")} THEN 'status_dict disagrees' END AS problem FROM (SELECT task, shard, json_valid(raw) AS ok, CASE WHEN json_valid(raw) THEN raw ELSE '{{}}' END AS raw FROM [stats_json] s) j""")
 def stats_contract(spark: SparkSession, d: str) -> DataFrame:
     return contract.stats_problems(frame(spark, d, "stats_json")).select("task", "shard", "problem")
 
@@ -327,15 +339,32 @@ def arms_choice(spark: SparkSession, d: str) -> DataFrame:
     return verdicts.chosen_arm(frame(spark, d, "arms")).select("n_arms", "verdict", r6("speedup"), "task", r6("node_hours"))
 
 
-@query("SELECT requested, 20 AS shards, least(requested, 20) AS effective, round(20.0::DOUBLE / least(requested, 20), 6) AS waves, requested > 20 AS capped, CASE WHEN requested > 20 THEN 'capped' WHEN 20.0 / least(requested, 20) < 3 THEN 'too few waves' END AS problem FROM (VALUES (4), (8), (32), (64), (8)) l(requested)")
+@query("""SELECT requested, shards, least(requested, shards) AS effective, round(shards * 1.0::DOUBLE / least(requested, shards), 6) AS waves, requested > shards AS capped, CASE WHEN requested > shards THEN 'capped' WHEN shards * 1.0::DOUBLE / least(requested, shards) < 3 THEN 'too few waves' END AS problem
+ FROM (SELECT DISTINCT CAST(l_linenumber AS BIGINT) * 4 AS requested FROM lineitem) l, (SELECT CAST(ceil(count(*) / 500.0::DOUBLE) AS BIGINT) AS shards FROM events) s""")
 def level_plan(spark: SparkSession, d: str) -> DataFrame:
-    levels = spark.createDataFrame([(n,) for n in (4, 8, 32, 64, 8)], "requested long")
-    return planning.level_plan(levels, 200_000, 10_000).select("requested", "shards", "effective", r6("waves"), "capped", "problem")
+    """Levels that the lines' numbers name, over as many URLs as there are events."""
+    levels = spark.read.parquet(f"{d}/lineitem.parquet").select((F.col("l_linenumber").cast("long") * 4).alias("requested")).distinct()
+    urls = spark.read.parquet(f"{d}/events.parquet").count()
+    return planning.level_plan(levels, urls, 500).select("requested", "shards", "effective", r6("waves"), "capped", "problem")
 
 
-@query("SELECT n AS nodes, 32 // n AS processes, 200000 // n AS urls, 200 // n AS shards, (200 // n) * 1.0::DOUBLE / (32 // n) AS waves, n || 'n×' || (32 // n) || 'p' AS label FROM (VALUES (1), (2), (4)) v(n)")
+@query("""SELECT n AS nodes, 32 // n AS processes, u // n AS urls, CAST(ceil((u // n) / 100.0::DOUBLE) AS BIGINT) AS shards, round(ceil((u // n) / 100.0::DOUBLE) / least(32 // n, ceil((u // n) / 100.0::DOUBLE)), 6) AS waves, n || 'n×' || (32 // n) || 'p' AS label
+ FROM (VALUES (1), (2), (4)) v(n), (SELECT count(*) // 4 * 4 AS u FROM events) e""")
 def node_plan(spark: SparkSession, d: str) -> DataFrame:
-    return planning.node_plan(spark, 32, 200_000, 1000, [1, 2, 4]).select("nodes", "processes", "urls", "shards", "waves", "label")
+    urls = spark.read.parquet(f"{d}/events.parquet").count() // 4 * 4
+    return planning.node_plan(spark, 32, urls, 100, [1, 2, 4]).select("nodes", "processes", "urls", "shards", r6("waves"), "label")
+
+
+@query("SELECT total_rows, round(total_rows / 1e6, 6) AS node_hours FROM (SELECT CAST(sum(rows) AS BIGINT) AS total_rows FROM [sources] s) t")
+def crude_node_hours(spark: SparkSession, d: str) -> DataFrame:
+    summary = partition.partition_summary(frame(spark, d, "sources"), T.URLS_PER_TASK)
+    return planning.crude_node_hours(summary.select("total_rows")).select("total_rows", r6("node_hours"))
+
+
+@query("SELECT CASE path WHEN 'nation' THEN 0 WHEN 'region' THEN 1 WHEN 'supplier' THEN 2 ELSE 3 END AS part, path, row_index, url FROM [files_rows] f")
+def concatenated_manifest(spark: SparkSession, d: str) -> DataFrame:
+    rows = frame(spark, d, "files_rows")
+    return partition.concatenated([rows.where(F.col("path") == p) for p in ("nation", "region", "supplier", "part")]).select("part", "path", "row_index", "url")
 
 
 @query("""SELECT total_rows, round(total_rows * 0.55::DOUBLE, 6) AS images, round(total_rows * 0.55::DOUBLE * 85.6::DOUBLE * 1024 / 1e12, 9) AS terabytes, round(total_rows * 0.55::DOUBLE / 225.3::DOUBLE / 3600, 6) AS node_hours, n AS nodes, round(total_rows * 0.55::DOUBLE / 225.3::DOUBLE / 3600 / n / 0.97::DOUBLE / 24, 9) AS days
@@ -348,15 +377,26 @@ def scale_projection(spark: SparkSession, d: str) -> DataFrame:
 _STEPS = (10, 50, 100, 200, 400)
 
 
+def _latencies(spark: SparkSession, d: str) -> DataFrame:
+    """(seconds, share): whole seconds, a row each, with the share of events that took no longer."""
+    counts = spark.read.parquet(f"{d}/events.parquet").groupBy(F.ceil("value").alias("seconds")).agg(F.count("*").alias("n"))
+    return counts.select("seconds", (F.sum("n").over(Window.orderBy("seconds")) / F.sum("n").over(Window.partitionBy())).alias("share"))
+
+
 @query("""WITH h AS (SELECT CAST(ceil(value) AS BIGINT) AS seconds, count(*) AS n FROM events GROUP BY 1), c AS (SELECT seconds, CAST(sum(n) OVER (ORDER BY seconds) AS BIGINT) * 1.0::DOUBLE / sum(n) OVER () AS fraction FROM h)
  SELECT t AS timeout, round(coalesce((SELECT arg_max(fraction, seconds) FROM c WHERE seconds <= t), 0.0), 6) AS yield_kept FROM (VALUES (10), (50), (100), (200), (400)) v(t)""")
 def latency_yield(spark: SparkSession, d: str) -> DataFrame:
     """Steps are whole seconds with the share of answers by then; each timeout takes the last step at or below it."""
-    counts = spark.read.parquet(f"{d}/events.parquet").groupBy(F.ceil("value").alias("seconds")).agg(F.count("*").alias("n"))
-    upto = Window.orderBy("seconds")  # a row for each whole second
-    steps = counts.select("seconds", (F.sum("n").over(upto) / F.sum("n").over(Window.partitionBy())).alias("share"))
     timeouts = spark.createDataFrame([(t,) for t in _STEPS], "timeout long")
-    return model.with_answered(timeouts, "timeout", steps).select("timeout", r6("answered", "yield_kept"))
+    return model.with_answered(timeouts, "timeout", _latencies(spark, d)).select("timeout", r6("answered", "yield_kept"))
+
+
+@query("""WITH h AS (SELECT CAST(ceil(value) AS BIGINT) AS seconds, count(*) AS n FROM events GROUP BY 1), c AS (SELECT seconds, CAST(sum(n) OVER (ORDER BY seconds) AS BIGINT) * 1.0::DOUBLE / sum(n) OVER () AS share FROM h)
+ SELECT e.event_id, round(coalesce(c.share, 0.0), 6) AS yield_kept FROM (SELECT event_id, value * 0.75::DOUBLE AS timeout FROM events) e ASOF LEFT JOIN c ON e.timeout >= c.seconds""")
+def latency_of_each(spark: SparkSession, d: str) -> DataFrame:
+    """Of each event, the share of answers that three quarters of its own time would have waited for."""
+    events = spark.read.parquet(f"{d}/events.parquet").select("event_id", (F.col("value") * 0.75).alias("timeout"))
+    return model.with_answered(events, "timeout", _latencies(spark, d)).select("event_id", r6("answered", "yield_kept"))
 
 
 _NAMES = [("short", ("pageurl", "downloadurl", "uid", "photoid", "title")), ("upper", ("Url", "Text", "Width", "ID")), ("none", ("pageurl", "num_faces"))]
