@@ -150,12 +150,13 @@ def report(spark: SparkSession, a: argparse.Namespace) -> int:
     if not done:
         print("no task is done yet", file=sys.stderr)
         return 1
-    marks = [json.loads((t / "DONE.json").read_text()) for t in done]
+    first, last = (int(t.name.rsplit("-", 1)[1]) for t in (done[0], done[-1]))
+    marks = stats.read_markers(spark, a.source, first, last).agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("candidates", "successes"))).first()
     parquets = [str(p) for t in done for p in listing.shard_parquets(t)]
     each = max(1, a.samples // len(done))
     samples = tar.read_samples(spark, [p for found in tars.values() for p in found[:2]], first=each)
     known = pilot.records(spark, parquets) if parquets else spark.createDataFrame([], "task string, key string, caption string, exif string, w long, h long")
-    candidates, successes = (sum(m.get(c) or 0 for m in marks) for c in ("candidates", "successes"))
+    candidates, successes = marks["candidates"], marks["successes"]
     got = pilot.report(samples, known, candidates, successes).first().asDict()
     sides = distributions.percentiles(distributions.sides(known), "short_side")
     size = sum(Path(p).stat().st_size for found in tars.values() for p in found)
@@ -217,7 +218,7 @@ def slices(spark: SparkSession, a: argparse.Namespace) -> int:
     counts = listing.row_counts(spark, a.source).where("rows IS NOT NULL")
     placed = partition.positioned(listing.with_positions(spark, files, column), counts)
     cut = partition.slices(placed, counts.agg(F.sum("rows")).first()[0] or 0, a.offset, a.rows, a.slices)
-    sinks.write_slices(cut.select("slice", column), a.to, column)
+    sinks.write_slices(cut.select("slice", "pos", column), a.to, column, a.text, "pos")
     return 0
 
 
@@ -295,7 +296,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
             "slow": [("--node-hours", float, 1.0), ("--workers", int, T.PROCESSES * T.THREADS), ("--timeout", float, T.TIMEOUT_S), ("--retries", int, 2)], "arms": [("--tasks", str, "8-11")],
             "produce": [("--plan", str, "plan.json"), ("--tasks", str, "0"), ("--metadata", str, None), ("--threads", int, T.THREADS), ("--timeout", float, T.TIMEOUT_S), ("--retries", int, T.RETRIES), ("--per-shard", int, T.SAMPLES_PER_SHARD), ("--cap", int, None), ("--token", str, None)],
             **{f: [("--levels", str, "8,32,64,8"), ("--urls", int, 200_000), ("--per-shard", int, 1000), ("--offset", int, 0), ("--to", str, "experiment"), ("--threads", int, T.THREADS), ("--timeout", float, T.TIMEOUT_S), ("--retries", int, T.RETRIES)] for f in ("check", "run")},
-            "size": [("--tasks", int, T.SAMPLE_TASKS), ("--shards", int, T.SAMPLE_SHARDS)], "remaining": [("--plan", str, "plan.json")], "cap": [("--rows", int, 1)], "slices": [("--rows", int, 1), ("--offset", int, 0), ("--slices", int, 1), ("--to", str, "slices")],
+            "size": [("--tasks", int, T.SAMPLE_TASKS), ("--shards", int, T.SAMPLE_SHARDS)], "remaining": [("--plan", str, "plan.json")], "cap": [("--rows", int, 1)], "slices": [("--rows", int, 1), ("--offset", int, 0), ("--slices", int, 1), ("--to", str, "slices"), ("--text", bool, False)],
         }.get(f.__name__, []):
             c.add_argument(name, type=kind, default=value)
     a = parser.parse_args(args)

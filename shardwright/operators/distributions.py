@@ -191,11 +191,14 @@ def host_concentration(urls: DataFrame, window: int = T.HOST_WINDOW, pos: str =
     if window <= 0:
         raise EngineError("a window has to hold at least one URL")
     keyed = urls.select(F.expr(f"{pos} div {int(window)}").alias("win"), pool_key(F.col(url)).alias("key"))
-    per = keyed.groupBy("win", "key").agg(F.count("*").alias("n"))
-    hosts = per.where("key IS NOT NULL").select("key").distinct().agg(F.count("*").alias("hosts"))
-    got = per.agg(F.sum("n").cast("long").alias("urls"), F.count_if(F.col("key").isNotNull()).alias("connections"), F.coalesce(F.sum(F.when(F.col("key").isNull(), F.col("n"))), F.lit(0)).cast("long").alias("unparseable"))
+    # windows of each key from one grouping; a hot key is added up where it is read
+    per = keyed.groupBy("win", "key").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("windows"))
+    named = F.col("key").isNotNull()
+    out = per.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("urls"), F.coalesce(F.sum(F.when(named, F.col("windows"))), F.lit(0)).cast("long").alias("connections"),
+        F.coalesce(F.sum(F.when(~named, F.col("n"))), F.lit(0)).cast("long").alias("unparseable"), F.count_if(named).alias("hosts"),
+    )
     fetchable = F.col("urls") - F.col("unparseable")
-    out = got.crossJoin(hosts)  # one row each
     return out.select(
         "urls", "connections", "unparseable", "hosts",
         F.coalesce(rate(fetchable, "connections"), F.lit(1.0)).alias("reuse_factor"),
@@ -211,6 +214,16 @@ def top_hosts(urls: DataFrame, k: int, pos: str = "pos", url: str = "url") -> Da
 
 
 def caption_mismatches(samples: DataFrame, captions: DataFrame) -> DataFrame:
-    """Samples whose caption differs from the recorded one of the same task and key; absent records aren't compared."""
-    both = samples.join(captions.withColumnRenamed("caption", "recorded"), ["task", "key"], "left")
-    return both.where(F.col("recorded").isNotNull() & ~F.col("caption").eqNullSafe(F.col("recorded")))
+    """Samples whose caption differs from the recorded one of the same task and key; absent records aren't compared.
+
+    Digests are compared first, so only the captions of keys that differ are read a second time and joined.
+    """
+    digest = lambda df: df.select("task", "key", F.sha2("caption", 256).alias("h"))
+    told = digest(captions).withColumnRenamed("h", "said")
+    differ = digest(samples).join(told, ["task", "key"]).where(F.col("said").isNotNull() & ~F.col("h").eqNullSafe(F.col("said")))
+    differ = differ.select("task", "key").distinct().persist()  # its size decides how it is joined; lost parts are computed again
+    differ.count()
+    ours, theirs = (df.join(differ, ["task", "key"], "left_semi") for df in (samples, captions.withColumnRenamed("caption", "recorded")))
+    return ours.join(theirs, ["task", "key"]).where(F.col("recorded").isNotNull() & ~F.col("caption").eqNullSafe(F.col("recorded")))
+
+

@@ -80,6 +80,7 @@ def produce(spark: SparkSession, plan_file: str, root: str, first: int, last: in
     planning.check_blur(settings.blur, False, False)
     if not 0 < settings.per_shard <= 10_000:
         raise EngineError("a shard's keys number 1 to 10000 samples")
+    planning.check_root(root, plan_file)
     todo = {r.task_id: r.rows for r in unfinished(spark, plan, root, first, last).collect()}
     if not todo:
         return []

@@ -38,8 +38,13 @@ def cap_file(spark, path: str, n: int) -> bool:  # noqa: ANN001
     return True
 
 
-def write_slices(rows: DataFrame, folder: str, url_column: str | None = None, text: bool = False) -> None:
-    """Sliced rows as slice=K folders, with the URL column's name beside them."""
+def write_slices(rows: DataFrame, folder: str, url_column: str | None = None, text: bool = False, order: str | None = None) -> None:
+    """Sliced rows as slice=K folders, with the URL column's name beside them.
+
+    With `order`, a slice's rows are in its order within its files and from file to file by their names.
+    """
+    if order:
+        rows = rows.repartitionByRange("slice", order).sortWithinPartitions("slice", order)
     if text:
         rows.select("slice", F.col(url_column).alias("value")).write.partitionBy("slice").text(folder)
     else:
