@@ -157,7 +157,7 @@ def report(spark: SparkSession, a: argparse.Namespace) -> int:
     samples = tar.read_samples(spark, [p for found in tars.values() for p in found[:2]], first=each)
     known = pilot.records(spark, parquets) if parquets else spark.createDataFrame([], "task string, key string, caption string, exif string, w long, h long")
     candidates, successes = marks["candidates"], marks["successes"]
-    got = pilot.report(samples, known, candidates, successes).first().asDict()
+    got = pilot.report(samples, known, candidates, successes, a.decode_in).first().asDict()
     sides = distributions.percentiles(distributions.sides(known), "short_side")
     size = sum(Path(p).stat().st_size for found in tars.values() for p in found)
     got |= {"tasks": len(done), "incomplete": len(tasks) - len(done), "tar_bytes": size, "parquet_bytes": sum(Path(p).stat().st_size for p in parquets)}
@@ -192,7 +192,8 @@ def arms(spark: SparkSession, a: argparse.Namespace) -> int:
     unusable = [r.task_id for r in marks.where("NOT usable").orderBy("task_id").collect()]
     rows = marks.where("usable").select(F.col("task_id").alias("task"), "settings.threads", "settings.retries", "candidates", "successes", "wall_seconds")
     got = verdicts.chosen_arm(rows).first().asDict()
-    _out(got | {"arms": [r.asDict() for r in verdicts.ranked_arms(rows).collect()] if got["n_arms"] else [], "missing": unusable}, a.json)
+    days = {r.nodes: r.days for r in verdicts.arm_days(verdicts.chosen_arm(rows)).collect()}
+    _out(got | {"days": days, "arms": [r.asDict() for r in verdicts.ranked_arms(rows).collect()] if got["n_arms"] else [], "missing": unusable}, a.json)
     return int(got["verdict"] == "too_few")
 
 
@@ -292,7 +293,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         c.add_argument("--json")
         for name, kind, value in {
             "plan": [("--per-task", int, T.URLS_PER_TASK)], "resolution": [("--files", int, T.SAMPLE_FILES)], "verify": [("--files", int, T.SAMPLE_FILES), ("--claimed", str, None)],
-            "hosts": [("--files", int, T.HOST_FILES), ("--limit", int, T.HOST_URLS), ("--window", int, T.HOST_WINDOW)], "report": [("--samples", int, T.SAMPLE_IMAGES)],
+            "hosts": [("--files", int, T.HOST_FILES), ("--limit", int, T.HOST_URLS), ("--window", int, T.HOST_WINDOW)], "report": [("--samples", int, T.SAMPLE_IMAGES), ("--decode-in", str, None)],
             "slow": [("--node-hours", float, 1.0), ("--workers", int, T.PROCESSES * T.THREADS), ("--timeout", float, T.TIMEOUT_S), ("--retries", int, 2)], "arms": [("--tasks", str, "8-11")],
             "produce": [("--plan", str, "plan.json"), ("--tasks", str, "0"), ("--metadata", str, None), ("--threads", int, T.THREADS), ("--timeout", float, T.TIMEOUT_S), ("--retries", int, T.RETRIES), ("--per-shard", int, T.SAMPLES_PER_SHARD), ("--cap", int, None), ("--token", str, None)],
             **{f: [("--levels", str, "8,32,64,8"), ("--urls", int, 200_000), ("--per-shard", int, 1000), ("--offset", int, 0), ("--to", str, "experiment"), ("--threads", int, T.THREADS), ("--timeout", float, T.TIMEOUT_S), ("--retries", int, T.RETRIES)] for f in ("check", "run")},

@@ -29,7 +29,8 @@ def shard_problems(shards: DataFrame, members: DataFrame) -> DataFrame:
 
     A missing or empty tar is its only problem. Bytes become hashes before anything is shuffled.
     """
-    m = members.select("shard", "key", "suffix", "seq", F.when(F.col("suffix") == ".jpg", F.sha2("payload", 256)).alias("sha"), F.when(F.col("suffix") == ".json", F.try_parse_json(F.decode("payload", "UTF-8"))).alias("meta"))
+    body = F.col("payload").cast("string")  # bytes that aren't UTF-8 are no JSON
+    m = members.select("shard", "key", "suffix", "seq", F.when(F.col("suffix") == ".jpg", F.sha2("payload", 256)).alias("sha"), F.when(F.col("suffix") == ".json", F.try_parse_json(F.when(F.is_valid_utf8(body), body))).alias("meta"))
     image, side = F.col("suffix") == ".jpg", F.col("suffix") == ".json"
     good = side & F.col("meta").isNotNull()
     declared = F.try_variant_get("meta", "$.sha256", "string")

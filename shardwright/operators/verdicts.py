@@ -124,6 +124,12 @@ def chosen_arm(arms: DataFrame) -> DataFrame:
     return got.select("n_arms", verdict.alias("verdict"), F.col("best.speedup").alias("speedup"), pick.getField("task").alias("task"), (F.lit(T.CORPUS_ROWS) / pick.getField("urls_per_second") / 3600).alias("node_hours"))
 
 
+def arm_days(chosen: DataFrame, nodes: tuple[int, ...] = T.ARM_NODES) -> DataFrame:
+    """(task, node_hours, nodes, days) of a chosen arm."""
+    each = chosen.select("task", "node_hours", F.explode(F.array(*[F.lit(n).cast("long") for n in nodes])).alias("nodes"))
+    return each.withColumn("days", F.col("node_hours") / F.col("nodes") / 24)
+
+
 def throughput_diagnosis(summary: DataFrame, node_seconds: float, workers: int = T.PROCESSES * T.THREADS, timeout: float = T.TIMEOUT_S, retries: int = 2, success_seconds: float = 1.0) -> DataFrame:
     """Whether timeouts explain the rate of a summary's rows (V5)."""
     failure = rate(F.col("candidates") - F.col("successes"), "candidates")

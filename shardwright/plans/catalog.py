@@ -332,13 +332,23 @@ def arms_ranking(spark: SparkSession, d: str) -> DataFrame:
     return out.select("task", "place", "is_control", *(r6(c) for c in ("urls_per_second", "successes_per_second", "yield_rate", "speedup")))
 
 
-@query("""WITH k AS (SELECT * FROM [ranked] r), b AS (SELECT * FROM k WHERE place = 1), h AS (SELECT * FROM k WHERE "drop" <= 0.05 ORDER BY place LIMIT 1), c AS (SELECT * FROM k WHERE is_control),
+_CHOICE = """WITH k AS (SELECT * FROM [ranked] r), b AS (SELECT * FROM k WHERE place = 1), h AS (SELECT * FROM k WHERE "drop" <= 0.05 ORDER BY place LIMIT 1), c AS (SELECT * FROM k WHERE is_control),
  v AS (SELECT CASE WHEN (SELECT count(*) FROM k) < 2 THEN 'too_few' WHEN speedup < 1.25 THEN 'no_gain' WHEN "drop" > 0.05 THEN 'trades_yield' ELSE 'wins' END AS verdict, speedup, task, ups FROM b)
- SELECT (SELECT count(*) FROM k) AS n_arms, verdict, round(speedup, 6) AS speedup, CASE WHEN verdict = 'trades_yield' THEN coalesce((SELECT task FROM h), (SELECT task FROM c)) ELSE task END AS task, round(1387173656 / CASE WHEN verdict = 'trades_yield' THEN coalesce((SELECT ups FROM h), (SELECT ups FROM c)) ELSE ups END / 3600, 6) AS node_hours FROM v""")
+ SELECT (SELECT count(*) FROM k) AS n_arms, verdict, round(speedup, 6) AS speedup, CASE WHEN verdict = 'trades_yield' THEN coalesce((SELECT task FROM h), (SELECT task FROM c)) ELSE task END AS task, round(1387173656 / CASE WHEN verdict = 'trades_yield' THEN coalesce((SELECT ups FROM h), (SELECT ups FROM c)) ELSE ups END / 3600, 6) AS node_hours FROM v"""
+_SQL["choice"] = f"({_CHOICE})"
+
+
+@query(_CHOICE)
 def arms_choice(spark: SparkSession, d: str) -> DataFrame:
     return verdicts.chosen_arm(frame(spark, d, "arms")).select("n_arms", "verdict", r6("speedup"), "task", r6("node_hours"))
 
 
+@query("SELECT c.task, c.node_hours, n.nodes, round(c.node_hours / n.nodes / 24, 6) AS days FROM [choice] c, (VALUES (16::BIGINT), (32::BIGINT), (64::BIGINT)) n(nodes)")
+def arms_days(spark: SparkSession, d: str) -> DataFrame:
+    chosen = verdicts.chosen_arm(frame(spark, d, "arms")).select("task", r6("node_hours"))
+    return verdicts.arm_days(chosen).select("task", "node_hours", "nodes", r6("days"))
+
+
 @query("""SELECT requested, shards, least(requested, shards) AS effective, round(shards * 1.0::DOUBLE / least(requested, shards), 6) AS waves, requested > shards AS capped, CASE WHEN requested > shards THEN 'capped' WHEN shards * 1.0::DOUBLE / least(requested, shards) < 3 THEN 'too few waves' END AS problem
  FROM (SELECT DISTINCT CAST(l_linenumber AS BIGINT) * 4 AS requested FROM lineitem) l, (SELECT CAST(ceil(count(*) / 500.0::DOUBLE) AS BIGINT) AS shards FROM events) s""")
 def level_plan(spark: SparkSession, d: str) -> DataFrame:

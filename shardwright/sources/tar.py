@@ -209,7 +209,7 @@ def samples(members: DataFrame, first: int | None = None) -> DataFrame:
 
     Members of a key may come from anywhere, so payloads are shuffled; read_samples() does without.
     """
-    text = lambda s: F.decode(F.max_by("payload", F.when(F.col("suffix") == s, F.col("seq"))), "UTF-8")
+    text = lambda s: F.make_valid_utf8(F.max_by("payload", F.when(F.col("suffix") == s, F.col("seq"))).cast("string"))
     if first is not None:  # before payloads are grouped
         keys = members.groupBy("task", "shard", "key").agg(F.min("seq").alias("from_"))
         keys = keys.withColumn("r_", F.row_number().over(Window.partitionBy("task", "shard").orderBy("from_"))).where(F.col("r_") <= first)

@@ -26,7 +26,7 @@ URLS_PER_TASK = 1_000_000
 PROCESSES, THREADS, SAMPLES_PER_SHARD, TIMEOUT_S, RETRIES = 32, 32, 10_000, 10, 0
 RATE_PER_NODE, PLANNED_YIELD, KB_PER_IMAGE, DISTRIBUTION_EFFICIENCY = 225.3, 0.55, 85.6, 0.97
 CORPUS_ROWS = 1_387_173_656
-PLAN_NODES = (4, 8, 16, 32)
+PLAN_NODES, ARM_NODES = (4, 8, 16, 32), (16, 32, 64)
 STORAGE_TASKS, STORAGE_YIELD = 735, 0.645
 # pool, locks, submission
 POOL_HOSTS, POOL_PER_HOST, MAX_REDIRECTS = 10_000, 8, 5

@@ -132,3 +132,32 @@ def test_verify(spark, tmp_path, capsys):
         assert cli.main(["verify", str(tmp_path), "--claimed", str(tmp_path / "claimed.json")], spark) == code
     table("c.parquet", [50], [100], status=["success"])
     assert cli.main(["verify", str(tmp_path)], spark) == 1
+
+
+def test_pictures_are_decoded_by_the_image_source(spark, tmp_path):
+    import zlib
+
+    from shardwright.operators import pilot
+
+    def chunk(kind, data):
+        return len(data).to_bytes(4, "big") + kind + data + zlib.crc32(kind + data).to_bytes(4, "big")
+
+    png = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", (2).to_bytes(4, "big") + (1).to_bytes(4, "big") + b"\x08\x02\0\0\0") + chunk(b"IDAT", zlib.compress(b"\0" + bytes(range(6)))) + chunk(b"IEND", b"")
+    framed = b"\xff\xd8\xff picture \xff\xd9"  # looks like a picture but isn't one
+    rows = [("t", "a", "c", png), ("t", "b", "c", framed), ("t", "c", None, None), ("u", "a", "d", png), ("u", "b", "d", png[:40])]
+    samples = spark.createDataFrame(rows, "task string, key string, caption string, image binary")
+    want = {("t", "a"): True, ("t", "b"): False, ("t", "c"): False, ("u", "a"): True, ("u", "b"): False}
+    assert {(r.task, r.key): r.ok for r in pilot.decoded(samples, str(tmp_path / "p")).collect()} == want
+    assert {(r.task, r.key): r.ok for r in pilot.decoded(samples).collect()}[("t", "b")]
+    assert pilot.decoded(samples.where("false"), str(tmp_path / "q")).count() == 0
+
+
+def test_bytes_that_are_no_text(spark):
+    from shardwright.operators import contract
+    from shardwright.sources import tar
+
+    rows = [("t", "0", "a", ".jpg", 0, 1, b"x"), ("t", "0", "a", ".json", 1, 1, b'{"sha256": "\xff"}'), ("t", "0", "a", ".txt", 2, 1, b"caf\xe9")]
+    members = spark.createDataFrame(rows, tar.SCHEMA)
+    shards = spark.createDataFrame([("0", True)], "shard string, has_tar boolean")
+    assert {r.problem for r in contract.shard_problems(shards, members).collect()} == {"missing sidecar", "invalid json"}
+    assert tar.samples(members).first().caption == "caf�"
