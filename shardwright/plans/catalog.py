@@ -421,7 +421,7 @@ def schema_resolution(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT * FROM (VALUES ('coyo700m', 'identifier', 'uid', 'id'), ('coyo700m', 'face_boxes', 'bboxes', NULL)) v(corpus, role, observed, documented)""")
 def documented_diff(spark: SparkSession, d: str) -> DataFrame:
     kind = "corpus string, role string, column string"
-    said = spark.createDataFrame([("coyo700m", r, c) for r, c in zip(schema.ROLES, schema.DOCUMENTED["coyo700m"])], kind)
+    said = spark.createDataFrame([("coyo700m", r, c) for r, c in schema.documentation("coyo700m").items()], kind)
     seen = schema.resolve(["url", "text", "uid", "width", "height", "bboxes"]).bound
     return schema.role_table(spark.createDataFrame([("coyo700m", r, c) for r, c in seen.items()], kind), said)
 
