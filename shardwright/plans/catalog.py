@@ -314,7 +314,10 @@ def stats_contract(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT s.task, s.key, s.caption, c.caption AS recorded FROM [samples] s LEFT JOIN [captions] c ON s.task = c.task AND s.key = c.key WHERE c.caption IS NOT NULL AND s.caption IS DISTINCT FROM c.caption")
 def caption_mismatch(spark: SparkSession, d: str) -> DataFrame:
-    return distributions.caption_mismatches(frame(spark, d, "samples"), frame(spark, d, "captions"))
+    """Samples with a label; captions are compared first, as few differ, and labels are looked up for those."""
+    differ = distributions.caption_mismatches(frame(spark, d, "every_sample"), frame(spark, d, "captions"))
+    labels = spark.read.parquet(f"{d}/labels.parquet").select(F.col("doc_id").alias("key"))
+    return differ.join(labels, "key").select("task", "key", "caption", "recorded")
 
 
 @query("SELECT p.task_id, CASE WHEN m.candidates IS NULL THEN 'redo unverifiable' WHEN m.candidates < p.rows THEN concat('redo short ', m.candidates, ' of ', p.rows) ELSE 'skip' END AS verdict FROM [plan] p LEFT JOIN [markers] m USING (task_id)")

@@ -34,6 +34,7 @@ ARMS = """SELECT CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS task, CASE WHE
  CAST(sum(o_orderkey % (3 + CAST(substr(o_orderpriority, 1, 1) AS BIGINT))) AS BIGINT) AS wall_seconds FROM orders GROUP BY o_orderpriority"""
 CAPTIONS = "SELECT doc_id % 4 AS task, doc_id AS key, text AS caption FROM documents"
 SAMPLES = "SELECT d.doc_id % 4 AS task, d.doc_id AS key, CASE WHEN d.doc_id % 97 = 0 THEN concat('x', d.text) ELSE d.text END AS caption FROM documents d JOIN labels l ON d.doc_id = l.doc_id"
+EVERY_SAMPLE = "SELECT doc_id % 4 AS task, doc_id AS key, CASE WHEN doc_id % 97 = 0 THEN concat('x', text) ELSE text END AS caption FROM documents"
 STATS_JSON = """SELECT task, shard, CASE WHEN shard % 9 = 4 THEN 'not json' WHEN shard % 9 = 5 THEN concat('{{"count":', n, ',"successes":', s, ',"failed_to_download":', n - s, ',"status_dict":{{"success":', s, '}}}}')
  WHEN shard % 9 = 6 THEN concat('{{"count":', n, ',"successes":', s, ',"failed_to_download":', n, ',"failed_to_resize":1,"status_dict":{{"success":', s, '}}}}')
  WHEN shard % 9 = 7 THEN concat('{{"count":', n, ',"successes":', s, ',"failed_to_download":0,"failed_to_resize":0,"status_dict":{{"success":', s + 1, '}}}}')
