@@ -118,10 +118,59 @@ def riff_chunks(b: bytes, at: int) -> tuple[int, dict[bytes, tuple[int, int]]] |
     return (end, chunks) if chunks and p in (end, end + 1) else None
 
 
+#: The chunk that a form must hold, by the begin of its name.
+_NEED = {b"WAVE": b"fmt ", b"WEBP": b"VP8", b"AVI ": b"LIST"}
+
+
+class RiffChunks:
+    """Chunks as all RIFF headers of a value reach them, each place read once however many headers lead there.
+
+    From a place the walk goes on to one next place, so walks that meet stay together: a forest. Each place knows its
+    depth, the next place and one further on (twice as far where depths allow), so that the last place up to a given one
+    is found in logarithmic steps, and the nearest place of each wanted kind.
+    """
+
+    def __init__(self, b: bytes):
+        self.b, self.place = b, {}
+        at = -1
+        while (at := b.find(b"RIFF", at + 1)) >= 0:
+            fresh, p = [], at + 12
+            while p not in self.place and (ends := self.data_end(p)) is not None:
+                fresh.append(p)
+                p = ends + (ends - p) % 2
+            if p not in self.place:  # no chunk lies here
+                self.place[p] = (0, p, p, (None,) * len(_NEED))
+            for q in reversed(fresh):
+                depth, _, jump, near = self.place[p]
+                further = self.place[jump]
+                even = depth - further[0] == further[0] - self.place[further[2]][0]
+                kind = b[q : q + 4]
+                self.place[q] = (depth + 1, p, further[2] if even else p, tuple(q if kind.startswith(k) else n for k, n in zip(_NEED.values(), near)))
+                p = q
+
+    def data_end(self, p: int) -> int | None:
+        """End of the data of the chunk at p, padding left out."""
+        n = int.from_bytes(self.b[p + 4 : p + 8], "little")
+        return p + 8 + n if p + 8 + n <= len(self.b) else None
+
+    def end(self, at: int) -> int | None:
+        """End of the file whose header is at `at`, as riff_chunks() finds it, if it holds the chunk that its form needs."""
+        form, p = self.b[at + 8 : at + 12], at + 12
+        end = at + 8 + int.from_bytes(self.b[at + 4 : at + 8], "little")
+        if form not in _NEED or not p < end <= len(self.b):
+            return None
+        near = self.place[p][3][list(_NEED).index(form)]
+        while (now := self.place[p])[0] and now[1] <= end:
+            p = now[2] if now[2] <= end else now[1]
+        if p != end and self.data_end(p) != end:  # the last chunk's padding may be beyond
+            return None
+        return end if near is not None and near < end else None
+
+
 def riff_end(b: bytes, at: int, seen: Seen) -> int | None:
-    found = riff_chunks(b, at)
-    need = {b"WAVE": b"fmt ", b"WEBP": b"VP8", b"AVI ": b"LIST"}.get(b[at + 8 : at + 12])
-    return found[0] if found and need and any(k.startswith(need) for k in found[1]) else None
+    if "riff" not in seen:
+        seen["riff"] = RiffChunks(b)
+    return seen["riff"].end(at)
 
 
 def pdf_end(b: bytes, at: int, seen: Seen) -> int | None:

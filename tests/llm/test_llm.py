@@ -669,3 +669,42 @@ def test_bpe_goes_by_the_tree():
             assert codec.merge(data) == ids and codec.decode(ids * 9) == data * 9
         finally:
             bpe.HEAP = bpe_heap
+
+
+def test_riff_files_by_one_index_as_by_walks():
+    need = {b"WAVE": b"fmt ", b"WEBP": b"VP8", b"AVI ": b"LIST"}
+
+    def walked(b, at):
+        found = media.riff_chunks(b, at)
+        wanted = need.get(b[at + 8 : at + 12])
+        return found[0] if found and wanted and any(k.startswith(wanted) for k in found[1]) else None
+
+    def chunks(depth):
+        """A few chunks, some of them files whose lengths mostly add up."""
+        parts = []
+        for _ in range(rng.randrange(1, 5)):
+            if depth and rng.random() < 0.4:
+                inner = chunks(depth - 1)
+                form = rng.choice((b"WAVE", b"WEBP", b"AVI "))
+                parts.append(b"RIFF" + max(0, 4 + len(inner) + rng.choice((0, 0, 0, -1, 1, 8))).to_bytes(4, "little") + form + inner)
+            else:
+                n = rng.randrange(6)
+                parts.append(rng.choice((b"fmt ", b"VP8L", b"LIST", b"junk")) + n.to_bytes(4, "little") + bytes(n + rng.choice((0, n % 2, n % 2))))
+        return b"".join(parts)
+
+    rng, ends = random.Random(3), 0
+    for _ in range(4000):
+        b = chunks(4)
+        for at in (i for i in range(len(b)) if b[i : i + 4] == b"RIFF"):
+            assert media.riff_end(b, at, {}) == walked(b, at), (b, at)
+            ends += walked(b, at) is not None
+    assert ends > 200
+
+
+def test_nested_riff_headers_take_linear_time():
+    tail, many = (b"junk" + bytes(4)) * 40_000, 20_000
+    rest = [20 * (many - k - 1) + len(tail) for k in range(many)]  # bytes after each header and the chunk that leaps to the tail
+    headers = b"".join(b"RIFF" + (12 + n).to_bytes(4, "little") + b"WAVEjunk" + (n - len(tail)).to_bytes(4, "little") for n in rest)
+    assert took(lambda: media.sniff(b"x" + headers + tail)) < 10
+    data = b"x" + headers + b"fmt " + bytes(4) + tail  # the same headers, none of whose lengths add up
+    assert took(lambda: media.sniff(data)) < 10
