@@ -12,10 +12,12 @@ token's share of its bucket is its smoothed count. Class logits add the hashed r
 and the class. Contexts are hashed from the tokens' bytes, whether in the head or not; feature rows grow with the
 different tokens from LEAST_ROWS to MOST_ROWS. Biases are log frequencies, rows start at zero.
 
-Training: every task goes through its own training texts once in sparse numpy batches with scaled gradients, starting
-from the same weights. Its changes go out as row blocks weighted by how often the task saw a row, are added in two
-levels (a task's place by salt, then blocks), and their weighted mean is the next round's start. What reaches the driver
-is the model, of fixed size. Scoring gathers the same features in batches.
+Training: synchronous rounds, each over a slice of the training documents, so that all rounds together read each text
+once. Under the round's weights every task sums, for each weight, how often it was observed and expected (their
+difference is the gradient); sums of all tasks are added by block in a shuffle, tasks in groups of GROUP first when there
+are more. A weight then moves by its gradient over its expected uses in all rounds so far (the curvature) and PRIOR
+expected uses of its row. Sums don't depend on how rows are dealt to tasks, so neither do scores, but for rounding. What
+reaches the driver has the model's size, which is bounded. Scoring gathers the same features in batches.
 
 Null text is the empty text: one end token. Rows with a null id are held in (they train). Repeated rows train and are
 scored each. With no training row, counts are zero and every token is rare. An empty table gives an empty result.
@@ -46,14 +48,17 @@ RARE = HEAD
 LEAST_ROWS, MOST_ROWS, ROW_TOKENS = 8192, 32768, 16
 #: Stands before a text's first token; no CRC-32 is as large.
 BOS = 1 << 32
-BATCH, ROUNDS, RATE, EASE = 8192, 1, 0.2, 1.0
-BLOCK, SALTS = 256, 16
-#: A row's steps share one scale: its squared slopes over so many of its weights.
-SHARED = 16
-#: Slopes of a row that are added a row at a time.
+BATCH, ROUNDS, BLOCK = 8192, 4, 256
+#: Expected uses that each row is taken to have had besides, and the largest step before it is shared.
+PRIOR, LARGEST = 60, 1.5
+#: Three features add up to a class's logit and one to a place's, under classes that move as well: steps are so many parts.
+PARTS = (3, 1.5)
+#: Tasks whose sums are added before those of all are.
+GROUP = 16
+#: Shares of a row that are added a row at a time.
 SHORT = 8
 #: Bytes of text that a training task goes through at least, so that the rows it sends back are fewer than those.
-TRAIN_BYTES = 32 << 20
+TRAIN_BYTES = 64 << 20
 #: Counts up to here are steps of their own when the head is chosen; above, FINE / 2 steps for each doubling.
 FINE = 64
 #: Different tokens that a task counts before it passes counts on.
@@ -189,53 +194,43 @@ def _summed(x: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return total
 
 
-class Trainer:
+class Uses:
+    """How often each weight was observed and expected under a model's weights, summed over tokens."""
+
     def __init__(self, model: Model):
         self.m = model
-        self.w = [model.rows_c.copy(), model.rows_w.copy()]
-        self.seen = [np.zeros(len(x), np.float64) for x in self.w]
-        self.past = [np.full((len(x), 1), EASE, np.float32) for x in self.w]
-        self.work = Model.__new__(Model)
-        self.work.__dict__.update(model.__dict__)
-        self.work.rows_c, self.work.rows_w = self.w
-
-    def step(self, own: np.ndarray, before: np.ndarray, skip: np.ndarray) -> None:
-        _, f, c, cls, g, w, place = self.work.forward(own, before, skip)
-        c[np.arange(len(cls)), cls] -= 1
-        w[np.arange(len(place)), place] -= 1
-        self._move(0, f[0], c)
-        self._move(0, f[1], c)
-        self._move(0, f[2], c)
-        self._move(1, g, w)
-
-    def _move(self, k: int, rows_at: np.ndarray, slope: np.ndarray) -> None:
-        if not len(rows_at):
-            return
+        self.observed = [np.zeros(x.size, np.float32) for x in (model.rows_c, model.rows_w)]
+        self.expected = [np.zeros_like(x) for x in (model.rows_c, model.rows_w)]
+
+    def add(self, own: np.ndarray, before: np.ndarray, skip: np.ndarray) -> None:
+        _, f, c, cls, g, w, place = self.m.forward(own, before, skip)
+        for rows_at in f:
+            self._add(0, rows_at, cls, c)
+        self._add(1, g, place, w)
+
+    def _add(self, k: int, rows_at: np.ndarray, hit: np.ndarray, shares: np.ndarray) -> None:
+        np.add.at(self.observed[k], rows_at * WIDE + hit, np.float32(1))
         order = np.argsort(rows_at, kind="stable")
         r = rows_at[order]
         first = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
-        size = np.diff(np.append(first, len(rows_at)))
-        total = _summed(slope.take(order, 0), first, size)
-        r = r[first]
-        self.seen[k][r] += size
-        past = self.past[k].take(r, 0)
-        past += np.einsum("ij,ij->i", total, total)[:, None] / SHARED
-        self.past[k][r] = past
-        np.sqrt(past, out=past)
-        total /= past
-        total *= RATE
-        self.w[k][r] = self.w[k].take(r, 0) - total
+        self.expected[k][r[first]] += _summed(shares.take(order, 0), first, np.diff(np.append(first, len(r))))
 
     def blocks(self) -> Iterator[tuple[int, bytes]]:
-        """(block, float32 of what each row was seen, then of its change times that)."""
+        """(block, float32 of its observed, then of its expected uses) of the blocks with any."""
         base = 0
-        for k, start in enumerate((self.m.rows_c, self.m.rows_w)):
-            for at in range(0, len(start), BLOCK):
-                seen = self.seen[k][at : at + BLOCK]
-                if seen.any():
-                    change = (self.w[k][at : at + BLOCK] - start[at : at + BLOCK]) * seen[:, None]
-                    yield base + at // BLOCK, seen.astype(np.float32).tobytes() + change.astype(np.float32).tobytes()
-            base += len(start) // BLOCK
+        for observed, expected in zip(self.observed, self.expected):
+            for at in range(0, len(expected), BLOCK):
+                if expected[at : at + BLOCK].any():
+                    yield base + at // BLOCK, observed[at * WIDE : (at + BLOCK) * WIDE].tobytes() + expected[at : at + BLOCK].tobytes()
+            base += len(expected) // BLOCK
+
+
+def moved(weights: np.ndarray, observed: np.ndarray, expected: np.ndarray, curvature: np.ndarray, parts: float) -> None:
+    """One step of rows of weights; curvature is their expected uses of all rounds before and takes in this one's."""
+    curvature += expected
+    uses = expected.sum(1, keepdims=True)
+    share = expected / np.maximum(uses, 1e-9)
+    weights += np.clip((observed - expected) / (curvature + PRIOR * share + 1e-3), -LARGEST, LARGEST) / parts
 
 
 def _stream(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -280,35 +275,40 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([0], pa.int32()), pa.array([v.astype(np.float32).tobytes()], pa.binary())], schema=_BLOCK)
 
 
-def train_round(train: DataFrame, model: Model) -> Model:
+def train_round(train: DataFrame, model: Model, curvature: list[np.ndarray], tasks: int) -> None:
+    """One step of the model, and what it adds to the curvature."""
     shared = train.sparkSession.sparkContext.broadcast(model)  # of fixed size
+    groups = -(-tasks // GROUP)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, any_ = Trainer(shared.value), False
-        rest: tuple[np.ndarray, ...] = ()
+        uses = Uses(shared.value)
         for cols in _stream(shared.value, batches):
-            cols = tuple(np.concatenate(x) for x in zip(rest, cols)) if rest else cols
-            any_ = True
-            full = len(cols[0]) - len(cols[0]) % BATCH
-            for i in range(0, full, BATCH):
-                trainer.step(*(x[i : i + BATCH] for x in cols))
-            rest = tuple(x[full:] for x in cols)
-        if any_:
-            if len(rest[0]):
-                trainer.step(*rest)
-            salt = TaskContext.get().partitionId() % SALTS
-            for block, body in trainer.blocks():
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([salt], pa.int32()), pa.array([body], pa.binary())], schema=_BLOCK)
+            for i in range(0, len(cols[0]), BATCH):
+                uses.add(*(x[i : i + BATCH] for x in cols))
+        salt = TaskContext.get().partitionId() % groups
+        for block, body in uses.blocks():
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([salt], pa.int32()), pa.array([body], pa.binary())], schema=_BLOCK)
 
     kind = "block int, salt int, body binary"
     n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sums = train.coalesce(tasks).mapInArrow(run, kind).repartition(n, "block", "salt").mapInArrow(_added, kind)
+    if groups > 1:
+        sums = sums.repartition(n, "block").mapInArrow(_added, kind)
+    for block, _, body in sums.collect():  # the model's size
+        observed, expected = np.frombuffer(bytes(body), np.float32).reshape(2, BLOCK, WIDE).astype(np.float64)
+        k = int(block >= len(model.rows_c) // BLOCK)
+        at = block * BLOCK - k * len(model.rows_c)
+        moved((model.rows_c, model.rows_w)[k][at : at + BLOCK], observed, expected, curvature[k][at : at + BLOCK], PARTS[k])
+    shared.destroy()
+
+
+def trained(train: DataFrame, model: Model) -> Model:
+    """All rounds; a document is in the round that its id's hash says."""
     total = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    changes = train.coalesce(max(1, -(-total // TRAIN_BYTES))).mapInArrow(run, kind).repartition(n, "block", "salt").mapInArrow(_added, kind)
-    for block, _, body in changes.repartition(n, "block").mapInArrow(_added, kind).collect():
-        v = np.frombuffer(bytes(body), np.float32)
-        seen, change = v[:BLOCK], v[BLOCK:].reshape(BLOCK, WIDE)
-        rows_, at = (model.rows_c, block * BLOCK) if block < len(model.rows_c) // BLOCK else (model.rows_w, block * BLOCK - len(model.rows_c))
-        rows_[at : at + BLOCK] += change / np.maximum(seen, 1)[:, None]
+    tasks = max(1, -(-total // (ROUNDS * TRAIN_BYTES)))
+    curvature = [np.zeros_like(x) for x in (model.rows_c, model.rows_w)]
+    for k in range(ROUNDS):
+        train_round(train.where(F.expr(f"pmod(xxhash64(doc_id), {ROUNDS}) = {k}")), model, curvature, tasks)
     return model
 
 
@@ -346,9 +346,7 @@ def learn(train: DataFrame) -> tuple[Model, DataFrame]:
     for b, n, v in tail.groupBy((F.crc32("token") % len(rare)).alias("b")).agg(F.sum("n"), F.count("*")).collect():  # at most WIDE x WIDE rows
         rare[b] = (n, v)
     model = Model(head, n_tokens, n_distinct, rare)
-    for _ in range(ROUNDS if n_tokens else 0):
-        model = train_round(train, model)
-    return model, tail
+    return (trained(train, model) if n_tokens else model), tail
 
 
 _SCORED = "row long, doc_id long, n_tokens long, n_known long, own double, head double, rare double, tail array<struct<token:binary,n:long>>"

@@ -7,7 +7,7 @@ import struct
 import time
 import zlib
 from collections import Counter, defaultdict
-from math import log10
+from math import exp, log10
 
 import numpy as np
 import pyarrow as pa
@@ -413,6 +413,55 @@ def test_lm_tells_rare_words_apart(spark, monkeypatch, head):
     assert sum(got[2 * i].score > got[2 * i + 1].score for i in range(1100)) > 1000
 
 
+def test_lm_does_not_depend_on_tasks(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    one = lm_scoring.learn(lm_scoring.texts(docs.coalesce(1)))[0]
+    monkeypatch.setattr(lm_scoring, "TRAIN_BYTES", 1)
+    many = lm_scoring.learn(lm_scoring.texts(docs.repartition(20)))[0]  # more than a group of tasks
+    assert np.abs(one.rows_c).max() > 0.1 and np.abs(one.rows_w).max() > 0.1
+    assert np.allclose(one.rows_c, many.rows_c, atol=1e-3) and np.allclose(one.rows_w, many.rows_w, atol=1e-3)
+
+
+def test_lm_steps_by_brute_force(spark, monkeypatch):
+    """The class part of two rounds, a token at a time."""
+    rounds, width = 2, lm_scoring.WIDE
+    monkeypatch.setattr(lm_scoring, "ROUNDS", rounds)
+    r = random.Random(9)
+    words = [f"w{k}" for k in range(150)]
+    rows = [(i, " ".join(r.choices(words, k=r.randint(0, 30)))) for i in range(60)]
+    train = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lm_scoring.learn(train)[0]
+    of = {x.doc_id: x.k for x in train.select("doc_id", F.expr(f"pmod(xxhash64(doc_id), {rounds})").alias("k")).collect()}
+    weight, curve = {}, {}
+    for k in range(rounds):
+        seen, expected = {}, {}
+        for i, text in rows:
+            if of[i] != k:
+                continue
+            past = [lm_scoring.BOS, lm_scoring.BOS]
+            for token in lm_scoring.tokens_of(text):
+                f = got.features(np.array([past[-1]]), np.array([past[-2]]))[:, 0].tolist()
+                logits = [got.bias_c[c] + sum(weight.get((x, c), 0) for x in f) for c in range(width)]
+                z = sum(map(exp, logits))
+                for x in f:
+                    own = (x, int(got.cls[got.number[token]]))
+                    seen[own] = seen.get(own, 0) + 1
+                    for c in range(width):
+                        expected[x, c] = expected.get((x, c), 0) + exp(logits[c]) / z
+                past.append(zlib.crc32(token))
+        uses = Counter()
+        for (x, _), n in expected.items():
+            uses[x] += n
+        for (x, c), n in expected.items():
+            curve[x, c] = curve.get((x, c), 0) + n
+            step = (seen.get((x, c), 0) - n) / (curve[x, c] + lm_scoring.PRIOR * n / uses[x] + 1e-3)
+            weight[x, c] = weight.get((x, c), 0) + max(-lm_scoring.LARGEST, min(lm_scoring.LARGEST, step)) / lm_scoring.PARTS[0]
+    want = np.zeros_like(got.rows_c)
+    for (x, c), w in weight.items():
+        want[x, c] = w
+    assert np.abs(want).max() > 0.1 and np.allclose(got.rows_c, want, atol=1e-3)
+
+
 def test_lm_head_is_the_most_frequent_that_fit(spark):
     counts = [1, 1, 2, 3, 63, 64, 65, 70, 130, 131, 1 << 40, (1 << 40) + 1]
     totals = spark.createDataFrame([(b"%d" % k, n) for k, n in enumerate(counts)], "token binary, n long")
