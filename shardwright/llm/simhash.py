@@ -13,8 +13,12 @@ near_copies(): texts whose shingle sets are alike in LEAST or more. A fingerprin
 one bit in seven different, and differing bits are mostly those whose counts were nearly even. So a segment's ball
 are all settings of its WEAK weakest bits, on both sides. Members of an entry are paired with its first one, in an order
 of the entry's own. A pair links if its complete distance is FAR or less and then the shingle sets
-themselves, compared in full, are alike enough. A pair is lost if in all 16 segments another bit differs than the weak
-ones of either (see README for measured recall).
+themselves, compared in full, are alike enough. Pairs that differ in other bits than the weak ones are missed by this, so
+an exact pass follows, over pairs whose texts the fingerprints' links leave in different components. Two texts alike in
+LEAST share a shingle among the first of each, n - ceil(LEAST * n) + 1 of n, in any one order of all shingles. The order
+is that of a sample's frequencies, so that shared ones are rare; what the sample says changes cost, never links. Pairs
+that meet are kept if their places in the order and their sizes leave enough to share, if the parities of their
+shingles in BITS bins differ in no more bins than the sets may, and then by comparison in full.
 
 Null text is the empty text. near_duplicates(): it has no word, fingerprint zero, linked like any other; null ids take part
 in no component number (component_id is null only where no id of a component is known); repeated rows are rows of their
@@ -24,13 +28,14 @@ word are in no group; a text of fewer words than a shingle is one shingle. An em
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, dropped, forget, rows, texts, written
@@ -40,8 +45,12 @@ SEED, WORDS, MOST_BITS = 42, 3, 2
 #: Bits of a segment; a table entry that is fetched has at most CROWD fingerprints.
 SEGMENT, CROWD = 32, 64
 #: near_copies(): words of a shingle, least similarity, 64-bit parts of a fingerprint, weak bits of a segment, complete distance.
-LONG_WORDS, LEAST, PARTS, WEAK, FAR = 5, 0.8, 8, 4, 120
+LONG_WORDS, LEAST, PARTS, WEAK, FAR = 5, 0.8, 8, 2, 120
 TABLES = 64 * PARTS // SEGMENT
+#: The exact pass: bins of parities; one text of SAMPLED tells frequencies, those of OFTEN or more, HEAD shingles at most.
+BITS, SAMPLED, OFTEN, HEAD = 1024, 16, 3, 200_000
+#: Rounding that comparisons of sizes forgive.
+SLACK = 1e-6
 #: Hashes of shingles that a task comparing pairs remembers.
 SHINGLED = 1 << 22
 #: Shingles hashed before their bits are counted.
@@ -150,7 +159,10 @@ def shingles(text: str) -> np.ndarray:
 
 def margins(text: str) -> np.ndarray | None:
     """Of each bit, how many shingles have it rather than not; None without a word."""
-    h = shingles(text)
+    return _margins(shingles(text))
+
+
+def _margins(h: np.ndarray) -> np.ndarray | None:
     if not len(h):
         return None
     ones = np.zeros(64 * PARTS, np.int64)
@@ -161,30 +173,74 @@ def margins(text: str) -> np.ndarray | None:
     return 2 * ones - len(h)
 
 
-_SKETCH = "id long, node long, fp array<long>, value array<int>, weak array<int>"
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
+    for (part,) in rows(batches, "text"):
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([shingles(t) for t in part]).view(np.int64))], names=["shingle"])
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fingerprints, segments' values, and the single bits that are weak in each. Ids are short where they meet in a shuffle."""
-    forget()
-    nxt = TaskContext.get().partitionId() << 36
-    for nodes, part in rows(batches, "node", "text"):
-        found = [(i, m) for i, m in zip(nodes, map(margins, part)) if m is not None]
-        m = np.array([x for _, x in found], np.int64).reshape(-1, 64 * PARTS)
-        bits = np.packbits(m > 0, axis=1, bitorder="little")
-        weak = np.abs(m).reshape(len(m), TABLES, SEGMENT).argsort(2, kind="stable")[:, :, :WEAK]
-        listed = lambda x, n: pa.ListArray.from_arrays(np.arange(len(m) + 1, dtype=np.int32) * n, np.ascontiguousarray(x).reshape(-1))
-        nxt += len(m)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.arange(nxt - len(m), nxt)),
-                pa.array([i for i, _ in found], pa.int64()),
-                listed(bits.view(np.int64), PARTS),
-                listed(bits.view(np.int32), TABLES),
-                listed((np.uint32(1) << weak.astype(np.uint32)).view(np.int32), TABLES * WEAK),
-            ],
-            names=["id", "node", "fp", "value", "weak"],
-        )
+def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The sample's most frequent shingles, in order of their hashes, and how many of its texts have each."""
+    sample = docs.where(F.pmod("node", F.lit(SAMPLED)) == 0).select("text").mapInArrow(_shingled, "shingle long")
+    often = sample.groupBy("shingle").count().where(f"count >= {OFTEN}").orderBy(F.desc("count"), "shingle").limit(HEAD).toArrow()
+    hashes = often.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], often.column("count").to_numpy()[order]
+
+
+def _rarest(h: np.ndarray, often: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Of a text's shingles, as many of the rarest as must hold one of any text that is alike enough."""
+    k = len(h) - ceil(LEAST * len(h) - SLACK) + 1
+    hashes, counts = often
+    if not len(hashes):
+        return h[:k]
+    at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+    return h[np.argsort(np.where(hashes[at] == h, counts[at], 0), kind="stable")[:k]]
+
+
+def _parities(h: np.ndarray) -> np.ndarray:
+    """Of each bin, whether it has an odd number of the shingles. Sets differ in as many shingles as parities at least."""
+    odd = np.bincount((h % np.uint64(BITS)).view(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+_SKETCH = "id long, node long, doc_id long, fp array<long>, value array<int>, weak array<int>, n int, rare array<long>, odd array<long>"
+
+
+def _sketch(often) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:  # noqa: ANN001  a Broadcast of _frequent()
+    """Fingerprints, segments' values, the single bits that are weak in each; number, rarest ones and parities of the shingles.
+
+    Ids are short where they meet in a shuffle.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        nxt = TaskContext.get().partitionId() << 36
+        for nodes, ids, part in rows(batches, "node", "doc_id", "text"):
+            sets = [(node, i, h) for node, i, h in zip(nodes, ids, map(shingles, part)) if len(h)]
+            m = np.array([_margins(h) for *_, h in sets], np.int64).reshape(-1, 64 * PARTS)
+            bits = np.packbits(m > 0, axis=1, bitorder="little")
+            weak = np.abs(m).reshape(len(m), TABLES, SEGMENT).argsort(2, kind="stable")[:, :, :WEAK]
+            listed = lambda x, n: pa.ListArray.from_arrays(np.arange(len(m) + 1, dtype=np.int32) * n, np.ascontiguousarray(x).reshape(-1))
+            rare = [_rarest(h, often.value).view(np.int64) for *_, h in sets]
+            ends = np.cumsum([0, *map(len, rare)]).astype(np.int32)
+            nxt += len(m)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.arange(nxt - len(m), nxt)),
+                    pa.array([node for node, *_ in sets], pa.int64()),
+                    pa.array([i for _, i, _ in sets], pa.int64()),
+                    listed(bits.view(np.int64), PARTS),
+                    listed(bits.view(np.int32), TABLES),
+                    listed((np.uint32(1) << weak.astype(np.uint32)).view(np.int32), TABLES * WEAK),
+                    pa.array([len(h) for *_, h in sets], pa.int32()),
+                    pa.ListArray.from_arrays(ends, np.concatenate([np.zeros(0, np.int64), *rare])),
+                    listed(np.array([_parities(h) for *_, h in sets], np.int64).reshape(len(m), -1), BITS // 64),
+                ],
+                names=["id", "node", "doc_id", "fp", "value", "weak", "n", "rare", "odd"],
+            )
+
+    return run
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,27 +285,75 @@ def _candidates(sketch: DataFrame) -> DataFrame:
     return entry.select(first.alias("u"), F.col("id").alias("v")).where("u <> v").distinct()
 
 
-def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(node, component_id) of each text of a group of two or more; component_id is the group's least known id."""
-    docs = texts(df, id_col, text_col).withColumn("node", F.xxhash64("text"))
-    sketch = written(docs.select("node", "text").mapInArrow(_sketch, _SKETCH), "sketch")
-    ends = lambda name: sketch.select(F.col("id").alias(name), F.col("node").alias(f"{name}_node"), F.col("fp").alias(f"{name}_fp"))
+def _ends(sketch: DataFrame, *names: str) -> tuple[DataFrame, DataFrame]:
+    """The sketch's columns for both ends of pairs of ids."""
+    return tuple(sketch.select(F.col("id").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("node", *names))) for x in ("u", "v"))
+
+
+def _pair() -> list[Column]:
+    return [F.least("u_node", "v_node").alias("u"), F.greatest("u_node", "v_node").alias("v")]
+
+
+def _by_fingerprints(sketch: DataFrame) -> DataFrame:
+    """(u, v): pairs of texts whose fingerprints are near."""
+    u, v = _ends(sketch, "fp")
     apart = " + ".join(f"bit_count(u_fp[{k}] ^ v_fp[{k}])" for k in range(PARTS))
-    near = _candidates(sketch).join(ends("u"), "u").join(ends("v"), "v").where(f"{apart} <= {FAR}").where("u_node <> v_node")
-    pairs = written(near.select(F.least("u_node", "v_node").alias("u"), F.greatest("u_node", "v_node").alias("v")).distinct(), "pairs")
+    near = _candidates(sketch).join(u, "u").join(v, "v").where(f"{apart} <= {FAR}").where("u_node <> v_node")
+    return near.select(*_pair()).distinct()
+
+
+def _left_apart(sketch: DataFrame, of: DataFrame) -> DataFrame:
+    """(u, v): all pairs of texts of different components that may be alike enough."""
+    n = int(sketch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = Window.partitionBy("shingle")
+    rare = sketch.repartition(n, "id").select("id", "n", F.posexplode("rare").alias("pos", "shingle"))
+    met = rare.withColumns({"low": F.min("id").over(by), "high": F.max("id").over(by)}).where("low <> high")
+    met = written(met.select("shingle", "id", "n", "pos"), "met")
+    # one row a text, though rows may repeat it
+    texts_ = sketch.groupBy("node").agg(F.min("id").alias("id")).join(of.withColumnRenamed("u", "node"), "node", "left")
+    named = met.join(texts_.select("id", F.coalesce("component", "node").alias("component")), "id")
+    mixed = named.withColumns({"low": F.min("component").over(by), "high": F.max("component").over(by)}).where("low <> high")
+    mixed = written(mixed.select("shingle", "id", "n", "pos", "component"), "mixed")
+    a, b = (mixed.select("shingle", *(F.col(c).alias(f"{x}_{c}") for c in ("id", "n", "pos", "component"))) for x in ("u", "v"))
+    share = LEAST / (1 + LEAST)
+    may = (
+        f"u_component <> v_component AND (u_n < v_n OR u_n = v_n AND u_id < v_id) AND u_n >= {LEAST} * v_n - {SLACK}"
+        f" AND least(u_n - u_pos, v_n - v_pos) >= {share!r} * (u_n + v_n) - {SLACK}"
+    )
+    pairs = written(a.join(b, "shingle").where(may).select(F.col("u_id").alias("u"), F.col("v_id").alias("v")).distinct(), "apart")
+    dropped(met, mixed)
+    u, v = _ends(sketch, "n", "odd")
+    apart = " + ".join(f"bit_count(u_odd[{k}] ^ v_odd[{k}])" for k in range(BITS // 64))
+    return pairs.join(u, "u").join(v, "v").where(f"{apart} <= {1 - 2 * share!r} * (u_n + v_n) + {SLACK}").select(*_pair())
+
+
+def _compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(u, v): the pairs whose texts are alike enough."""
+    pairs = written(pairs, "pairs")
     asked = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
     # one row a text, though ids may repeat it
-    known = written(docs.join(asked, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text")), "asked")
+    known = written(docs.join(asked, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "asked")
     left = known.select(F.col("node").alias("u"), F.col("text").alias("a"))
     right = known.select(F.col("node").alias("v"), F.col("text").alias("b"))
     linked = written(pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(_alike, "u long, v long"), "links")
-    dropped(sketch, pairs)
-    of = components(linked).withColumnRenamed("u", "node")
-    group = of.union(of.select("component", "component")).distinct()
-    ids = group.join(known.select("node", "doc_id"), "node")
-    found = ids.select("node", "component").join(ids.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select("node", "component_id")
-    out = written(found, "groups")
-    dropped(known, linked)
+    dropped(pairs, known)
+    return linked
+
+
+def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(node, component_id) of each text of a group of two or more; component_id is the group's least known id."""
+    docs = texts(df, id_col, text_col).withColumn("node", F.xxhash64("text"))
+    often = df.sparkSession.sparkContext.broadcast(_frequent(docs))
+    sketch = written(docs.select("node", "doc_id", "text").mapInArrow(_sketch(often), _SKETCH), "sketch")
+    near = _compared(docs, _by_fingerprints(sketch))
+    of = components(near)
+    missed = _compared(docs, _left_apart(sketch, of))
+    if not missed.isEmpty():
+        of = components(of.withColumnRenamed("component", "v").union(missed))
+    group = of.withColumnRenamed("u", "node").union(of.select("component", "component")).distinct()
+    ids = group.join(sketch.select("node", "doc_id"), "node")
+    out = written(group.join(ids.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select("node", "component_id"), "groups")
+    dropped(sketch, near, missed)
     return out
 
 

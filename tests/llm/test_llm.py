@@ -757,3 +757,41 @@ def test_nested_riff_headers_take_linear_time():
     assert took(lambda: media.sniff(b"x" + headers + tail)) < 10
     data = b"x" + headers + b"fmt " + bytes(4) + tail  # the same headers, none of whose lengths add up
     assert took(lambda: media.sniff(data)) < 10
+
+
+@pytest.mark.parametrize("far, sampled", [(120, 16), (-1, 1)])
+def test_near_stage_loses_no_pair_that_is_just_alike(spark, monkeypatch, far, sampled):
+    """Edited texts at 0.8 or barely more; with far = -1 no fingerprints link, so that the exact pass finds every one."""
+    monkeypatch.setattr(simhash, "FAR", far)
+    monkeypatch.setattr(simhash, "SAMPLED", sampled)
+    r, texts_, line = random.Random(31), [], [f"l{i}" for i in range(12)]
+    cut = lambda w: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+    for k in range(200):
+        base = [f"{k}w{i}" for i in range(r.randrange(70, 160))] + line * (k % 2)
+        other, fine = list(base), list(base)
+        while len(cut(base) & cut(other)) >= 0.8 * len(cut(base) | cut(other)):
+            fine = list(other)
+            at = r.randrange(len(other))
+            other[at : at + r.randrange(2)] = [f"e{r.randrange(10**9)}"]
+        texts_ += [base, fine, other]
+    texts_ += [["a", "b"], ["A", "b"], ["a", "b", "c"]]
+    texts_ = [" ".join(w) for w in texts_]
+    label = similar_groups(texts_[-3:])
+    assert label[0] == label[1] != label[2]
+    want = {i for k in range(200) for i in (3 * k, 3 * k + 2)} | {600, 602}
+    for k in range(200):  # what goes over the edge beside the first may still be alike to the second
+        label = similar_groups(texts_[3 * k : 3 * k + 3])
+        assert label[0] == label[1]
+        want -= {3 * k + 2} if label[2] == label[0] else set()
+    docs = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string").repartition(3)
+    assert {x.doc_id for x in stages.drop_near_copies(spark, docs, DATA).collect()} == want
+
+
+def test_language_prediction_costs_little_more_than_cutting_words():
+    r = random.Random(8)
+    texts_ = [" ".join("".join(r.choices("etaoinshrdlu", k=r.randrange(2, 11))) for _ in range(600)) for _ in range(300)]
+    common.forget()
+    keys, _ = language_id.counted(Counter(language_id.words_of(" ".join(texts_[:20]))))
+    profiles = language_id.Profiles({"x": keys[:300].tolist(), "y": keys[300:600].tolist()})
+    cutting = min(took(lambda: [language_id.words_of(t) for t in texts_]) for _ in range(3))
+    assert took(lambda: [profiles.predict(t) for t in texts_]) < 8 * cutting
