@@ -18,8 +18,6 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import islice
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -31,111 +29,106 @@ from .common import documents, kept, rows, texts
 
 TOP, LONGEST, SALTS = 300, 3, 64
 UNKNOWN = "und"
-#: Words whose n-grams a worker remembers.
-MEMO = 60_000
-#: n-grams that it numbers.
-NUMBERS = 200_000
-#: Letters of the longest word that is remembered.
-WORD = 64
-#: Letters strung together at a time.
+#: n-grams whose hashes a worker remembers.
+MEMO = 200_000
+#: Letters whose n-grams are counted at a time.
 STRUNG = 1 << 16
+#: Letters of training texts that are counted together.
+COUNTED = 1 << 20
+MARK = ord("_")
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
-class _Numbers(dict):
-    """Numbers n-grams by order of meeting."""
-
-    def __missing__(self, gram: str) -> int:
-        self[gram] = n = len(self)
-        return n
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Different codes in order, and the sums of their counts."""
+    if len(parts) == 1:
+        return parts[0]
+    codes, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    return codes, np.bincount(at, np.concatenate([n for _, n in parts]), len(codes)).astype(np.int64)
 
 
 class Grams:
-    """A worker's numbers for n-grams; their hashes alone leave the worker.
-
-    The first MEMO words keep their n-grams. All others are strung together, each after a mark, and counted in one go.
-    """
+    """Counts n-grams as codes, the code points side by side in a long, and remembers the codes' hashes: they alone leave the worker."""
 
     def __init__(self) -> None:
-        self.number = _Numbers()
-        self.words: dict[str, np.ndarray] = {}
-        self.hashes = np.zeros(0, np.int64)
-
-    def of(self, word: str) -> np.ndarray:
-        w = f"_{word}_"
-        grams = [w[i : i + n] for n in range(1, LONGEST + 1) for i in range(len(w) - n + 1)]
-        found = self.words[word] = np.fromiter(map(self.number.__getitem__, grams), np.int32, len(grams))
-        return found
-
-    def strung(self, words: list[str], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and weights of the n-grams of words that lie one after another, each with a mark before it."""
-        s = "_" + "_".join(words) + "_"
-        size = np.fromiter(map(len, words), np.int64, len(words)) + 1
-        own = np.append(np.repeat(np.array(counts, np.float64), size), 0.0)
-        ends = np.cumsum(size)
-        one = own.copy()
-        one[ends - size] *= 2  # a mark stands before a word and after it
-        weights = [one]
-        for n in range(2, min(LONGEST, len(s)) + 1):
-            w = own[: len(s) - n + 1].copy()
-            for k in range(1, n - 1):  # n-grams with a mark inside would reach into the next word
-                at = ends[:-1] - k
-                w[at[(at >= 0) & (at < len(w))]] = 0
-            weights.append(w)
-        number = self.number.__getitem__
-        numbers: list[list[np.ndarray]] = [[] for _ in weights]
+        #: Of each code point: 0 not in a word, 1 in a word, 2 a letter, -1 not met yet.
+        self.kind = np.full(0x110000, -1, np.int8)
+        self.codes, self.hashes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.bits = 63 // LONGEST
+
+    def framed(self, text: str) -> np.ndarray:
+        """Code points of a text's words one after another, each with a mark before it, and one after the last; none without a letter."""
+        points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+        kind = self.kind[points]
+        if kind.min(initial=0) < 0:
+            for p in np.unique(points[kind < 0]).tolist():
+                if p >> self.bits:
+                    raise ValueError(f"n-grams of {LONGEST} code points don't fit a long")
+                self.kind[p] = 1 + chr(p).isalpha() if _WORDS.match(chr(p)) else 0
+            kind = self.kind[points]
+        if kind.max(initial=0) < 2:
+            return np.zeros(0, np.uint32)
+        s = np.full(len(points) + 2, MARK, np.uint32)
+        s[1:-1] = np.where(kind > 0, points, MARK)
+        inside = s != MARK
+        return s[inside | np.append(True, inside[:-1])]
+
+    def counted(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(codes, counts) of the n-grams of framed words."""
+        found = []
         for at in range(0, len(s), STRUNG):
-            part = s[at : at + STRUNG + LONGEST - 1]
-            grams = part
-            for n, w in enumerate(weights, 1):
-                if n > 1:
-                    grams = map(add, grams, part[n - 1 :])
-                    grams = list(grams) if n < len(weights) else grams
-                here = min(STRUNG, len(w) - at)
-                if here > 0:
-                    numbers[n - 1].append(np.fromiter(map(number, grams), np.int32, here))
-        return np.concatenate([x for own_ in numbers for x in own_]), np.concatenate(weights)
-
-    def counted(self, words: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """(n-gram hashes, counts) of words with their counts."""
-        if not words:
+            part = s[at : at + STRUNG + LONGEST - 1].astype(np.int64)
+            code, whole, codes = part, np.ones(len(part), bool), [part[:STRUNG]]
+            for n in range(2, min(LONGEST, len(part)) + 1):
+                code = code[:-1] << self.bits | part[n - 1 :]
+                whole = whole[: len(code)]
+                if n > 2:  # a mark inside: it would reach into the next word
+                    whole = whole & (part[n - 2 : -1] != MARK)
+                codes.append(code[:STRUNG][whole[:STRUNG]])
+            found.append(np.unique(np.concatenate(codes), return_counts=True))
+        if not found:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if len(self.number) > NUMBERS:
-            self.__init__()
-        found = list(map(self.words.get, words))
-        parts, weights, new, times = [], [], [], []
-        for (w, c), p in zip(words.items(), found):
-            if p is None:
-                if len(self.words) >= MEMO or len(w) > WORD:
-                    new.append(w)
-                    times.append(c)
-                    continue
-                p = self.of(w)
-            parts.append(p)
-            weights.append(c)
-        weights = [np.repeat(np.array(weights, np.float64), list(map(len, parts)))] if parts else []
-        if new:
-            numbers, own = self.strung(new, times)
-            parts.append(numbers)
-            weights.append(own)
-        n = np.bincount(np.concatenate(parts), np.concatenate(weights))
-        if len(self.number) > len(self.hashes):
-            late = [xxhash.xxh64_intdigest(g) - (1 << 63) for g in islice(self.number, len(self.hashes), None)]
-            self.hashes = np.concatenate([self.hashes, np.array(late, np.int64)])
-        at = np.flatnonzero(n)
-        return self.hashes[at], n[at].astype(np.int64)
+        codes, n = _summed(found)
+        n[np.searchsorted(codes, MARK)] = 2 * (np.count_nonzero(s == MARK) - 1)  # a mark stands before a word and after it
+        return codes, n
+
+    def hashed(self, codes: np.ndarray) -> np.ndarray:
+        """Hashes of codes that are in order."""
+        at = np.searchsorted(self.codes, codes)
+        known = at < len(self.codes)
+        known[known] = self.codes[at[known]] == codes[known]
+        if not known.all():
+            if len(self.codes) > MEMO:
+                self.codes, self.hashes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+                return self.hashed(codes)
+            new = codes[~known]
+            here = np.array([xxhash.xxh64_intdigest(self.gram(c)) - (1 << 63) for c in new.tolist()], np.int64)
+            at = np.searchsorted(self.codes, new)
+            self.codes, self.hashes = np.insert(self.codes, at, new), np.insert(self.hashes, at, here)
+            at = np.searchsorted(self.codes, codes)
+        return self.hashes[at]
+
+    def gram(self, code: int) -> str:
+        points = [code >> self.bits * k & (1 << self.bits) - 1 for k in range(LONGEST)]
+        return "".join(chr(p) for p in reversed(points) if p)
+
+
+def _grams() -> Grams:
+    return kept("grams", Grams)
 
 
 def counted(words: Counter) -> tuple[np.ndarray, np.ndarray]:
-    return kept("grams", Grams).counted(words)
+    """(n-gram hashes, counts) of words with their counts."""
+    codes, n = _grams().counted(_grams().framed(" ".join(words.elements())))
+    return _grams().hashed(codes), n
 
 
-def top(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The TOP most frequent keys in order."""
-    if len(keys) > TOP:
-        least = np.partition(counts, len(counts) - TOP)[len(counts) - TOP]
-        keep = counts >= least
-        keys, counts = keys[keep], counts[keep]
+def top(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Hashes of the TOP most frequent n-grams in order."""
+    if len(codes) > TOP:
+        keep = counts >= np.partition(counts, len(counts) - TOP)[len(counts) - TOP]
+        codes, counts = codes[keep], counts[keep]
+    keys = _grams().hashed(codes)
     return keys[np.lexsort((keys, -counts))[:TOP]]
 
 
@@ -155,10 +148,10 @@ class Profiles:
             self.rank[np.searchsorted(self.keys, np.array(ranked[name], np.int64)), j] = np.arange(len(ranked[name]))
 
     def predict(self, text: str) -> tuple[str, float]:
-        words = words_of(text)
-        if not words or not self.names:
+        words = _grams().framed(text)
+        if not len(words) or not self.names:
             return UNKNOWN, 0.0
-        own = top(*counted(Counter(words)))
+        own = top(*_grams().counted(words))
         at = np.searchsorted(self.keys, own)
         at[at == len(self.keys)] = 0
         at = np.where(self.keys[at] == own, at, len(self.keys))
@@ -172,21 +165,36 @@ _COUNTS = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[str, Counter] = defaultdict(Counter)
+    held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
     def flush() -> Iterator[pa.RecordBatch]:
-        for lang, words in held.items():
-            keys, n = counted(words)
-            for i in range(0, len(keys), 10_000):
-                part = keys[i : i + 10_000]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), pa.array(part), pa.array(n[i : i + 10_000])], schema=_COUNTS)
+        for lang, (codes, n) in held.items():
+            for i in range(0, len(codes), 10_000):
+                keys = _grams().hashed(codes[i : i + 10_000])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(n[i : i + 10_000])], schema=_COUNTS)
         held.clear()
 
+    words: dict[str, list[np.ndarray]] = defaultdict(list)
+    size = 0
+
+    def count() -> None:
+        for lang, found in words.items():
+            now = _grams().counted(np.concatenate([*found, np.array([MARK], np.uint32)]))
+            held[lang] = _summed([held[lang], now]) if lang in held else now
+        words.clear()
+
     for langs, part in rows(batches, "lang", "text"):
         for lang, text in zip(langs, part):
-            held[lang].update(words_of(text))
-        if sum(map(len, held.values())) > 200_000:
+            found = _grams().framed(text)[:-1]  # the mark after a text's last word is the one before the next text's first
+            if len(found):
+                words[lang].append(found)
+                size += len(found)
+            if size > COUNTED:
+                count()
+                size = 0
+        if sum(len(codes) for codes, _ in held.values()) > 200_000:
             yield from flush()
+    count()
     yield from flush()
 
 
