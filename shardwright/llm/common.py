@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Rows turned into Python objects at a time.
 SLICE_ROWS = 256
+#: Rows of 64 bits, at most, of the table that amid() broadcasts; a power of two.
+WORDS = 1 << 18
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +51,19 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def amid(df: DataFrame, key: str, keys: DataFrame, of: str, how: str = "left_semi") -> DataFrame:
+    """Rows of df whose hash `key` may be among the hashes `of` of keys; with how="left_anti", those whose key surely isn't.
+
+    The hashes are marked in a table of bits, whose size is bounded and which is broadcast: df isn't shuffled. Some other
+    keys share a bit, so an exact join follows where it matters.
+    """
+    word, bits = fresh(df, "word", "bits")
+    place = lambda c: (F.col(c).bitwiseAND(F.lit(WORDS - 1)), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(`{c}`, 48) & 63 AS int))"))
+    (at, bit), (at_of, bit_of) = place(key), place(of)
+    marks = keys.select(at_of.alias(word), bit_of.alias(bits)).groupBy(word).agg(F.bit_or(bits).alias(bits))
+    return df.join(F.broadcast(marks), (at == F.col(word)) & (bit.bitwiseAND(F.col(bits)) != 0), how)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors see. A temporary one is set only on a local master; elsewhere the cluster must name one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, dropped, forget, rows, texts, written
+from .common import amid, documents, dropped, forget, rows, texts, written
 from .components import components
 
 SEED, WORDS, MOST_BITS = 42, 3, 2
@@ -331,8 +331,8 @@ def _compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """(u, v): the pairs whose texts are alike enough."""
     pairs = written(pairs, "pairs")
     asked = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    # one row a text, though ids may repeat it
-    known = written(docs.join(asked, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "asked")
+    # one row a text, though ids may repeat it; only texts that may be asked for are shuffled
+    known = written(amid(docs, "node", asked, "node").join(asked, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "asked")
     left = known.select(F.col("node").alias("u"), F.col("text").alias("a"))
     right = known.select(F.col("node").alias("v"), F.col("text").alias("b"))
     linked = written(pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(_alike, "u long, v long"), "links")

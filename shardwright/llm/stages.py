@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import bpe, exact_dedup, language_id, mixing, simhash
-from .common import columns, fresh, written
+from .common import amid, columns, fresh, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,12 +33,16 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row of the smallest doc_id of each group of equal texts; of rows that repeat an id and a text, the least by all columns."""
-    key, of, keep, nth = fresh(docs, "key", "of", "keep", "nth")
+    key, mark, of, keep, nth = fresh(docs, "key", "mark", "of", "keep", "nth")
     owners = written(exact_dedup.owners(docs), "owners").select(F.struct("n_len", "text_sha256").alias(of), F.col("keep_id").alias(keep))
     body = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), r"[\x20\x09-\x0D]+", " ")
     keyed = docs.withColumn(key, F.struct(F.octet_length(body).cast("long").alias("n_len"), F.sha2(body, 256).alias("text_sha256")))
-    joined = keyed.join(owners, F.col(key) == F.col(of), "left")
+    keyed = keyed.withColumn(mark, F.xxhash64(key))
+    # rows that surely have no copy aren't shuffled to meet the owners
+    marks = owners.select(F.xxhash64(of).alias(mark))
+    joined = amid(keyed, mark, marks, mark).join(owners, F.col(key) == F.col(of), "left")
     kept = joined.where(F.col(of).isNull() | F.col("doc_id").eqNullSafe(F.col(keep)))
+    kept = amid(keyed, mark, marks, mark, "left_anti").select(*columns(docs), key).union(kept.select(*columns(docs), key))
     again = docs.groupBy("doc_id").count().where("count > 1")
     if not again.isEmpty():
         order = Window.partitionBy("doc_id", key).orderBy(F.to_json(F.struct(*columns(docs))))
@@ -52,7 +56,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     keyed = docs.withColumn(node, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     groups = simhash.near_copies(docs).select(F.col("node").alias(of), F.col("component_id").alias(low))
     gone = (F.col(node) == F.col(of)) & (F.col("doc_id") != F.col(low))
-    return keyed.join(groups, gone, "left_anti").select(*columns(docs))
+    # rows that surely are in no group aren't shuffled to meet the groups
+    kept = amid(keyed, node, groups, of).join(groups, gone, "left_anti")
+    return amid(keyed, node, groups, of, "left_anti").select(*columns(docs)).union(kept.select(*columns(docs)))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -795,3 +795,47 @@ def test_language_prediction_costs_little_more_than_cutting_words():
     profiles = language_id.Profiles({"x": keys[:300].tolist(), "y": keys[300:600].tolist()})
     cutting = min(took(lambda: [language_id.words_of(t) for t in texts_]) for _ in range(3))
     assert took(lambda: [profiles.predict(t) for t in texts_]) < 8 * cutting
+
+
+def shuffled(spark, f):
+    """What f returns, and the bytes that its stages wrote for shuffles."""
+    sc, jvm, gateway = spark.sparkContext._jsc.sc(), spark.sparkContext._jvm, spark.sparkContext._gateway
+
+    def stages_():
+        sc.listenerBus().waitUntilEmpty(60_000)
+        found = sc.statusStore().stageList(None, False, False, gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        return {s.stageId(): s.shuffleWriteBytes() for s in map(found.apply, range(found.size()))}
+
+    last = max(stages_(), default=-1)
+    out = f()
+    return out, sum(n for k, n in stages_().items() if k > last)
+
+
+@pytest.mark.parametrize("stage, left, most", [(stages.drop_exact_copies, 412, 1.4), (stages.drop_near_copies, 400, 1.0)])
+def test_whole_texts_are_not_shuffled_to_meet_few_others(spark, stage, left, most):
+    """Nor are they where what they meet is too large to be broadcast. Exact copies meet once, by whole texts."""
+    r = random.Random(17)
+    texts_ = [" ".join("%0100x" % r.getrandbits(400) for _ in range(60)) for _ in range(400)]
+    texts_ += [t.rsplit(" ", 1)[0] for t in texts_[:12]] + [t.replace(" ", "  ") for t in texts_[12:24]]
+    docs = common.written(spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string").repartition(3), "docs")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        kept, moved = shuffled(spark, lambda: {x.doc_id for x in stage(spark, docs, DATA).collect()})
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+        common.dropped(docs)
+    assert kept == {*range(left)} and moved < most * sum(map(len, texts_)), moved
+
+
+@pytest.mark.parametrize("many", [1, 1 << 18])
+def test_amid_loses_no_key(spark, monkeypatch, many):
+    monkeypatch.setattr(common, "WORDS", many)
+    df = spark.range(20_000).select(F.xxhash64("id").alias("word"), "id")  # a name that the table of bits takes, too
+    keys = df.where("id % 500 = 0").select(F.col("word").alias("bits")).unionAll(df.where("id = 0").select("word"))
+    there, apart = common.amid(df, "word", keys, "bits"), common.amid(df, "word", keys, "bits", "left_anti")
+    assert there.columns == df.columns == apart.columns
+    assert there.where("id % 500 = 0").count() == 40 and there.count() + apart.count() == 20_000
+    assert there.count() < 100 if many > 1 else there.count() < 20_000
+    none = keys.where("false")
+    assert common.amid(df, "word", none, "bits").isEmpty() and common.amid(df, "word", none, "bits", "left_anti").count() == 20_000
