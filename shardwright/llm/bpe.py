@@ -23,6 +23,7 @@ from itertools import chain, islice
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import documents, forget, kept, rows, texts
 
@@ -212,27 +213,19 @@ def digests(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of each row: encoded, decoded again from the ids."""
     shared = shared_codec(df.sparkSession, path, pattern)
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def digest(text: str) -> tuple[int, str, str]:
         codec = _codec(shared)
         as_text = codec.text_of.__getitem__
-        for batch in batches:
-            n_tokens, ids_sha, back_sha = [], [], []
-            for (part,) in rows(iter([batch]), "text"):
-                for text in part:
-                    n, forth, back = 0, hashlib.sha256(), hashlib.sha256()
-                    for ids in codec.encode_spans(text):
-                        forth.update(("," * bool(n) + ",".join(map(as_text, ids))).encode())
-                        back.update(codec.decode(ids))
-                        n += len(ids)
-                    n_tokens.append(n)
-                    ids_sha.append(forth.hexdigest())
-                    back_sha.append(back.hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n_tokens, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(back_sha, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return texts(df, id_col, text_col).mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        n, forth, back = 0, hashlib.sha256(), hashlib.sha256()
+        for ids in codec.encode_spans(text):
+            forth.update(("," * bool(n) + ",".join(map(as_text, ids))).encode())
+            back.update(codec.decode(ids))
+            n += len(ids)
+        return n, forth.hexdigest(), back.hexdigest()
+
+    # a hundred rows at a time, not an Arrow batch: those are of up to 64 MB, held several times over outside the heap
+    found = F.udf(digest, "n_tokens long, ids_sha256 string, decoded_sha256 string", useArrow=False)
+    return texts(df, id_col, text_col).select("doc_id", found("text").alias("found")).select("doc_id", "found.*")
 
 
 def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import struct
+import threading
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -839,3 +840,33 @@ def test_amid_loses_no_key(spark, monkeypatch, many):
     assert there.count() < 100 if many > 1 else there.count() < 20_000
     none = keys.where("false")
     assert common.amid(df, "word", none, "bits").isEmpty() and common.amid(df, "word", none, "bits", "left_anti").count() == 20_000
+
+
+def batched_mb(spark, run):
+    """MB that Arrow batches of the JVM took, at most, while run() ran."""
+    held = spark._jvm.org.apache.spark.sql.util.ArrowUtils.rootAllocator()
+    most, done = [0], threading.Event()
+
+    def watch():
+        while not done.wait(0.01):
+            most.append(held.getAllocatedMemory())
+
+    thread = threading.Thread(target=watch)
+    thread.start()
+    try:
+        run()
+    finally:
+        done.set()
+        thread.join()
+    return max(most) / (1 << 20)
+
+
+@pytest.mark.parametrize("stage", [stages.identify_language, stages.encode_bytes])
+def test_a_stage_hands_few_texts_to_python_at_a_time(spark, stage):
+    """An Arrow batch of 26 MB of texts stood outside a task's heap as a whole."""
+    text = "Ein Satz aus zehn Worten steht hier immer wieder da. " * 100
+    docs = common.written(spark.range(0, 5000, 1, 1).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"), F.lit("de").alias("lang")), "docs")
+    out = stage(spark, docs, DATA)
+    taken = batched_mb(spark, lambda: out.write.format("noop").mode("overwrite").save())
+    assert out.count() == 5000 and taken < 8, taken
+    common.dropped(docs)
